@@ -36,4 +36,4 @@ def floor_to(ts: Column, seconds: int) -> Column:
 def after(ts: Column, seconds: Column | int) -> Column:
     """The instant a number of seconds later."""
     step = F.lit(seconds) if isinstance(seconds, int) else seconds
-    return F.timestamp_micros(F.unix_micros(ts) + step * F.lit(SECOND))
+    return F.timestamp_micros(F.unix_micros(ts) + step.cast("long") * SECOND)

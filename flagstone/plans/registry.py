@@ -105,6 +105,7 @@ byuser AS (SELECT user_id AS image_id, event_id, n, event_type, ts, us
            FROM typed WHERE event_type IS NOT NULL)"""
 
 US = 1_000_000
+US_SQL = "CAST(1000000 AS BIGINT)"
 
 
 def rolling_sql(source: str, settings: Settings, name: str = "rolling") -> str:
@@ -182,7 +183,7 @@ def training_sql() -> str:
     points = ", ".join(f"({m})" for m in TRAIN.decision_points)
     return f"""
 points AS (
-  SELECT i.*, u.created_us, p.m, i.up + p.m * 60 * {US} AS cutoff
+  SELECT i.*, u.created_us, p.m, i.up + p.m * 60 * {US_SQL} AS cutoff
   FROM img i JOIN usr u ON u.id = i.user_id, (VALUES {points}) AS p(m)),
 sums AS (
   SELECT p.id, p.m, {total("view", short)} AS views_5min, {total("view", long)} AS views_1hr,
@@ -192,7 +193,7 @@ sums AS (
   GROUP BY p.id, p.m),
 flagged AS (
   SELECT DISTINCT i.id FROM img i JOIN eng f
-    ON f.image_id = i.id AND f.event_type = 'flag' AND f.us >= i.up AND f.us <= i.up + 86400 * {US}),
+    ON f.image_id = i.id AND f.event_type = 'flag' AND f.us >= i.up AND f.us <= i.up + 86400 * {US_SQL}),
 user_asof AS (
   SELECT p.id, p.m, count(*) AS user_image_count
   FROM points p JOIN img o ON o.user_id = p.user_id AND o.up <= p.cutoff GROUP BY p.id, p.m),
@@ -209,7 +210,7 @@ training AS (
          CAST(length(coalesce(p.caption, '')) AS INTEGER) AS caption_length,
          CAST(length(coalesce(p.caption, '')) > 0 AS INTEGER) AS has_caption,
          a.user_image_count,
-         CAST(trunc((p.up - p.created_us) / CAST(86400 * {US} AS DOUBLE)) AS INTEGER) AS user_age_days,
+         CAST(trunc((p.up - p.created_us) / CAST(86400 * {US_SQL} AS DOUBLE)) AS INTEGER) AS user_age_days,
          coalesce(p.category, 'Unknown') AS category,
          CAST(p.id IN (SELECT id FROM flagged) AS INTEGER) AS label_needs_moderation_24h
   FROM points p JOIN sums s ON s.id = p.id AND s.m = p.m JOIN user_asof a ON a.id = p.id AND a.m = p.m)"""
