@@ -75,16 +75,16 @@ def latency_summary(
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
     fractions = (0.5, 0.95, 0.99)
-    ends = [f + side * 2.0 / accuracy for f in fractions for side in (-1, 1)]
+    n = values.count()
+    slack = 2.0 / accuracy + 2.0 / max(n, 1)
+    ends = [f + side * slack for f in fractions for side in (-1, 1)]
     sketch = values.agg(
-        F.count("*").alias("n"),
         F.percentile_approx(
             "v", [min(max(e, 0.0), 1.0) for e in ends], accuracy
         ).alias("ends"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
     ).first()
-    n = sketch["n"]
     names = ("p50_ms", "p95_ms", "p99_ms")
     if n == 0:
         nothing = F.lit(None).cast("double")

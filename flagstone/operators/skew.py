@@ -3,7 +3,9 @@
 A key is *hot* when it has more than `limit` rows. There are fewer than rows / limit such
 keys, so the list of them is small by construction and may be broadcast. Cold keys take
 the ordinary one-shuffle plan; hot keys are split. Where a table has no hot key, the hot
-branch is not planned at all.
+branch is not planned at all. Where it has, the input is written to the shared folder
+first, so that the branches read a table instead of repeating the work before them, and
+chains of these operators stay linear in plan size.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from flagstone.config import Settings
 from flagstone.functions.times import DAY, SECOND
+from flagstone.sources.scratch import staged
 
 HOT_ROWS = Settings.hot_rows
 TIE_SLICES = 256
@@ -25,7 +28,7 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with more than `limit` rows, or None. Counts are combined before the shuffle."""
     heavy = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    return None if heavy.isEmpty() else heavy
+    return None if heavy.isEmpty() else staged(heavy, "hot-keys")
 
 
 def split_hot(
@@ -62,6 +65,7 @@ def skew_join(
     if hot is None:
         joined = present.join(dim, keys, how)
     else:
+        present = staged(present, "skew-join")
         cold_fact, hot_fact = split_hot(present, keys, hot)
         hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
         joined = cold_fact.join(dim, keys, how).unionByName(
@@ -114,6 +118,7 @@ def running(
     if hot is None:
         out = _running_plain(rows, keys, time, sums, latest, peers, tie)
     else:
+        rows = staged(rows, "running")
         cold_rows, hot_rows = split_hot(rows, keys, hot)
         out = _running_plain(
             cold_rows, keys, time, sums, latest, peers, tie

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -14,3 +14,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"{name}-")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: its lineage ends there.
+
+    The copy is columnar, so readers prune columns and filters, and it outlives executors.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name) + "/table"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

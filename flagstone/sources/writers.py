@@ -69,12 +69,17 @@ def append_table(
         df.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
         return
     writer = df.select(*spark.table(table).columns).write
-    if partition_by and idempotent:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
-            table
-        )
-    else:
+    if not (partition_by and idempotent):
         writer.mode("append").insertInto(table)
+        return
+    # insertInto takes the overwrite mode from the session, not from a write option
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        writer.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def replace_table(df: DataFrame, table: str) -> None:
