@@ -16,7 +16,11 @@ KNOWN = ("view", "comment", "upload", "flag")
 
 
 def parse_envelopes(raw: DataFrame) -> DataFrame:
-    """Parse the JSON `value`; a malformed one leaves `_corrupt_record` set."""
+    """Parse the JSON `value`; a malformed one leaves `_corrupt_record` set.
+
+    The parsed struct goes through `inline`, across which the optimizer does not copy
+    expressions: otherwise every later filter would parse the text again.
+    """
     parsed = F.from_json(
         F.col("value").cast("string"),
         PAYLOAD,
@@ -27,8 +31,8 @@ def parse_envelopes(raw: DataFrame) -> DataFrame:
         "partition",
         "offset",
         F.col("timestamp").alias("arrived_at"),
-        parsed.alias("p"),
-    ).select("topic", "partition", "offset", "arrived_at", "p.*")
+        F.inline(F.array(parsed)),
+    )
 
 
 def event_time(arrival: Column | None = None) -> Column:

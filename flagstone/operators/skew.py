@@ -21,6 +21,7 @@ from flagstone.sources.scratch import staged
 
 HOT_ROWS = Settings.hot_rows
 TIE_SLICES = 256
+FIND = "find"  # look for hot keys in the input itself
 
 
 def hot_keys(
@@ -47,12 +48,13 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     limit: int = HOT_ROWS,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Equi-join of a skewed fact side with a side that has one row per key.
 
     Hot keys join against their own dim rows, of which there are at most as many as hot
     keys, by broadcast; their fact rows are never shuffled. Null keys match nothing and
-    are not shuffled either.
+    are not shuffled either. `hot` passes on a list of hot keys that is already known.
     """
     keys = list(keys)
     keeps_unmatched = how in ("left", "left_outer", "left_anti")
@@ -61,7 +63,8 @@ def skew_join(
         some_null = some_null | F.col(key).isNull()
     present = fact.where(~some_null)
 
-    hot = hot_keys(present, keys, limit)
+    if hot is FIND:
+        hot = hot_keys(present, keys, limit)
     if hot is None:
         joined = present.join(dim, keys, how)
     else:
@@ -85,6 +88,7 @@ def running(
     peers: Mapping[str, Column] | None = None,
     tie: str | None = None,
     limit: int = HOT_ROWS,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Add running aggregates per key in order of `time` (integer microseconds).
 
@@ -99,7 +103,8 @@ def running(
     All frames start at the first row, which costs one pass per key whatever the window
     length; sliding counts are expressed as arrivals minus expiries. A hot key is cut into
     cells of equal time, combined before the shuffle, and the sums before each cell come
-    from second and day totals, so no task sees more than one second of one key.
+    from second and day totals, so no task sees more than one second of one key. `hot`
+    passes on a list of hot keys found in a smaller input.
     """
     keys, sums, latest, peers = (
         list(keys),
@@ -114,7 +119,8 @@ def running(
             "_slice",
             F.pmod(F.xxhash64(F.col(tie)), F.lit(TIE_SLICES)).cast("int"),
         )
-    hot = hot_keys(rows, keys, limit)
+    if hot is FIND:
+        hot = hot_keys(rows, keys, limit)
     if hot is None:
         out = _running_plain(rows, keys, time, sums, latest, peers, tie)
     else:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flagstone.config import Settings
 from flagstone.functions.times import SECOND, micros
-from flagstone.operators.skew import HOT_ROWS, running
+from flagstone.operators.skew import HOT_ROWS, hot_keys, running
 
 COUNTED = ("view", "comment", "flag")
 PLURAL = {"view": "views", "comment": "comments", "flag": "flags"}
@@ -175,6 +175,12 @@ def rolling_counts(
             allowMissingColumns=True,
         )
 
+    # An event becomes one row and one more per window, so this many events make a hot key.
+    seen = known.select("image_id")
+    if probes is not None:
+        seen = seen.unionByName(probes.select("image_id"))
+    hot = hot_keys(seen, ["image_id"], limit // (1 + len(settings.rolling)))
+
     # step 0 is the event itself, step i its expiry from window i
     kind, step = F.col("event_type"), F.col("step")
     arrival = F.array(F.struct(F.lit(0).alias("step"), F.lit(0).alias("seconds")))
@@ -213,7 +219,7 @@ def rolling_counts(
             (kind == metric) & (step == 0), F.col("copies")
         )
 
-    counted = running(line, ["image_id"], "us", sums=sums, peers=peers, limit=limit)
+    counted = running(line, ["image_id"], "us", sums=sums, peers=peers, hot=hot)
     wanted = ["probe"] if probes is not None else ["view", "comment"]
     out = counted.where((step == 0) & kind.isin(*wanted))
     columns = []

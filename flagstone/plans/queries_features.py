@@ -49,11 +49,12 @@ from flagstone.plans.registry import (
     register,
     rolling,
     training,
+    training_table,
     windows,
 )
 from flagstone.schemas import TRAINING
 from flagstone.sources import eventlog, readers, writers
-from flagstone.sources.scratch import scratch_dir
+from flagstone.sources.scratch import scratch_dir, staged
 
 POINTS_SQL = ", ".join(f"({m})" for m in TRAIN.decision_points)
 
@@ -95,13 +96,7 @@ def j2_decision_rows(spark: SparkSession, root: str) -> DataFrame:
 )
 def j3_window_sums(spark: SparkSession, root: str) -> DataFrame:
     log = eventlog.load_log(spark, root)
-    counts = windows(log)
-    sums = tt.window_sums(
-        eventlog.images(log),
-        counts.where(F.col("event_type") == "view"),
-        counts.where(F.col("event_type") == "comment"),
-        TRAIN,
-    )
+    sums = tt.window_sums(eventlog.images(log), windows(log), TRAIN)
     names = ("views_5min", "views_1hr", "comments_5min", "comments_1hr")
     points = F.array(*[F.lit(m) for m in TRAIN.decision_points])
     return sums.select(
@@ -264,16 +259,7 @@ def training_features(spark: SparkSession, root: str) -> DataFrame:
 )
 def training_features_mature(spark: SparkSession, root: str) -> DataFrame:
     log = eventlog.load_log(spark, root)
-    counts = windows(log)
-    return tt.build_training_data(
-        eventlog.users(log),
-        eventlog.images(log),
-        flags(log),
-        counts.where(F.col("event_type") == "view"),
-        counts.where(F.col("event_type") == "comment"),
-        TRAIN,
-        mature_at=F.lit(AS_OF),
-    )
+    return training_table(log, mature_at=F.lit(AS_OF))
 
 
 @register(
@@ -611,10 +597,9 @@ def f19_recommendations(spark: SparkSession, root: str) -> DataFrame:
 # ------------------------------------------------------------------ serving and decisions
 
 
-def _requests(log: DataFrame) -> DataFrame:
+def _requests(events: DataFrame) -> DataFrame:
     """Every flag asks for a decision on its image half an hour later."""
-    flagged = eventlog.engagement(log).where(F.col("event_type") == "flag")
-    return flagged.select(
+    return events.where(F.col("event_type") == "flag").select(
         "image_id",
         "event_id",
         after(F.col("ts"), 1800).alias("ts"),
@@ -677,9 +662,10 @@ _SERVED_COLUMNS = (
 
 
 def _served(log: DataFrame) -> DataFrame:
+    events = staged(eventlog.engagement(log), "engagement")
     return serving.serving_features(
-        _requests(log),
-        eventlog.engagement(log),
+        _requests(events),
+        events,
         eventlog.images(log),
         eventlog.users(log),
         TRAIN,
@@ -699,7 +685,8 @@ def j9_serving_features(spark: SparkSession, root: str) -> DataFrame:
 def j9_missing_requests(spark: SparkSession, root: str) -> DataFrame:
     log = eventlog.load_log(spark, root)
     known = eventlog.images(log.where(F.col("k") % 3 != 0))
-    return serving.missing_requests(_requests(log), known).select(
+    requests = _requests(eventlog.engagement(log))
+    return serving.missing_requests(requests, known).select(
         "image_id", "event_id", "error"
     )
 

@@ -29,7 +29,7 @@ from flagstone.plans.registry import (
 from flagstone.config import TOPICS
 from flagstone.schemas import MILESTONES
 from flagstone.sources import eventlog, readers, writers
-from flagstone.sources.scratch import scratch_dir
+from flagstone.sources.scratch import scratch_dir, staged
 from flagstone.streaming import jobs
 from flagstone.streaming import state as st
 
@@ -270,15 +270,16 @@ def t9_stream_metadata(spark: SparkSession, root: str) -> DataFrame:
 )
 def t11_stream_decisions(spark: SparkSession, root: str) -> DataFrame:
     log = eventlog.load_log(spark, root)
+    events = staged(eventlog.engagement(log), "engagement")
     out = scratch_dir(spark, "decisions")
     sink = jobs.DecisionSink(
         out,
-        events=lambda: eventlog.engagement(log),
+        events=lambda: events,
         images=lambda: eventlog.images(log),
         users=lambda: eventlog.users(log),
         settings=TRAIN,
     )
-    run_rounds(_requests(log), "requests", lambda s: s, sink)
+    run_rounds(_requests(events), "requests", lambda s: s, sink)
     schema = (
         "id string, image_id string, inference_mode string, moderation_probability double, "
         "recommendation string, trigger_type string, created_at timestamp"

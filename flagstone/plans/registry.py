@@ -17,6 +17,7 @@ from flagstone.operators import alerts as al
 from flagstone.operators import windows as win
 from flagstone.plans import training_table as tt
 from flagstone.sources import eventlog
+from flagstone.sources.scratch import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -244,24 +245,30 @@ def milestones(log: DataFrame) -> DataFrame:
     return al.milestone_crossings(views(log), ALERT)
 
 
-def flags(log: DataFrame) -> DataFrame:
-    return (
-        eventlog.engagement(log)
-        .where(F.col("event_type") == "flag")
-        .select("image_id", F.col("ts").alias("created_at"))
+def flagged(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") == "flag").select(
+        "image_id", F.col("ts").alias("created_at")
     )
 
 
+def flags(log: DataFrame) -> DataFrame:
+    return flagged(eventlog.engagement(log))
+
+
 def training(spark: SparkSession, root: str) -> DataFrame:
-    log = eventlog.load_log(spark, root)
-    counts = windows(log)
+    return training_table(eventlog.load_log(spark, root))
+
+
+def training_table(log: DataFrame, **options) -> DataFrame:
+    """Attribution is done once and stored, as the windows and labels both read it."""
+    events = staged(eventlog.engagement(log), "engagement")
     return tt.build_training_data(
         eventlog.users(log),
         eventlog.images(log),
-        flags(log),
-        counts.where(F.col("event_type") == "view"),
-        counts.where(F.col("event_type") == "comment"),
-        TRAIN,
+        flagged(events),
+        windows=win.tumbling_counts(events, TRAIN),
+        settings=TRAIN,
+        **options,
     )
 
 

@@ -9,20 +9,23 @@ from flagstone.config import LABEL, Settings
 from flagstone.functions import features as fx
 from flagstone.functions.times import SECOND, micros
 from flagstone.operators.asof import attach_latest
-from flagstone.operators.skew import running, skew_join
+from flagstone.operators.skew import FIND, hot_keys, running, skew_join
 from flagstone.schemas import TRAINING
 
 METRICS = ("view", "comment")
 
 
 def with_users(
-    images: DataFrame, users: DataFrame, settings: Settings = Settings()
+    images: DataFrame,
+    users: DataFrame,
+    settings: Settings = Settings(),
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Images with their user's creation time; images of unknown users are dropped."""
     people = users.select(
         F.col("id").alias("user_id"), F.col("created_at").alias("user_created_at")
     )
-    return skew_join(images, people, ["user_id"], "inner", settings.hot_rows)
+    return skew_join(images, people, ["user_id"], "inner", settings.hot_rows, hot)
 
 
 def decision_rows(images: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -38,54 +41,42 @@ def decision_rows(images: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def user_image_counts(
-    images: DataFrame, settings: Settings = Settings()
+    images: DataFrame,
+    settings: Settings = Settings(),
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Decision rows with the number of images the user had uploaded by the cutoff.
 
     Uploads and cutoffs share one time line per user and the uploads are summed along it,
     instead of joining a user's images with each other.
     """
-    probes = decision_rows(images, settings)
-    line = (
-        images.select("user_id", micros("uploaded_at").alias("cutoff_us"))
-        .withColumn("upload", F.lit(1).cast("long"))
-        .unionByName(probes, allowMissingColumns=True)
+    points = F.array(F.lit(None).cast("int"), *[F.lit(m) for m in settings.decision_points])
+    minutes = F.coalesce("decision_point_minutes", F.lit(0)).cast("long")
+    line = images.withColumn("decision_point_minutes", F.explode(points)).withColumn(
+        "cutoff_us", micros("uploaded_at") + minutes * 60 * SECOND
     )
+    upload = F.col("decision_point_minutes").isNull()  # the row without a decision point
     counted = running(
         line,
         ["user_id"],
         "cutoff_us",
-        sums={"user_image_count": F.col("upload")},
+        sums={"user_image_count": F.when(upload, 1).otherwise(0)},
         limit=settings.hot_rows,
+        hot=hot,
     )
-    return counted.where(F.col("upload").isNull()).select(
-        *probes.columns, "user_image_count"
-    )
+    return counted.where(~upload)
 
 
 def window_sums(
-    images: DataFrame,
-    view_windows: DataFrame,
-    comment_windows: DataFrame,
-    settings: Settings = Settings(),
+    images: DataFrame, windows: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Short and long window sums of each image at every decision point, as arrays.
 
     A window counts if it lies wholly between upload and cutoff and ends after cutoff - w.
-    Both tables go through one join and one aggregation for all decision points. A window
-    table has one row per image and bucket, so a busy image is bounded by its time span.
+    All event types and decision points go through one join and one aggregation. There is
+    one window row per image, type and bucket, so a busy image is bounded by its time span.
     """
-    windows = view_windows.select(
-        "image_id", "window_start", "window_end", "event_count", F.lit("view").alias("kind")
-    ).unionByName(
-        comment_windows.select(
-            "image_id",
-            "window_start",
-            "window_end",
-            "event_count",
-            F.lit("comment").alias("kind"),
-        )
-    )
+    windows = windows.where(F.col("event_type").isin(*METRICS))
     last_point = max(settings.decision_points) * 60 * SECOND
     uploads = images.select(
         F.col("id").alias("image_id"), micros("uploaded_at").alias("upload_us")
@@ -106,7 +97,7 @@ def window_sums(
             for minutes in settings.decision_points:
                 cutoff = F.col("upload_us") + minutes * 60 * SECOND
                 inside = (
-                    (F.col("kind") == kind)
+                    (F.col("event_type") == kind)
                     & (F.col("end_us") <= cutoff)
                     & (F.col("end_us") > cutoff - seconds * SECOND)
                 )
@@ -147,6 +138,14 @@ def labels(
     )
 
 
+def window_union(view_windows: DataFrame, comment_windows: DataFrame) -> DataFrame:
+    """The two window tables as one, with the event type as a column."""
+    columns = ("image_id", "window_start", "window_end", "event_count")
+    return view_windows.select(*columns, F.lit("view").alias("event_type")).unionByName(
+        comment_windows.select(*columns, F.lit("comment").alias("event_type"))
+    )
+
+
 def milestone_features(
     rows: DataFrame,
     comments: DataFrame,
@@ -229,21 +228,28 @@ def build_training_data(
     comments: DataFrame | None = None,
     milestones: DataFrame | None = None,
     mature_at: object | None = None,
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """All 19 columns of the training table, as one lazy plan.
 
+    Window counts come from the two window tables or, with an event_type column, from
+    `windows`.
     `mode="milestone"` uses raw comments and milestones instead of window tables.
     `mature_at` keeps only images whose label horizon has passed by that instant.
     """
     slim = images.select("id", "user_id", "caption", "category", "uploaded_at")
-    known = with_users(slim, users, settings)
-    rows = user_image_counts(known, settings)
+    busy = settings.hot_rows // (1 + len(settings.decision_points))
+    hot = hot_keys(slim, ["user_id"], busy)
+    known = with_users(slim, users, settings, hot)
+    rows = user_image_counts(known, settings, hot)
     if mature_at is not None:
         horizon = F.expr(f"interval {settings.label_hours} hours")
         rows = rows.where(F.col("uploaded_at") + horizon <= mature_at)
 
     if mode == "windows":
-        sums = window_sums(slim, view_windows, comment_windows, settings)
+        if windows is None:
+            windows = window_union(view_windows, comment_windows)
+        sums = window_sums(slim, windows, settings)
         points = F.array(*[F.lit(m) for m in settings.decision_points])
         at = F.array_position(points, F.col("decision_point_minutes"))
         rows = rows.join(sums.withColumnRenamed("image_id", "id"), "id", "left")

@@ -20,6 +20,7 @@ from flagstone.functions.times import SECOND, micros
 from flagstone.operators.alerts import alert_rules
 
 GRAIN = "1 second"
+KINDS = np.array(["comment", "flag", "view"], dtype=object)
 
 STATE = (
     "view_us array<bigint>, view_n array<bigint>, "
@@ -75,6 +76,22 @@ class Timeline:
         return self.us[keep].tolist(), self.n[keep].tolist()
 
 
+def _combined(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Times, types and counts of a group in order, one entry per time and type."""
+    us, kind, n = (
+        np.concatenate(part)
+        for part in zip(
+            *((b["us"].to_numpy(), b["kind"].to_numpy(), b["n"].to_numpy()) for b in batches)
+        )
+    )
+    order = np.lexsort((kind, us))
+    us, kind, n = us[order], kind[order], n[order]
+    first = np.flatnonzero(
+        np.concatenate([[True], (us[1:] != us[:-1]) | (kind[1:] != kind[:-1])])
+    )
+    return us[first], KINDS[kind[first]], np.add.reduceat(n, first)
+
+
 def _advance(settings: Settings):
     rules = alert_rules(settings)
     longest = max(seconds for _, seconds in settings.rolling) * SECOND
@@ -91,10 +108,7 @@ def _advance(settings: Settings):
             state.update(([], [], [], [], old["v"], old["c"], old["f"], old["fired"], old["last"]))
             return
 
-        parts = [b.groupby(["us", "event_type"], as_index=False)["n"].sum() for b in batches]
-        rows = pd.concat(parts).groupby(["us", "event_type"], as_index=False)["n"].sum()
-        kind = rows["event_type"].to_numpy()
-        us, n = rows["us"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+        us, kind, n = _combined(batches)
         lines = {}
         for metric, u, c in (("view", "vu", "vn"), ("comment", "cu", "cn")):
             mine = kind == metric
@@ -103,7 +117,7 @@ def _advance(settings: Settings):
                 np.concatenate([np.asarray(old[c], np.int64), n[mine]]),
             )
 
-        out = {"image_id": key[0], "event_type": kind, "ts": pd.to_datetime(us, unit="us"), "n": n}
+        out = {"image_id": key[0], "event_type": kind, "ts": us.astype("datetime64[us]"), "n": n}
         for metric, line in lines.items():
             for name, seconds in settings.rolling:
                 out[f"{metric}s_{name}"] = line.window(us, seconds * SECOND, kind != metric)
@@ -112,17 +126,19 @@ def _advance(settings: Settings):
         for metric, start in (("view", "v"), ("comment", "c"), ("flag", "f")):
             moved = np.cumsum(np.where(kind == metric, n, 0))
             out[f"total_{metric}s"] = old[start] + moved[last_of_time]
-        out = pd.DataFrame(out)
 
         fired = set(old["fired"])
-        news: list[list[str]] = [[] for _ in range(len(out))]
+        news: list[list[str]] = [[] for _ in range(len(us))]
         for name, (column, threshold, kinds) in rules.items():
-            hit = (out[column].to_numpy() >= threshold) & np.isin(kind, kinds)
-            if name not in fired and hit.any():
+            if name in fired:
+                continue
+            hit = (out[column] >= threshold) & np.isin(kind, kinds)
+            if hit.any():
                 news[int(np.argmax(hit))].append(name)
                 fired.add(name)
-        before = old["v"] + np.cumsum(np.where(kind == "view", n, 0)) - np.where(kind == "view", n, 0)
-        after = before + np.where(kind == "view", n, 0)
+        seen = np.where(kind == "view", n, 0)
+        after = old["v"] + np.cumsum(seen)
+        before = after - seen
         out["fired"] = news
         out["reached"] = [
             [m for m in settings.milestones if b < m <= a] for b, a in zip(before, after)
@@ -137,7 +153,7 @@ def _advance(settings: Settings):
         state.update((vu, vn, cu, cn, *totals, sorted(fired), newest))
         expires = (newest + longest) // 1000 + 1
         state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        yield out[(kind == "view") | (kind == "comment")]
+        yield pd.DataFrame(out)[kind != "flag"]
 
     return advance
 
@@ -156,7 +172,16 @@ def rolling_state(
     if watermark is not None:
         counts = counts.withWatermark("ts", watermark)
     return (
-        counts.withColumn("us", micros("ts"))
+        counts.where(F.col("event_type").isin(*KINDS))
+        .select(
+            "image_id",
+            "ts",
+            micros("ts").alias("us"),
+            (F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("event_type")) - 1)
+            .cast("int")
+            .alias("kind"),
+            "n",
+        )
         .groupBy("image_id")
         .applyInPandasWithState(
             _advance(settings),
