@@ -199,7 +199,7 @@ def rolling_counts(
         ),
     ).select(
         "image_id",
-        "event_id",
+        F.when(F.col("move.step") == 0, F.col("event_id")).alias("event_id"),
         "event_type",
         "copies",
         "extra",
@@ -219,6 +219,9 @@ def rolling_counts(
             (kind == metric) & (step == 0), F.col("copies")
         )
 
+    if hot is None:
+        # Shuffle the narrow rows; the columns to sum are computed on the other side.
+        line = line.repartition("image_id")
     counted = running(line, ["image_id"], "us", sums=sums, peers=peers, hot=hot)
     wanted = ["probe"] if probes is not None else ["view", "comment"]
     out = counted.where((step == 0) & kind.isin(*wanted))
