@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,19 +83,36 @@ def s6_snapshot_round_trip(spark: SparkSession, root: str) -> DataFrame:
     SELECT image_id, event_type, window_start, window_end, event_count FROM windows""",
 )
 def s9_append_idempotent(spark: SparkSession, root: str) -> DataFrame:
-    """The same hours written twice leave one copy."""
-    path = scratch_dir(spark, "lake")
+    """The same days written twice leave one copy."""
+    table = f"{_lake(spark)}.windows"
     counts = windows(eventlog.load_log(spark, root)).withColumn(
-        "window_day", F.to_date("window_start")
+        "window_day", F.date_format("window_start", "yyyy-MM-dd")
     )
     for _ in range(2):
-        (
-            counts.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_day")
-            .parquet(path)
-        )
-    return ntz(spark.read.parquet(path).drop("window_day"))
+        writers.append_table(counts, table, ["window_day"])
+    return ntz(readers.scan_table(spark, table).drop("window_day"))
+
+
+def _lake(spark: SparkSession) -> str:
+    """A database of its own in the scratch folder."""
+    path = scratch_dir(spark, "lake")
+    name = "lake_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@register(
+    "s10_replace_table",
+    f"{MODEL_SQL} SELECT id, user_id, uploaded_at FROM img WHERE k % 2 = 0",
+)
+def s10_replace_table(spark: SparkSession, root: str) -> DataFrame:
+    """A table replaced by its even half."""
+    table = f"{_lake(spark)}.images"
+    log = eventlog.load_log(spark, root)
+    for part in (log, log.where(F.col("k") % 2 == 0)):
+        images = eventlog.images(part).select("id", "user_id", "uploaded_at")
+        writers.replace_table(images, table)
+    return ntz(readers.scan_table(spark, table))
 
 
 @register(

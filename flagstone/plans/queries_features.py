@@ -314,6 +314,33 @@ def f2_time_features(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@register(
+    "f6_derived_features",
+    """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) / CAST(5 AS DOUBLE) AS view_velocity_per_min,
+    CAST(l_linenumber AS BIGINT) / CAST(greatest(CAST(l_quantity AS BIGINT) - 20, 1) AS DOUBLE) AS comment_to_view_ratio,
+    CAST(CAST(l_quantity AS BIGINT) + 5 * l_linenumber AS DOUBLE) AS recent_engagement_score FROM lineitem""",
+)
+def f6_derived_features(spark: SparkSession, root: str) -> DataFrame:
+    """Velocity, ratio and engagement at volume, with the default settings."""
+    lines = spark.read.parquet(f"{root}/lineitem.parquet")
+    quantity = F.col("l_quantity").cast("long")
+    counts = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        quantity.alias("views_5min"),
+        (quantity - 20).alias("views_1hr"),
+        F.col("l_linenumber").cast("long").alias("comments_5min"),
+        F.col("l_linenumber").cast("long").alias("comments_1hr"),
+    )
+    return fx.add_derived(counts).select(
+        "l_orderkey",
+        "l_linenumber",
+        "view_velocity_per_min",
+        "comment_to_view_ratio",
+        "recent_engagement_score",
+    )
+
+
 @register(
     "f9_caption_features",
     """SELECT doc_id, CAST(length(coalesce(text, '')) AS INTEGER) AS caption_length,

@@ -12,7 +12,7 @@ from flagstone.config import Settings
 from flagstone.functions import features as fx
 from flagstone.functions.scoring import score_heuristic
 from flagstone.functions.times import SECOND, micros
-from flagstone.operators.skew import skew_join
+from flagstone.operators.skew import restrict, skew_join
 from flagstone.operators.windows import PLURAL, rolling_counts
 from flagstone.plans.model import score_model
 
@@ -71,11 +71,11 @@ def serving_features(
     """Full feature row of each request (image_id, event_id, trigger, ts).
 
     Counts are those at the request's time, windows closed at both ends. Requests on
-    unknown images drop out; see `missing_requests`.
+    unknown images drop out; see `missing_requests`. A short list of requested images
+    cuts the events down before anything is shuffled.
     """
-    online = rolling_counts(
-        events, settings, probes=requests, limit=settings.hot_rows
-    )
+    asked = restrict(events, requests, ["image_id"])
+    online = rolling_counts(asked, settings, probes=requests, limit=settings.hot_rows)
     known = skew_join(
         online,
         image_metadata(images, users, settings),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +32,8 @@ def stream_topics(
     """Subscribe to several topics as one stream of envelopes.
 
     With `servers` from a broker; with `path` from a folder of envelope files, where
-    `per_trigger` limits files instead of offsets.
+    `per_trigger` limits files instead of offsets and `latest` means messages stamped
+    from now on.
     """
     if servers is not None:
         reader = (
@@ -47,16 +48,20 @@ def stream_topics(
     reader = spark.readStream.schema(ENVELOPE)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
+    messages = reader.parquet(path).where(F.col("topic").isin(*topics))
     if starting == "latest":
-        reader = reader.option("latestFirst", "true")
-    return reader.parquet(path).where(F.col("topic").isin(*topics))
+        messages = messages.where(F.col("timestamp") >= datetime.now(timezone.utc))
+    return messages
 
 
 def stream_requests(
-    spark: SparkSession, servers: str, topic: str = "moderation_requests"
+    spark: SparkSession,
+    servers: str | None = None,
+    path: str | None = None,
+    topic: str = "moderation_requests",
 ) -> DataFrame:
     """Requests that arrive from now on."""
-    return stream_topics(spark, [topic], servers=servers, starting="latest")
+    return stream_topics(spark, [topic], servers=servers, path=path, starting="latest")
 
 
 def read_topics_between(

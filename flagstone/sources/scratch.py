@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under `spark.checkpoint.dir`; a local one only where that is unset."""
+    """A fresh folder under `spark.checkpoint.dir`.
+
+    Only a local session may go without that setting; it gets a temporary folder.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")
 
 

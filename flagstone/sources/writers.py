@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flagstone.operators.skew import restrict
 from flagstone.sources.readers import read_database_table
 
 
@@ -105,9 +106,8 @@ def new_rows(
     )
     if existing is None:
         return first
-    return first.join(existing.select(*key).distinct(), list(key), "left_anti").select(
-        *df.columns
-    )
+    known = restrict(existing.select(*key), first, key)
+    return first.join(known, list(key), "left_anti").select(*df.columns)
 
 
 def insert_if_absent(

@@ -101,6 +101,8 @@ def state_sinks(
         rows = batch.sparkSession.read.schema(batch.schema).parquet(
             f"{out}/features/batch_id={batch_id}"
         )
+        if rows.isEmpty():
+            return  # a batch that only moved the watermark
         alerts = alerts_of(rows, settings)
         write_batch(alerts, f"{out}/alerts", batch_id)
         write_batch(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flagstone.config import Settings
 from flagstone.operators.alerts import first_alerts, milestone_crossings
 from flagstone.operators.asof import attach_latest
-from flagstone.operators.skew import hot_keys, running, skew_join
+from flagstone.operators.skew import hot_keys, restrict, running, skew_join
 from flagstone.operators.windows import rolling_counts, running_total
 from flagstone.plans import training_table as tt
 from helpers import EVENT, at, rows
@@ -126,6 +126,12 @@ def test_skew_join(spark, limit, how):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_restrict_keeps_all_rows_when_the_list_is_long(frame):
+    keys = frame.where("image_id <> 'a'")
+    assert restrict(frame, keys, ["image_id"], 2).where("image_id = 'a'").count() == 0
+    assert restrict(frame, keys, ["image_id"], 1).count() == frame.count()
+
+
 @pytest.mark.parametrize("limit", LIMITS)
 def test_as_of_join(spark, limit):
     facts = spark.createDataFrame(

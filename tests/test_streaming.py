@@ -109,6 +109,25 @@ def test_decisions_pick_up_a_new_model(spark, tmp_path):
     ]
 
 
+def test_requests_start_at_the_latest(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    from flagstone.operators.ingest import parse_requests
+    from flagstone.schemas import ENVELOPE
+    from flagstone.sources.readers import stream_requests
+
+    now = datetime.now(timezone.utc)
+    value = '{"image_id":"%s","trigger":"viral","context":{"views_5min":100},"timestamp":12.5}'
+    raw = [
+        ("moderation_requests", 0, n, now + timedelta(hours=h), value % name)
+        for n, (h, name) in enumerate([(-1, "old"), (1, "new")])
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(raw, ENVELOPE).write.parquet(source)
+    jobs.run_available(parse_requests(stream_requests(spark, path=source)), out)
+    assert rows(spark.read.parquet(out), "image_id", "trigger") == [("new", "viral")]
+
+
 def test_ingest_stream_uses_arrival_time(spark, tmp_path):
     from flagstone.schemas import ENVELOPE
 
