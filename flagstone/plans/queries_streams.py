@@ -13,18 +13,19 @@ from flagstone.plans.queries_events import upload_rows
 from flagstone.plans.queries_features import _DECISION_SQL, _requests
 from flagstone.plans.registry import (
     ALERT,
-    ALERT_SQL,
     BUCKET,
+    GRAIN_ALERT_SQL,
+    HOUR,
     MESSAGE_SQL,
     MODEL_SQL,
     ROLLING_COLUMNS,
     ROLLING_SQL,
     TRAIN,
     US,
+    grain_sql,
     messages,
     ntz,
     register,
-    rolling_sql,
 )
 from flagstone.config import TOPICS
 from flagstone.schemas import MILESTONES
@@ -33,7 +34,7 @@ from flagstone.sources.scratch import scratch_dir, staged
 from flagstone.streaming import jobs
 from flagstone.streaming import state as st
 
-ROUNDS = 3
+ROUNDS = 2
 DELAY = "1 hour"
 
 
@@ -99,7 +100,7 @@ def s1_stream_ingest(spark: SparkSession, root: str) -> DataFrame:
 
 @register(
     "s4_message_sink",
-    f"""{ALERT_SQL} SELECT 'moderation_requests' AS topic, count(*) AS n FROM alert
+    f"""{GRAIN_ALERT_SQL} SELECT 'moderation_requests' AS topic, count(*) AS n FROM alert
     WHERE alert_type IN ('viral', 'suspicious')""",
 )
 def s4_message_sink(spark: SparkSession, root: str) -> DataFrame:
@@ -167,34 +168,31 @@ def t2_stream_rolling(spark: SparkSession, root: str) -> DataFrame:
     return ntz(rows.select("image_id", "event_type", "ts", *ROLLING_COLUMNS.split(", ")))
 
 
-HOUR_US = f"3600 * CAST({US} AS BIGINT)"
-GRAIN_SQL = f"""{MODEL_SQL}, grain AS (
-  SELECT image_id, event_id, n, event_type, us - us % ({HOUR_US}) AS us,
-         make_timestamp(us - us % ({HOUR_US})) AS ts FROM byuser
-  WHERE us - us % ({HOUR_US}) + {HOUR_US} <= (SELECT max(us) FROM byuser) - {HOUR_US}),
-{rolling_sql("grain", ALERT)}"""
-
-
 @register(
     "t2_stream_rolling_by_grain",
-    f"""{GRAIN_SQL} SELECT DISTINCT image_id, event_type, ts, {ROLLING_COLUMNS} FROM rolling
+    f"""{grain_sql(HOUR)} SELECT DISTINCT image_id, event_type, ts, {ROLLING_COLUMNS} FROM rolling
     WHERE event_type <> 'flag'""",
 )
 def t2_stream_rolling_by_grain(spark: SparkSession, root: str) -> DataFrame:
     """Two stages: counts per grain of one hour, then keyed state over the counts."""
-    events = eventlog.by_user(eventlog.load_log(spark, root))
-    counts = run_rounds(
-        events, "grains", lambda s: st.grain_counts(s, DELAY, "1 hour")
-    )
+    counts = _grains(eventlog.load_log(spark, root), "1 hour")
     rows = run_rounds(counts, "rolling", lambda s: st.rolling_state(s, ALERT, DELAY))
     return ntz(rows.select("image_id", "event_type", "ts", *ROLLING_COLUMNS.split(", ")))
 
 
+def _grains(log: DataFrame, grain: str) -> DataFrame:
+    """First stage of the state jobs: a table of counts per grain."""
+    return run_rounds(
+        eventlog.by_user(log), "grains", lambda s: st.grain_counts(s, DELAY, grain)
+    )
+
+
 def _state_output(spark: SparkSession, root: str) -> str:
+    """Both stages, at the default grain of one second."""
     out = scratch_dir(spark, "state")
     run_rounds(
-        _counted(eventlog.load_log(spark, root)),
-        "events",
+        _grains(eventlog.load_log(spark, root), st.GRAIN),
+        "counts",
         lambda s: st.rolling_state(s, ALERT, DELAY),
         jobs.state_sinks(out, ALERT),
     )
@@ -207,7 +205,7 @@ def _batches(spark: SparkSession, path: str, schema) -> DataFrame:
 
 @register(
     "t5_stream_alerts",
-    f"{ALERT_SQL} SELECT image_id, alert_type, alert_ts, observed, threshold FROM alert",
+    f"{GRAIN_ALERT_SQL} SELECT image_id, alert_type, alert_ts, observed, threshold FROM alert",
 )
 def t5_stream_alerts(spark: SparkSession, root: str) -> DataFrame:
     out = _state_output(spark, root)
@@ -219,7 +217,7 @@ def t5_stream_alerts(spark: SparkSession, root: str) -> DataFrame:
 
 @register(
     "t7_stream_milestones",
-    f"{ALERT_SQL} SELECT image_id, milestone_type, milestone_value, reached_at FROM milestone",
+    f"{GRAIN_ALERT_SQL} SELECT image_id, milestone_type, milestone_value, reached_at FROM milestone",
 )
 def t7_stream_milestones(spark: SparkSession, root: str) -> DataFrame:
     out = _state_output(spark, root)

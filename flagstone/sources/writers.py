@@ -66,6 +66,9 @@ def append_table(
     """
     spark = df.sparkSession
     _ensure_namespace(spark, table)
+    if partition_by:
+        # few files per partition; a partition too large for one task is split
+        df = df.hint("rebalance", *partition_by)
     if not spark.catalog.tableExists(table):
         df.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
         return
