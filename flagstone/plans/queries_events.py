@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,6 @@ from flagstone.plans.registry import (
     BUCKET,
     MESSAGE_SQL,
     MODEL_SQL,
-    ROLLING_COLUMNS,
     ROLLING_SQL,
     TRAIN,
     TRAINING_SQL,
@@ -38,14 +37,13 @@ from flagstone.plans.registry import (
     register,
     rolling,
     training,
-    views,
     windows,
 )
-from flagstone.schemas import EVENTS, MILESTONES
 from flagstone.sources import eventlog, readers, writers
 from flagstone.sources.scratch import scratch_dir
 
-START, END = datetime(2024, 1, 10), datetime(2024, 1, 11)
+START = datetime(2024, 1, 10, tzinfo=timezone.utc)
+END = datetime(2024, 1, 11, tzinfo=timezone.utc)
 RANGE_SQL = "ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'"
 
 

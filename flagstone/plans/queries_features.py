@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,6 @@ from flagstone.config import (
     CATEGORIES,
     CATEGORY_COLUMNS,
     FEATURES,
-    LABEL,
     SCALAR_FEATURES,
 )
 from flagstone.functions import features as fx
@@ -23,16 +23,13 @@ from flagstone.functions.scoring import (
 )
 from flagstone.functions.times import after
 from flagstone.operators import alerts as al
-from flagstone.operators import ingest as ing
 from flagstone.operators import quality as q
 from flagstone.operators import windows as win
-from flagstone.operators.asof import attach_latest
 from flagstone.operators.skew import skew_join
 from flagstone.plans import model, serving
 from flagstone.plans import training_table as tt
 from flagstone.plans.queries_events import upload_rows
 from flagstone.plans.registry import (
-    ALERT,
     ALERT_SQL,
     AS_OF,
     MODEL_SQL,
@@ -41,8 +38,6 @@ from flagstone.plans.registry import (
     TRAINING_SQL,
     US,
     US_SQL,
-    WINDOWS_SQL,
-    alerts,
     flags,
     milestones,
     ntz,
@@ -134,7 +129,7 @@ def j5_milestone_features(spark: SparkSession, root: str) -> DataFrame:
     """Comment interval counts, as-of milestones and the short-window estimates."""
     log = eventlog.load_log(spark, root)
     events = eventlog.engagement(log)
-    steps = TRAIN.__class__(**{**TRAIN.__dict__, "milestones": (1, 2, 3)})
+    steps = replace(TRAIN, milestones=(1, 2, 3))
     reached = al.milestone_crossings(events.where(F.col("event_type") == "view"), steps)
     comments = events.where(F.col("event_type") == "comment").select(
         "image_id", F.col("ts").alias("created_at")

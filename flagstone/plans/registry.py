@@ -7,7 +7,7 @@ so windows and thresholds are scaled: the formulas and interval edges are the sa
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ ALERT = Settings(
     popular_views_1hr=4,
     milestones=(5, 10, 20),
 )
-AS_OF = datetime(2024, 1, 20)
+AS_OF = datetime(2024, 1, 20, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -69,10 +69,6 @@ def ntz(df: DataFrame) -> DataFrame:
     )
 
 
-def span(start: str, end: str) -> dict[str, datetime]:
-    return {"start": datetime.fromisoformat(start), "end": datetime.fromisoformat(end)}
-
-
 # --------------------------------------------------------------------- oracle fragments
 
 _CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
