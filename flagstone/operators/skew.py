@@ -107,7 +107,7 @@ def running(
 ) -> DataFrame:
     """Add running aggregates per key in order of `time` (integer microseconds).
 
-    sums    running sum of a column
+    sums    running sum of a column; 0 where nothing was summed yet
     latest  running maximum; with a struct that starts with the time, the latest value so far
     peers   sum over the rows of the same key and time only
 
@@ -143,7 +143,9 @@ def running(
         cold_rows, hot_rows = split_hot(rows, keys, hot)
         out = _running_plain(
             cold_rows, keys, time, sums, latest, peers, tie
-        ).unionByName(_running_split(hot_rows, keys, time, sums, latest, peers, tie))
+        ).unionByName(
+            _running_split(hot_rows, keys, time, sums, latest, peers, tie, limit)
+        )
     return out.drop("_slice")
 
 
@@ -158,25 +160,34 @@ def _running_plain(rows, keys, time, sums, latest, peers, tie):
     same_time = by_key.orderBy(time).rangeBetween(0, 0)
     return rows.select(
         "*",
-        *[F.sum(c).over(so_far).alias(name) for name, c in sums.items()],
+        *[
+            F.coalesce(F.sum(c).over(so_far), F.lit(0)).alias(name)
+            for name, c in sums.items()
+        ],
         *[F.max(c).over(so_far).alias(name) for name, c in latest.items()],
         *[F.sum(c).over(same_time).alias(name) for name, c in peers.items()],
     )
 
 
-def _running_split(rows, keys, time, sums, latest, peers, tie):
+def _running_split(rows, keys, time, sums, latest, peers, tie, limit):
     names = [*sums, *latest, *peers]
     within = [time] if tie is None else [time, "_slice"]
     cells = rows.groupBy(*keys, *within).agg(
         *[F.sum(c).alias(name) for name, c in {**sums, **peers}.items()],
         *[F.max(c).alias(name) for name, c in latest.items()],
+        F.count("*").alias("_rows"),
     )
+    cells = staged(cells, "cells")
+    crowded = cells.where(F.col("_rows") > limit).select(*keys, *within)
+    cells = cells.drop("_rows")
     if tie is None:
         totals = _cell_totals(
             cells, keys, within, list(sums), list(latest), inclusive=True
         )
-        return rows.join(
-            totals.select(*keys, time, *names), [*keys, time], "inner"
+        # Many rows may share one instant: those cells are joined by broadcast.
+        hot = None if crowded.isEmpty() else crowded
+        return skew_join(
+            rows, totals.select(*keys, time, *names), [*keys, time], "inner", limit, hot
         ).select(*rows.columns, *names)
 
     before = _cell_totals(
