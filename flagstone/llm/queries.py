@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstone.llm import chat, quality_rules
+from flagstone.llm import bpe, chat, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,3 +126,14 @@ FROM (SELECT *, n_words < {_RULES.min_words} OR 100 * n_repeat_words > 50 * n_wo
 @register("op6_quality_rules", QUALITY_SQL)
 def op6_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules.clean_documents(table(spark, root, "documents")).drop("cleaned", "lost_chars")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
+    return bpe.digests(table(spark, root, "documents"), tokenizer_path())
