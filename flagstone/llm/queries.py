@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstone.llm import bpe, chat, quality_rules
+from flagstone.llm import bpe, chat, quality_classifier, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,3 +137,15 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 @register("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.digests(table(spark, root, "documents"), tokenizer_path())
+
+
+@register("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    return quality_classifier.classify(
+        table(spark, root, "documents"), table(spark, root, "labels")
+    )
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.classify(table(spark, root, "documents"), table(spark, root, "labels"))

@@ -80,9 +80,29 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.count)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of the texts data[offsets[i]:offsets[i+1]]."""
-    inside = ~_SPACE[data]
+def hash_intervals(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of symbols[start:end] for ascending intervals of bytes, piece by piece."""
+    hashes = np.empty(len(start), np.uint64)
+    done = 0
+    while done < len(start):
+        low = start[done]
+        upto = max(done + 1, int(np.searchsorted(end, low + PIECE, "right")))
+        piece = _BYTE[symbols[low : end[upto - 1]]]
+        hashes[done:upto] = rolling(piece, start[done:upto] - low, end[done:upto] - low)
+        done = upto
+    return hashes
+
+
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case; all other bytes as they are."""
+    return _LOWER[data]
+
+
+def words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, gaps: np.ndarray = _SPACE
+) -> Words:
+    """Words of the texts data[offsets[i]:offsets[i+1]]: runs of bytes that are no gaps."""
+    inside = ~gaps[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     closes = inside.copy()
@@ -92,15 +112,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     opens[edges] = inside[edges]
     closes[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    symbols = _LOWER[data] if lower else data
-    hashes = np.empty(len(start), np.uint64)
-    done = 0
-    while done < len(start):  # pieces of whole words
-        low = start[done]
-        upto = max(done + 1, int(np.searchsorted(end, low + PIECE, "right")))
-        piece = _BYTE[symbols[low : end[upto - 1]]]
-        hashes[done:upto] = rolling(piece, start[done:upto] - low, end[done:upto] - low)
-        done = upto
+    hashes = hash_intervals(_LOWER[data] if lower else data, start, end)
     return Words(hashes, np.searchsorted(start, offsets), start, end)
 
 
