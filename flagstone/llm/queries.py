@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstone.llm import bpe, chat, quality_classifier, quality_rules, toxicity
+from flagstone.llm import bpe, chat, quality_classifier, quality_rules, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,3 +149,26 @@ def op10_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 @register("op5_toxicity")
 def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+# Brute force: every window of every document with the smallest document that has it.
+SUBSTRING_SQL = r"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS k,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (
+  SELECT doc_id, k, p, list_slice(ws, p, p + 49) AS seq
+  FROM (SELECT *, unnest(range(1, len(ws) - 48)) AS p FROM doc)),
+owned AS (SELECT k, p, doc_id, min(doc_id) OVER (PARTITION BY seq) AS low FROM win),
+gone AS (SELECT DISTINCT k, p + unnest(range(0, 50)) AS q FROM owned WHERE low < doc_id),
+word AS (SELECT k, unnest(ws) AS w, generate_subscripts(ws, 1) AS q FROM doc),
+kept AS (
+  SELECT word.k, string_agg(w, ' ' ORDER BY q) AS text FROM word ANTI JOIN gone USING (k, q) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN (SELECT k, count(*) AS n FROM gone GROUP BY k) USING (k) LEFT JOIN kept USING (k)"""
+
+
+@register("op1_substring_dedup", SUBSTRING_SQL)
+def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
