@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstone.llm import bpe, chat, quality_classifier, quality_rules, substring_dedup, toxicity
+from flagstone.llm import (
+    bpe,
+    chat,
+    jaccard_join,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,3 +180,26 @@ FROM doc LEFT JOIN (SELECT k, count(*) AS n FROM gone GROUP BY k) USING (k) LEFT
 def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+# Brute force: all pairs of sets that share a shingle; components by repeated least labels.
+JACCARD_SQL = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, row_number() OVER () AS k,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, k, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i : i + 4], ' ') for i in range(1, len(ws) - 3)]) END AS s FROM doc),
+gram AS (SELECT k, len(s) AS n, unnest(s) AS g FROM sets),
+pair AS (
+  SELECT a.k AS a, b.k AS b FROM gram a JOIN gram b ON a.g = b.g AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT a AS k, a AS r FROM pair UNION SELECT reach.k, pair.b FROM reach JOIN pair ON reach.r = pair.a),
+low AS (SELECT reach.k, min(doc_id) AS low FROM reach JOIN doc ON doc.k = reach.r GROUP BY reach.k)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(low, doc_id) AS component_id
+FROM sets LEFT JOIN low USING (k)"""
+
+
+@register("op8_jaccard_join", JACCARD_SQL)
+def op8_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, root, "documents")).drop("key")
