@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flagstone.llm import (
     bpe,
     chat,
+    decontamination,
     jaccard_join,
     quality_classifier,
     quality_rules,
@@ -203,3 +204,10 @@ FROM sets LEFT JOIN low USING (k)"""
 @register("op8_jaccard_join", JACCARD_SQL)
 def op8_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_join.classes(table(spark, root, "documents")).drop("key")
+
+
+@register("op9_decontamination")
+def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontamination.findings(
+        table(spark, root, "documents"), table(spark, root, "benchmark")
+    ).select("doc_id", "item_id", "covered_words", "longest_run", "item_words", "n_slots")
