@@ -184,7 +184,7 @@ def _verify(pairs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, key (identity of the row), n_shingles, component_id of every document."""
+    """doc_id, key (identity of the row), class, n_shingles, component_id of every document."""
     docs = documents.select(
         "doc_id", F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text")
     )
@@ -292,6 +292,21 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     return member.join(least, "class", "left").select(
         "doc_id",
         "key",
+        "class",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("low", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id, with all its columns.
+
+    Documents without words are groups of their own; of rows equal in id and text one stays.
+    """
+    found = classes(documents, size, percent)
+    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("m"))
+    keys = first.select(F.col("m.key").alias("_key")).unionByName(
+        found.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct()
+    )
+    keyed = documents.withColumn("_key", F.xxhash64("doc_id", "text"))
+    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -12,6 +12,7 @@ from flagstone.llm import (
     chat,
     decontamination,
     jaccard_join,
+    language_model,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -203,7 +204,7 @@ FROM sets LEFT JOIN low USING (k)"""
 
 @register("op8_jaccard_join", JACCARD_SQL)
 def op8_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
-    return jaccard_join.classes(table(spark, root, "documents")).drop("key")
+    return jaccard_join.classes(table(spark, root, "documents")).drop("key", "class")
 
 
 @register("op9_decontamination")
@@ -211,3 +212,8 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontamination.findings(
         table(spark, root, "documents"), table(spark, root, "benchmark")
     ).select("doc_id", "item_id", "covered_words", "longest_run", "item_words", "n_slots")
+
+
+@register("op7_lm_score")
+def op7_lm_score(spark: SparkSession, root: str) -> DataFrame:
+    return language_model.score(table(spark, root, "documents"))

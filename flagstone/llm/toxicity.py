@@ -16,7 +16,7 @@ the driver. Scoring is a map over all documents: no shuffle.
 Cases: a null or empty text has no inputs and gets the chain's base rate; a null id is scored and
 never used to learn; a null label is no label; of several labels for one id the largest counts;
 repeated rows give repeated results; without toxic labels nothing is toxic; other columns are kept
-by `flag` and ignored by the rest.
+by `reject` and ignored by the rest.
 """
 
 from __future__ import annotations
@@ -190,3 +190,20 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     return scored.select(
         "*", F.col("p_toxic").alias("score"), toxic.cast("int").alias("predicted"), toxic.alias("toxic")
     )
+
+
+def reject(documents: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are not toxic, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(chain)
+    place = documents.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [str(i) for i in range(batch.num_columns)]  # columns may share names
+            numbered = pa.RecordBatch.from_arrays(batch.columns, names=names)
+            for part, data, offsets in pieces(numbered, names[place]):
+                toxic = shared.value.probabilities(inputs(data, offsets))[:, -1]
+                kept = part.filter(pa.array(toxic < threshold))
+                yield pa.RecordBatch.from_arrays(kept.columns, names=batch.schema.names)
+
+    return documents.mapInArrow(work, documents.schema)
