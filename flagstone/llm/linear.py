@@ -83,17 +83,20 @@ def fit_linear(
     lift = np.log((with_one + 0.5) / (ones + 1)) - np.log(
         (seen - with_one + 0.5) / (len(labels) - ones + 1)
     )
-    rows = rows.only((seen >= min_rows) & (np.abs(lift) > 1.0))
-    weights, shares = np.zeros(width), np.zeros(dense.shape[1])
+    keep = (seen >= min_rows) & (np.abs(lift) > 1.0)
+    used = np.flatnonzero(keep)
+    rows = rows.only(keep)
+    rows = Rows(rows.first, np.searchsorted(used, rows.columns), rows.values)
+    weights, shares = np.zeros(len(used)), np.zeros(dense.shape[1])
     row_weights = row_weights / max(row_weights.sum(), 1e-12)
     rate = float(np.clip((row_weights * labels).sum(), 1e-4, 1 - 1e-4))
     bias = float(np.log(rate / (1 - rate)))
-    gathered, gathered_dense, gathered_bias = np.full(width, 1e-8), np.full(dense.shape[1], 1e-8), 1e-8
+    gathered, gathered_dense, gathered_bias = np.full(len(used), 1e-8), np.full(dense.shape[1], 1e-8), 1e-8
     owner = rows.owner
     for _ in range(rounds):
         margin = np.bincount(owner, weights[rows.columns] * rows.values, minlength=n)[: len(labels)]
         error = (sigmoid(margin + dense @ shares + bias) - labels) * row_weights
-        slope = np.bincount(rows.columns, error[owner] * rows.values, minlength=width)
+        slope = np.bincount(rows.columns, error[owner] * rows.values, minlength=len(used))
         slope_dense, slope_bias = dense.T @ error, error.sum()
         gathered += slope**2
         gathered_dense += slope_dense**2
@@ -103,7 +106,9 @@ def fit_linear(
         weights = np.sign(weights) * np.maximum(np.abs(weights) - l1 * pace, 0)
         shares -= step * slope_dense / np.sqrt(gathered_dense)
         bias -= step * slope_bias / np.sqrt(gathered_bias)
-    return Linear(weights, shares, float(bias))
+    out = np.zeros(width)
+    out[used] = weights
+    return Linear(out, shares, float(bias))
 
 
 @dataclass

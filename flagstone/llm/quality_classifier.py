@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flagstone.llm import linear
-from flagstone.llm.text import pieces, words
+from flagstone.llm.text import distinct, pieces, words
 
 WORD_COLUMNS = 1 << 16
 BINS = 16
@@ -50,7 +50,7 @@ def _bin(share: np.ndarray) -> np.ndarray:
 
 
 def statistics(
-    data: np.ndarray, offsets: np.ndarray, n_words: np.ndarray, distinct: np.ndarray, n_chars: np.ndarray
+    data: np.ndarray, offsets: np.ndarray, n_words: np.ndarray, n_distinct: np.ndarray, n_chars: np.ndarray
 ) -> np.ndarray:
     """Bin of each statistic (columns) for each text (rows); n_chars is NaN where not known."""
     size = np.diff(offsets)
@@ -67,7 +67,7 @@ def statistics(
     wide = count((data & 0xC0) == 0x80)
     out.append(_bin(wide / floor))
     out.append(np.clip(np.log2(n_words + 1), 0, BINS - 1).astype(np.int64))
-    out.append(np.floor(distinct / np.maximum(n_words, 1) * (BINS - 1)).astype(np.int64))
+    out.append(np.floor(n_distinct / np.maximum(n_words, 1) * (BINS - 1)).astype(np.int64))
     chars = size - wide
     out.append(np.clip(chars / np.maximum(n_words, 1), 0, BINS - 1).astype(np.int64))
     lines = count(data == 0x0A) + 1
@@ -81,18 +81,18 @@ def inputs(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray) -> linear
     """Sparse inputs of texts: words with equal shares of length 1, statistics with value 1/4."""
     w = words(data, offsets, lower=True)
     columns = (w.hash & np.uint64(WORD_COLUMNS - 1)).astype(np.int64)
-    pairs = np.unique(w.text * WORD_COLUMNS + columns)
+    pairs = distinct(w.text * WORD_COLUMNS + columns)
     owner, columns = pairs // WORD_COLUMNS, pairs % WORD_COLUMNS
     n = len(offsets) - 1
-    distinct = np.bincount(owner, minlength=n)
-    stats = statistics(data, offsets, w.count, distinct, n_chars)
+    n_distinct = np.bincount(owner, minlength=n)
+    stats = statistics(data, offsets, w.count, n_distinct, n_chars)
     stats += WORD_COLUMNS + np.arange(stats.shape[1]) * BINS
     held = stats.shape[1]
-    first = np.concatenate([[0], np.cumsum(distinct + held)])
+    first = np.concatenate([[0], np.cumsum(n_distinct + held)])
     out, values = np.empty(first[-1], np.int64), np.empty(first[-1])
-    at = first[owner] + held + np.arange(len(pairs)) - np.concatenate([[0], np.cumsum(distinct)])[owner]
+    at = first[owner] + held + np.arange(len(pairs)) - np.concatenate([[0], np.cumsum(n_distinct)])[owner]
     out[at] = columns
-    values[at] = 1 / np.sqrt(distinct[owner])
+    values[at] = 1 / np.sqrt(n_distinct[owner])
     at = (first[:-1, None] + np.arange(held)).ravel()
     out[at] = stats.ravel()
     values[at] = 0.25

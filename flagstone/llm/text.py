@@ -61,6 +61,14 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * down[starts] + width * _U(0xD6E8FEB86659FD93))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Distinct integers, ascending (by sorting, which is faster here than by hashing)."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 @dataclass
 class Words:
     """Words of consecutive texts: `hash` of each, and where text i has [first[i], first[i+1])."""

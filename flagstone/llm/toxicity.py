@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flagstone.llm import linear
-from flagstone.llm.text import hash_intervals, lower_case, pieces, words
+from flagstone.llm.text import distinct, hash_intervals, lower_case, pieces, words
 
 COLUMNS = 1 << 18
 MAX_ROWS = 4_000
 FOLDS = 3
+MIN_ROWS = 4  # of the sample in which a column must occur
 BEGINNINGS = (4, 5, 6)
 SEEDS = {
     "insult": ("idiot", "loser", "moron", "scum", "clown"),
@@ -61,7 +62,7 @@ def inputs(data: np.ndarray, offsets: np.ndarray) -> linear.Rows:
         hashes.append(hash_intervals(low, start, start + n) + np.uint64(n))
         owners.append(owner[longer])
     columns = (np.concatenate(hashes) & np.uint64(COLUMNS - 1)).astype(np.int64)
-    pairs = np.unique(np.concatenate(owners) * COLUMNS + columns)
+    pairs = distinct(np.concatenate(owners) * COLUMNS + columns)
     owner = pairs // COLUMNS
     first = np.searchsorted(owner, np.arange(len(offsets)))
     return linear.Rows(first, pairs % COLUMNS, np.ones(len(pairs)))
@@ -153,7 +154,8 @@ def fit(
     columns = [np.frombuffer(r.columns, np.int32) for r in got]
     first = np.concatenate([[0], np.cumsum([len(c) for c in columns])]).astype(np.int64)
     flat = np.concatenate([*columns, np.zeros(0, np.int32)]).astype(np.int64)
-    data = linear.Rows(first, flat, np.ones(len(flat)))
+    common = np.bincount(flat, minlength=COLUMNS) >= MIN_ROWS
+    data = linear.Rows(first, flat, np.ones(len(flat))).only(common)
     y = np.array([r.y for r in got], float)
     named = np.array([[r[name] for name in SEEDS] for r in got], float).reshape(len(got), len(SEEDS))
     targets = np.column_stack([named * y[:, None], y * (named.sum(axis=1) == 0), y])
