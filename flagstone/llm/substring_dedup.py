@@ -41,6 +41,7 @@ from flagstone.sources.scratch import staged
 WINDOW = 50
 MINIMISER = 12
 LAST = (1 << 63) - 1
+NEW = ("n_words", "n_removed", "kept")
 
 
 def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
@@ -145,15 +146,14 @@ def _edges(opened: DataFrame, n: int) -> DataFrame:
     return opened.mapInArrow(work, "seed long, edge long, path long, at int, doc long")
 
 
-def _may_join(df: DataFrame, table: np.ndarray, wanted: bool = True) -> DataFrame:
-    """Rows whose key may (or, if not wanted, cannot) be in the bit table."""
+def _may_join(df: DataFrame, table: np.ndarray) -> DataFrame:
+    """Rows whose key may be in the bit table."""
     shared = df.sparkSession.sparkContext.broadcast(table)
     place = df.columns.index("key")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = may_hold(shared.value, np.asarray(batch.column(place)))
-            yield batch.filter(pa.array(held == wanted))
+            yield batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(place)))))
 
     return df.mapInArrow(work, df.schema)
 
@@ -213,9 +213,9 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
     )
 
 
-def _kept(text: str | None, starts: list[int], ends: list[int]) -> tuple[int, int, bytes]:
+def _kept(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
     """Words, removed words and kept words joined by one space."""
-    found = (text or "").encode().split()  # splits at exactly the six white bytes
+    found = text.split()  # splits at exactly the six white bytes
     if not len(starts):
         return len(found), 0, b" ".join(found)
     change = np.zeros(len(found) + 1, np.int64)
@@ -230,50 +230,48 @@ def remove_repeats(
 ) -> DataFrame:
     """The documents with n_words, n_removed and `kept`: the kept words joined by one space.
 
-    With `digest`, `kept` is the SHA-256 of that text. New columns replace those of their names.
+    With `digest`, `kept` is the SHA-256 of that text and the text itself is left out. New
+    columns replace those of their names.
     """
     runs = repeated_runs(documents, n, m)
     table = key_bits(runs, "key")
-    new = ("n_words", "n_removed", "kept")
-    names = [c for c in documents.columns if c not in (*new, "key", "runs")]
-    if len(names) + len([c for c in documents.columns if c in new]) != len(documents.columns):
-        raise ValueError("rename the columns `key` and `runs` before")
-    keyed = documents.select(F.xxhash64("doc_id", "text").alias("key"), *names)
-    none = F.lit(None).cast("array<struct<start:int,end:int>>")
-    rows = (
-        _may_join(keyed, table, wanted=False)
-        .withColumn("runs", none)
-        .unionByName(_may_join(keyed, table).join(runs, "key", "left"))
+    shared = documents.sparkSession.sparkContext.broadcast(table)
+    held = [c for c in documents.columns if c not in NEW and not (digest and c == "text")]
+    # Columns travel by number, so that no name can clash.
+    numbered = documents.select(
+        F.xxhash64("doc_id", "text").alias("key"),
+        F.col("text").cast("string").alias("words"),
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(held)],
     )
-    drop = {"text"} if digest else set()
-    held = [c for c in names if c not in drop]
+    schema = T.StructType([documents.schema[c] for c in held])
+    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            lists = batch.column(batch.schema.get_field_index("runs"))
-            marks = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))])
-            cells = lists.flatten()
-            starts, ends = np.asarray(cells.field(0)), np.asarray(cells.field(1))
-            got = [
-                _kept(t, starts[a:b], ends[a:b]) if b > a else _kept(t, [], [])
-                for t, a, b in zip(texts, marks.tolist(), marks[1:].tolist())
-            ]
-            kept = (
-                [hashlib.sha256(g[2]).hexdigest() for g in got]
-                if digest
-                else [g[2].decode() for g in got]
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(batch.schema.get_field_index(c)) for c in held],
-                    pa.array([g[0] for g in got], pa.int64()),
-                    pa.array([g[1] for g in got], pa.int64()),
-                    pa.array(kept, pa.string()),
-                ],
-                names=[*held, *new],
-            )
+            if "runs" not in batch.schema.names:  # rows that certainly have none
+                batch = batch.filter(pa.array(~may_hold(shared.value, np.asarray(batch.column(0)))))
+            for part, data, offsets in pieces(batch, "words"):
+                starts = ends = np.zeros(0, np.int64)
+                marks = np.zeros(part.num_rows + 1, np.int64)
+                if "runs" in part.schema.names:
+                    lists = part.column(part.schema.get_field_index("runs"))
+                    np.cumsum(np.asarray(lists.value_lengths().fill_null(0)), out=marks[1:])
+                    starts, ends = (np.asarray(lists.flatten().field(i)) for i in (0, 1))
+                got = [
+                    _kept(data[a:b].tobytes(), starts[c:d], ends[c:d])
+                    for a, b, c, d in zip(offsets[:-1], offsets[1:], marks[:-1], marks[1:])
+                ]
+                kept = [hashlib.sha256(g[2]).hexdigest() if digest else g[2].decode() for g in got]
+                at = [part.schema.get_field_index(f"c{i}") for i in range(len(held))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[part.column(i) for i in at],
+                        pa.array([g[0] for g in got], pa.int64()),
+                        pa.array([g[1] for g in got], pa.int64()),
+                        pa.array(kept, pa.string()),
+                    ],
+                    names=[*held, *NEW],
+                )
 
-    schema = T.StructType([documents.schema[c] for c in held])
-    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return rows.mapInArrow(work, schema)
+    joined = _may_join(numbered, table).join(runs, "key", "left")
+    return numbered.mapInArrow(work, schema).unionByName(joined.mapInArrow(work, schema))

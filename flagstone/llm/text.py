@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PIECE = 1 << 21  # bytes of text handled at once; longer single texts are cut at white space
+PIECE = 1 << 20  # bytes of text handled at once; longer single texts are cut at white space
 SPACES = r"[\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)
