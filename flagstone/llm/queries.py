@@ -16,6 +16,7 @@ from flagstone.llm import (
     quality_classifier,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
     toxicity,
 )
 
@@ -217,3 +218,9 @@ def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
 @register("op7_lm_score")
 def op7_lm_score(spark: SparkSession, root: str) -> DataFrame:
     return language_model.score(table(spark, root, "documents"))
+
+
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")

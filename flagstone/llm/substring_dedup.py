@@ -32,16 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from flagstone.llm.keyfilter import key_bits, may_hold
+from flagstone.llm.keyfilter import key_bits
+from flagstone.llm.runs import apply_runs, covered, may_join
 from flagstone.llm.text import Words, pieces, rolling, words
 from flagstone.sources.scratch import staged
 
 WINDOW = 50
 MINIMISER = 12
 LAST = (1 << 63) - 1
-NEW = ("n_words", "n_removed", "kept")
 
 
 def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
@@ -146,18 +145,6 @@ def _edges(opened: DataFrame, n: int) -> DataFrame:
     return opened.mapInArrow(work, "seed long, edge long, path long, at int, doc long")
 
 
-def _may_join(df: DataFrame, table: np.ndarray) -> DataFrame:
-    """Rows whose key may be in the bit table."""
-    shared = df.sparkSession.sparkContext.broadcast(table)
-    place = df.columns.index("key")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(place)))))
-
-    return df.mapInArrow(work, df.schema)
-
-
 def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) -> DataFrame:
     """key and runs (array of first word and end) of each document with repeated windows."""
     docs = _keyed(documents)
@@ -182,7 +169,7 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         )
     )
     opened = staged(opened, "opened")
-    texts = _may_join(docs.select("key", "text"), key_bits(opened, "key")).dropDuplicates(["key"])
+    texts = may_join(docs.select("key", "text"), key_bits(opened, "key")).dropDuplicates(["key"])
     edges = staged(_edges(opened.join(texts, "key"), n), "edges")
     owners = (
         edges.groupBy("seed", "edge")
@@ -213,15 +200,12 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
     )
 
 
-def _kept(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
+def _kept(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
     """Words, removed words and kept words joined by one space."""
-    found = text.split()  # splits at exactly the six white bytes
+    found = text.tobytes().split()  # splits at exactly the six white bytes
     if not len(starts):
         return len(found), 0, b" ".join(found)
-    change = np.zeros(len(found) + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, ends, -1)
-    gone = np.cumsum(change)[:-1] > 0
+    gone = covered(len(found), starts, ends)
     return len(found), int(gone.sum()), b" ".join([found[i] for i in np.flatnonzero(~gone)])
 
 
@@ -233,45 +217,11 @@ def remove_repeats(
     With `digest`, `kept` is the SHA-256 of that text and the text itself is left out. New
     columns replace those of their names.
     """
-    runs = repeated_runs(documents, n, m)
-    table = key_bits(runs, "key")
-    shared = documents.sparkSession.sparkContext.broadcast(table)
-    held = [c for c in documents.columns if c not in NEW and not (digest and c == "text")]
-    # Columns travel by number, so that no name can clash.
-    numbered = documents.select(
-        F.xxhash64("doc_id", "text").alias("key"),
-        F.col("text").cast("string").alias("words"),
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(held)],
-    )
-    schema = T.StructType([documents.schema[c] for c in held])
-    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if "runs" not in batch.schema.names:  # rows that certainly have none
-                batch = batch.filter(pa.array(~may_hold(shared.value, np.asarray(batch.column(0)))))
-            for part, data, offsets in pieces(batch, "words"):
-                starts = ends = np.zeros(0, np.int64)
-                marks = np.zeros(part.num_rows + 1, np.int64)
-                if "runs" in part.schema.names:
-                    lists = part.column(part.schema.get_field_index("runs"))
-                    np.cumsum(np.asarray(lists.value_lengths().fill_null(0)), out=marks[1:])
-                    starts, ends = (np.asarray(lists.flatten().field(i)) for i in (0, 1))
-                got = [
-                    _kept(data[a:b].tobytes(), starts[c:d], ends[c:d])
-                    for a, b, c, d in zip(offsets[:-1], offsets[1:], marks[:-1], marks[1:])
-                ]
-                kept = [hashlib.sha256(g[2]).hexdigest() if digest else g[2].decode() for g in got]
-                at = [part.schema.get_field_index(f"c{i}") for i in range(len(held))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(i) for i in at],
-                        pa.array([g[0] for g in got], pa.int64()),
-                        pa.array([g[1] for g in got], pa.int64()),
-                        pa.array(kept, pa.string()),
-                    ],
-                    names=[*held, *NEW],
-                )
+    def cut(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
+        n_words, n_removed, kept = _kept(text, starts, ends)
+        return n_words, n_removed, hashlib.sha256(kept).hexdigest() if digest else kept.decode()
 
-    joined = _may_join(numbered, table).join(runs, "key", "left")
-    return numbered.mapInArrow(work, schema).unionByName(joined.mapInArrow(work, schema))
+    new = [("n_words", "long"), ("n_removed", "long"), ("kept", "string")]
+    drop = ("text",) if digest else ()
+    return apply_runs(documents, repeated_runs(documents, n, m), new, cut, drop)

@@ -101,6 +101,11 @@ def hash_intervals(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> n
     return hashes
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A scrambled 64-bit integer for each byte, to roll hashes over."""
+    return _BYTE[data]
+
+
 def lower_case(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case; all other bytes as they are."""
     return _LOWER[data]
