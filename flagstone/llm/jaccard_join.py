@@ -8,18 +8,19 @@ are one class from the start. Then:
   come first, by hash, then the listed ones by their count. Linked sets share an n-gram in the
   first |x| - ceil(t |x|) + 1 of this order (prefix filter), and the first one they share leaves
   room for enough others behind it (positional filter) and their sizes agree (length filter);
-* sets that share a prefix n-gram are compared through one pivot per n-gram first, so a group of
+* sets that share a rare prefix n-gram (at most `SMALL` sets have it) are listed in pairs. Sets
+  that share a more frequent one are compared through one pivot per n-gram first, so a group of
   near copies costs one comparison per member; after that only pairs whose members are not yet
-  connected are listed, each once, and all of them are compared. So no link between different
-  components is lost, and no group is expanded into all its pairs;
-* before texts are compared, the counts of each set's n-grams in `PARTS` ranges of hashes bound
-  the intersection from above (suffix filter);
+  connected are listed. So no link between different components is lost, and no large group is
+  expanded into all its pairs;
+* before texts are compared, bitmaps of each set (the parity of its n-grams' hashes in `BITS`
+  cells) bound the difference from below and so the intersection from above (suffix filter);
 * a remaining pair is compared once, n-gram by n-gram.
 
-The list of frequent n-grams has at most documents / share members per mean set size, and only
-orders the n-grams: any order gives the same links. Frequent prefix n-grams skip the window over
-one n-gram's rows, so such a window never holds a hot n-gram; pivots are minima, combined before
-the shuffle, and joined back by a plain equi-join that adaptive execution splits.
+The list of frequent n-grams has at most `SHARE` members per mean set size, and only orders the
+n-grams: any order gives the same links. Frequent prefix n-grams skip the window over one n-gram's
+rows, so such a window never holds a hot n-gram; pivots are minima, combined before the shuffle,
+and joined back by a plain equi-join that adaptive execution splits.
 
 Cases: a null or empty text, or one without words, has an empty set and links with nothing; a null id
 is ignored as a component's id unless no other is there; repeated rows are in one class; an
@@ -36,13 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flagstone.llm.components import components
-from flagstone.llm.keyfilter import key_bits, may_hold
+from flagstone.llm.keyfilter import key_bits
+from flagstone.llm.runs import may_join
 from flagstone.llm.text import grams, mix, pieces, words
 from flagstone.sources.scratch import staged
 
 SIZE = 5
 PERCENT = 75
-PARTS = 16
+BITS = 1024
+SMALL = 32
 SHARE = 2_000  # an n-gram in more than 1 / SHARE of the documents is frequent
 ROUNDS = 2  # of pivots, before the remaining pairs are listed
 
@@ -67,15 +70,17 @@ def set_ids(text: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """key, id of the set, its size and its counts by range of hashes."""
+    """Identity, id of the set, its size and bitmap, for every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in pieces(batch):
                 text, hashes = shingle_sets(data, offsets, size)
                 rows = part.num_rows
-                ranges = (hashes >> np.uint64(60)).astype(np.int64)
-                parts = np.bincount(text * PARTS + ranges, minlength=rows * PARTS)
+                cells = np.bincount(
+                    text * BITS + (hashes >> np.uint64(54)).astype(np.int64), minlength=rows * BITS
+                )
+                parity = np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -83,15 +88,15 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(set_ids(text, hashes, rows)),
                         pa.array(np.bincount(text, minlength=rows).astype(np.int64)),
                         pa.ListArray.from_arrays(
-                            pa.array(np.arange(rows + 1, dtype=np.int32) * PARTS),
-                            pa.array(parts.astype(np.int32)),
+                            pa.array(np.arange(rows + 1, dtype=np.int32) * (BITS // 64)),
+                            pa.array(parity),
                         ),
                     ],
-                    names=["doc_id", "key", "set", "n", "parts"],
+                    names=["doc_id", "key", "set", "n", "bitmap"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"doc_id {kind}, key long, set long, n long, parts array<int>")
+    return docs.mapInArrow(work, f"doc_id {kind}, key long, set long, n long, bitmap array<long>")
 
 
 def frequent_grams(docs: DataFrame, size: int, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,96 +198,72 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     rows = _prefixes(docs, size, percent, frequent)
     rare = rows.where("not common").drop("common")
     partners = rare.selectExpr(
-        "*", "min(set) over (partition by gram) as low", "max(set) over (partition by gram) as high"
+        "*",
+        "min(set) over (partition by gram) as low",
+        "max(set) over (partition by gram) as high",
+        f"count(*) over (partition by gram) > {SMALL} as many",
     )
     rows = (
         partners.where("low < high")
-        .select("gram", "set", "place")
-        .unionByName(rows.where("common").drop("common").distinct())
+        .select("gram", "set", "place", "many")
+        .unionByName(rows.where("common").select("gram", "set", "place", F.lit(True).alias("many")).distinct())
     )
     rows = staged(rows, "prefixes").selectExpr(
-        "gram", "set", "shiftright(place, 32) as n", "place & 4294967295 as pos"
+        "gram", "set", "shiftright(place, 32) as n", "place & 4294967295 as pos", "many"
     )
-
-    wanted = rows.select("set").distinct()
-    chosen = (
-        sets.join(wanted, "set", "left_semi")
-        .groupBy("set")
-        .agg(F.min("key").alias("key"), F.first("parts").alias("parts"))
+    other = rows.toDF("gram", "set2", "n2", "pos2", "many2")
+    need = f"({percent} * (n + n2) + {99 + percent}) div {100 + percent}"  # 100 i >= percent (n + n2 - i)
+    admitted = F.expr(
+        f"100 * least(n, n2) >= {percent} * greatest(n, n2) and least(n - pos, n2 - pos2) >= {need}"
     )
-    chosen = staged(chosen, "chosen")
-    bits = docs.sparkSession.sparkContext.broadcast(key_bits(chosen, "key"))
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(bits.value, np.asarray(batch.column(0)))))
+    def listed(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs that pass the length and positional filters."""
+        return pairs.where(admitted).selectExpr(
+            "least(set, set2) as a", "greatest(set, set2) as b", f"{need} as need"
+        ).distinct()
 
-    texts = docs.select("key", "text").mapInArrow(likely, "key long, text string")
-    texts = staged(
-        texts.join(chosen.select("key", "set"), "key").dropDuplicates(["set"]).select("set", "text"), "texts"
+    shape = sets.groupBy("set").agg(
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")
     )
-    parts = chosen.select("set", "parts")
-
-    def enough(a: str, b: str) -> F.Column:
-        """The intersection that sizes a and b need, from 100 i >= percent (a + b - i)."""
-        return F.expr(f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}")
-
-    def admitted(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs on the n-gram that pass the length and positional filters."""
-        pairs = left.join(right, "gram").where(
-            f"set <> set2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)"
-        )
-        pairs = pairs.where(F.expr("least(n - pos, n2 - pos2)") >= enough("n", "n2"))
-        return pairs.selectExpr(
-            "least(set, set2) as a", "greatest(set, set2) as b", "n + n2 as total"
-        ).distinct()
 
-    def verified(pairs: DataFrame, done: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """All pairs that count as compared from now on, and the links among the new ones."""
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        bounded = pairs.join(parts.selectExpr("set as a", "parts as p"), "a").join(
-            parts.selectExpr("set as b", "parts as q"), "b"
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The links among the pairs."""
+        left = shape.selectExpr("set as a", "key as key_a", "n as n_a", "bitmap as p")
+        right = shape.selectExpr("set as b", "key as key_b", "n as n_b", "bitmap as q")
+        apart = F.aggregate(
+            F.zip_with("p", "q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
         )
-        common = F.aggregate(
-            F.zip_with("p", "q", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x
-        )
-        bounded = bounded.where(common >= F.expr(f"({percent} * total + {99 + percent}) div {100 + percent}"))
-        loaded = bounded.select("a", "b").join(texts.selectExpr("set as a", "text as text_a"), "a").join(
-            texts.selectExpr("set as b", "text as text_b"), "b"
-        )
-        links = staged(_verify(loaded, size, percent), "links")
-        new = pairs.select("a", "b")
-        return (new if done is None else done.unionByName(new)), links
-
-    done: DataFrame | None = None
-    links: DataFrame | None = None
-    labelled = rows.withColumn("component", F.col("set"))
+        near = pairs.join(left, "a").join(right, "b").where((F.col("n_a") + F.col("n_b") - apart) >= 2 * F.col("need"))
+        near = staged(near.select("a", "b", "key_a", "key_b"), "pairs")
+        keys = near.select(F.col("key_a").alias("key")).unionByName(near.select(F.col("key_b").alias("key")))
+        keys = keys.distinct()
+        texts = may_join(docs.select("key", "text"), key_bits(keys, "key"))
+        texts = texts.join(keys, "key", "left_semi").dropDuplicates(["key"])
+        loaded = near.join(texts.toDF("key_a", "text_a"), "key_a").join(texts.toDF("key_b", "text_b"), "key_b")
+        loaded = loaded.select("a", "b", "text_a", "text_b")
+        return staged(_verify(loaded, size, percent), "links")
+
+    few = rows.where("not many").join(other.where("not many2"), "gram").where("set < set2")
+    links = verified(listed(few))
+    many = rows.where("many").select("gram", "set", "n", "pos")
     for turn in range(ROUNDS):
+        labelled = _labelled(many, links)
         best = F.min(F.struct(F.xxhash64("component", F.lit(turn)), "set", "n", "pos")).alias("best")
         pivots = labelled.groupBy("gram").agg(best, F.min("component").alias("x"), F.max("component").alias("y"))
         pivots = pivots.where("x < y").selectExpr(
             "gram", "best.set as set2", "best.n as n2", "best.pos as pos2"
         )
-        done, found = verified(admitted(rows, pivots), done)
-        links = found if links is None else links.unionByName(found)
-        label = components(links).selectExpr("node as set", "component")
-        labelled = rows.join(label, "set", "left").withColumn(
-            "component", F.coalesce("component", "set")
-        )
+        found = verified(listed(many.join(pivots, "gram").where("set <> set2")))
+        links = links.unionByName(found)
+    labelled = _labelled(many, links)
     apart = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_rows = staged(labelled.join(apart.where("x < y").select("gram"), "gram", "left_semi"), "open")
-    left = open_rows.select("gram", "set", "n", "pos", "component")
+    left = staged(labelled.join(apart.where("x < y").select("gram"), "gram", "left_semi"), "open")
+    left = left.select("gram", "set", "n", "pos", "component")
     right = left.toDF("gram", "set2", "n2", "pos2", "component2")
     crossing = left.join(right, "gram").where("set < set2 and component <> component2")
-    crossing = crossing.where(
-        f"100 * least(n, n2) >= {percent} * greatest(n, n2) and least(n - pos, n2 - pos2) >= "
-        f"({percent} * (n + n2) + {99 + percent}) div {100 + percent}"
-    )
-    crossing = crossing.selectExpr("set as a", "set2 as b", "n + n2 as total")
-    done, found = verified(crossing.distinct(), done)
-    label = components(links.unionByName(found)).selectExpr("node as set", "component")
+    links = links.unionByName(verified(listed(crossing)))
+    label = components(links).selectExpr("node as set", "component")
 
     member = sets.join(label, "set", "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "set").alias("class")
@@ -298,6 +279,12 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     )
 
 
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with the component of their set by the links so far."""
+    label = components(links).selectExpr("node as set", "component")
+    return rows.join(label, "set", "left").withColumn("component", F.coalesce("component", "set"))
+
+
 def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id, with all its columns.
 
