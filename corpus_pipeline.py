@@ -29,11 +29,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts windows of 50 words that a document of smaller id has too."""
-    cut = substring_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars"))
-    replaced = {"text": text, "n_chars": n_chars.cast(docs.schema["n_chars"].dataType)}
-    return cut.select(*[replaced.get(c, F.col(c)).alias(c) for c in docs.columns])
+    cut = substring_dedup.remove_repeats(docs, output="replace")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    cut = cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ Cases: null and empty texts have no windows; items with fewer words than `size`
 all their words; windows and items with fewer than `min_literal` literal words are not searched;
 a null document or item id is kept as null; rows equal in id and text share their result, and
 repeated items are found once; an empty benchmark finds nothing; other columns are kept by
-`clean`, whatever their names (but `_key`).
+`clean`, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flagstone.llm.text import word_list
+from flagstone.llm.text import fresh, word_list
 from flagstone.sources.scratch import staged
 
 
@@ -200,5 +200,6 @@ def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules |
 def clean(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None) -> DataFrame:
     """The documents that no item contaminates."""
     bad = staged(findings(documents, benchmark, rules).select("_key").distinct(), "contaminated")
-    keyed = documents.withColumn("_key", F.xxhash64("doc_id", "text"))
-    return keyed.join(bad, "_key", "left_anti").drop("_key")
+    name = fresh(documents, "_key")
+    keyed = documents.withColumn(name, F.xxhash64("doc_id", "text"))
+    return keyed.join(bad.toDF(name), name, "left_anti").drop(name)

@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from flagstone.llm.components import components
 from flagstone.llm.keyfilter import key_bits
-from flagstone.llm.runs import may_join
-from flagstone.llm.text import grams, mix, pieces, words
+from flagstone.llm.runs import packed_texts, unpacked
+from flagstone.llm.text import fresh, grams, mix, pieces, words
 from flagstone.sources.scratch import staged
 
 SIZE = 5
@@ -159,31 +159,26 @@ def _prefixes(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarr
 
 
 def _verify(pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b, text_a, text_b) that link."""
+    """The pairs (a, b, packed_a, packed_b) that link."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in pieces(batch, "text_a"):
-                text, left = shingle_sets(data, offsets, size)
-                rows = part.select(["a", "b", "text_b"])
-                # the other texts of the same rows, whatever their length
-                other_text, right = [], []
-                row = 0
-                for sub, more, marks in pieces(rows, "text_b"):
-                    t, h = shingle_sets(more, marks, size)
-                    other_text.append(t + row)
-                    right.append(h)
-                    row += sub.num_rows
-                other, right = np.concatenate(other_text), np.concatenate(right)
-                owner = np.concatenate([text, other])
-                value = np.concatenate([left, right])
+            for part in unpacked(batch):
+                owner, value = [], []
+                for name in ("packed_a", "packed_b"):
+                    row = 0
+                    for sub, data, offsets in pieces(part, name):
+                        text, hashes = shingle_sets(data, offsets, size)
+                        owner.append(text + row)
+                        value.append(hashes)
+                        row += sub.num_rows
+                owner, value = np.concatenate(owner), np.concatenate(value)
                 order = np.lexsort((value, owner))
                 owner, value = owner[order], value[order]
                 same = (owner[1:] == owner[:-1]) & (value[1:] == value[:-1])
-                n = part.num_rows
-                both = np.bincount(owner[1:][same], minlength=n)
-                union = np.bincount(owner, minlength=n) - both
-                yield rows.select(["a", "b"]).filter(pa.array(100 * both >= percent * union))
+                both = np.bincount(owner[1:][same], minlength=part.num_rows)
+                union = np.bincount(owner, minlength=part.num_rows) - both
+                yield part.select(["a", "b"]).filter(pa.array(100 * both >= percent * union))
 
     return pairs.mapInArrow(work, "a long, b long")
 
@@ -238,10 +233,10 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         near = staged(near.select("a", "b", "key_a", "key_b"), "pairs")
         keys = near.select(F.col("key_a").alias("key")).unionByName(near.select(F.col("key_b").alias("key")))
         keys = keys.distinct()
-        texts = may_join(docs.select("key", "text"), key_bits(keys, "key"))
+        texts = packed_texts(docs, key_bits(keys, "key"))
         texts = texts.join(keys, "key", "left_semi").dropDuplicates(["key"])
-        loaded = near.join(texts.toDF("key_a", "text_a"), "key_a").join(texts.toDF("key_b", "text_b"), "key_b")
-        loaded = loaded.select("a", "b", "text_a", "text_b")
+        loaded = near.join(texts.toDF("key_a", "packed_a"), "key_a").join(texts.toDF("key_b", "packed_b"), "key_b")
+        loaded = loaded.select("a", "b", "packed_a", "packed_b")
         return staged(_verify(loaded, size, percent), "links")
 
     few = rows.where("not many").join(other.where("not many2"), "gram").where("set < set2")
@@ -291,9 +286,11 @@ def one_of_each(documents: DataFrame, size: int = SIZE, percent: int = PERCENT)
     Documents without words are groups of their own; of rows equal in id and text one stays.
     """
     found = classes(documents, size, percent)
-    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("m"))
-    keys = first.select(F.col("m.key").alias("_key")).unionByName(
-        found.where("n_shingles = 0").select(F.col("key").alias("_key")).distinct()
+    order = F.struct(F.isnull("doc_id"), "doc_id", "key")  # a null id comes last
+    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(order).alias("m"))
+    name = fresh(documents, "_key")
+    keys = first.select(F.col("m.key").alias(name)).unionByName(
+        found.where("n_shingles = 0").select(F.col("key").alias(name)).distinct()
     )
-    keyed = documents.withColumn("_key", F.xxhash64("doc_id", "text"))
-    return keyed.join(keys, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed = documents.withColumn(name, F.xxhash64("doc_id", "text"))
+    return keyed.join(keys, name, "left_semi").dropDuplicates([name]).drop(name)

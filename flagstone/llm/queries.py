@@ -182,7 +182,9 @@ FROM doc LEFT JOIN (SELECT k, count(*) AS n FROM gone GROUP BY k) USING (k) LEFT
 @register("op1_substring_dedup", SUBSTRING_SQL)
 def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents").select("doc_id", "text")
-    return substring_dedup.remove_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
+    return substring_dedup.remove_repeats(documents, output="digest").withColumnRenamed(
+        "kept", "kept_sha256"
+    )
 
 
 # Brute force: all pairs of sets that share a shingle; components by repeated least labels.

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flagstone.llm.keyfilter import key_bits
-from flagstone.llm.runs import apply_runs, covered, may_join
+from flagstone.llm.runs import apply_runs, covered, packed_texts, unpacked
 from flagstone.llm.text import Words, pieces, rolling, words
 from flagstone.sources.scratch import staged
 
@@ -118,29 +118,28 @@ def _edges(opened: DataFrame, n: int) -> DataFrame:
     """Windows of the owners' paths: rows of opened have text and lists of (seed, path, at, size)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in pieces(batch):
-                w = words(data, offsets)
-                lists = part.column(part.schema.get_field_index("paths"))
-                cells = lists.flatten()
-                seed, path, at, size = (np.asarray(cells.field(i)) for i in range(4))
-                text = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths()))
-                doc = np.asarray(part.column(part.schema.get_field_index("doc")))[text]
-                ends = np.cumsum(size)
-                total = int(ends[-1]) if len(ends) else 0
-                row = np.repeat(np.arange(len(size)), size)
-                offset = np.arange(total) - (ends - size)[row]
-                start = (w.first[text] + at)[row] + offset
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(seed[row]),
-                        pa.array(rolling(w.hash, start, start + n).view(np.int64)),
-                        pa.array(path[row]),
-                        pa.array(offset.astype(np.int32)),
-                        pa.array(doc[row]),
-                    ],
-                    names=["seed", "edge", "path", "at", "doc"],
-                )
+        for part, data, offsets in (p for b in batches for u in unpacked(b) for p in pieces(u, "packed")):
+            w = words(data, offsets)
+            lists = part.column(part.schema.get_field_index("paths"))
+            cells = lists.flatten()
+            seed, path, at, size = (np.asarray(cells.field(i)) for i in range(4))
+            text = np.repeat(np.arange(part.num_rows), np.asarray(lists.value_lengths()))
+            doc = np.asarray(part.column(part.schema.get_field_index("doc")))[text]
+            ends = np.cumsum(size)
+            total = int(ends[-1]) if len(ends) else 0
+            row = np.repeat(np.arange(len(size)), size)
+            offset = np.arange(total) - (ends - size)[row]
+            start = (w.first[text] + at)[row] + offset
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(seed[row]),
+                    pa.array(rolling(w.hash, start, start + n).view(np.int64)),
+                    pa.array(path[row]),
+                    pa.array(offset.astype(np.int32)),
+                    pa.array(doc[row]),
+                ],
+                names=["seed", "edge", "path", "at", "doc"],
+            )
 
     return opened.mapInArrow(work, "seed long, edge long, path long, at int, doc long")
 
@@ -169,7 +168,7 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         )
     )
     opened = staged(opened, "opened")
-    texts = may_join(docs.select("key", "text"), key_bits(opened, "key")).dropDuplicates(["key"])
+    texts = packed_texts(docs, key_bits(opened, "key")).dropDuplicates(["key"])
     edges = staged(_edges(opened.join(texts, "key"), n), "edges")
     owners = (
         edges.groupBy("seed", "edge")
@@ -210,18 +209,25 @@ def _kept(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[int,
 
 
 def remove_repeats(
-    documents: DataFrame, n: int = WINDOW, m: int = MINIMISER, digest: bool = False
+    documents: DataFrame, n: int = WINDOW, m: int = MINIMISER, output: str = "kept"
 ) -> DataFrame:
-    """The documents with n_words, n_removed and `kept`: the kept words joined by one space.
+    """The documents with n_words and n_removed, and in place of the text, by `output`:
 
-    With `digest`, `kept` is the SHA-256 of that text and the text itself is left out. New
-    columns replace those of their names.
+    kept     a column of that name, the kept words joined by one space
+    digest   the same as SHA-256
+    replace  `text` as it was, or the kept words joined by one space where words were removed
+
+    New columns replace those of their names.
     """
 
     def cut(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
         n_words, n_removed, kept = _kept(text, starts, ends)
-        return n_words, n_removed, hashlib.sha256(kept).hexdigest() if digest else kept.decode()
-
-    new = [("n_words", "long"), ("n_removed", "long"), ("kept", "string")]
-    drop = ("text",) if digest else ()
-    return apply_runs(documents, repeated_runs(documents, n, m), new, cut, drop)
+        if output == "digest":
+            return n_words, n_removed, hashlib.sha256(kept).hexdigest()
+        if output == "replace" and not n_removed:
+            kept = text.tobytes()
+        return n_words, n_removed, kept.decode()
+
+    name = "text" if output == "replace" else "kept"
+    new = [("n_words", "long"), ("n_removed", "long"), (name, "string")]
+    return apply_runs(documents, repeated_runs(documents, n, m), new, cut, ("text",))

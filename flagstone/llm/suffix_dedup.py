@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from flagstone.llm.bwt import repeated_starts
 from flagstone.llm.keyfilter import key_bits
-from flagstone.llm.runs import apply_runs, covered, may_join
+from flagstone.llm.runs import apply_runs, covered, packed_texts, unpacked
 from flagstone.llm.substring_dedup import sliding_argmin
 from flagstone.llm.text import byte_values, pieces, rolling
 from flagstone.sources.scratch import staged
@@ -104,22 +104,21 @@ def _path_rows(docs: DataFrame, n: int, m: int) -> DataFrame:
 
 
 def _strings(opened: DataFrame, n: int) -> DataFrame:
-    """The bytes of each path: rows have text and a list of (seed, path, at, size, hot)."""
+    """The bytes of each path: rows have a packed text and a list of (seed, path, at, size, hot)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in pieces(batch):
-                lists = part.column(part.schema.get_field_index("paths"))
-                cells = lists.flatten()
-                at, size = np.asarray(cells.field(2)), np.asarray(cells.field(3))
-                low = np.repeat(offsets[:-1], np.asarray(lists.value_lengths())) + at
-                high = low + size + n - 1
-                raw = data.tobytes()
-                strings = [raw[a:b] for a, b in zip(low.tolist(), high.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [cells.field(0), cells.field(1), cells.field(4), pa.array(strings, pa.binary())],
-                    names=["seed", "path", "hot", "string"],
-                )
+        for part, data, offsets in (p for b in batches for u in unpacked(b) for p in pieces(u, "packed")):
+            lists = part.column(part.schema.get_field_index("paths"))
+            cells = lists.flatten()
+            at, size = np.asarray(cells.field(2)), np.asarray(cells.field(3))
+            low = np.repeat(offsets[:-1], np.asarray(lists.value_lengths())) + at
+            high = low + size + n - 1
+            raw = data.tobytes()
+            strings = [raw[a:b] for a, b in zip(low.tolist(), high.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [cells.field(0), cells.field(1), cells.field(4), pa.array(strings, pa.binary())],
+                names=["seed", "path", "hot", "string"],
+            )
 
     return opened.mapInArrow(work, "seed long, path long, hot boolean, string binary")
 
@@ -191,7 +190,7 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         )
     )
     opened = staged(opened, "opened")
-    texts = may_join(docs, key_bits(opened, "key")).dropDuplicates(["key"])
+    texts = packed_texts(docs, key_bits(opened, "key")).dropDuplicates(["key"])
     strings = staged(_strings(opened.join(texts, "key"), n), "strings")
     cut = _bucket_starts(strings.where("not hot"), n).unionByName(
         _counted_starts(strings.where("hot").drop("hot"), n)
@@ -216,8 +215,8 @@ def remove_repeats(
 ) -> DataFrame:
     """The documents with n_bytes, n_removed, n_spans and `kept`: the remaining bytes.
 
-    Cuts need not lie between characters, so `kept` is binary; with `digest` it is its SHA-256
-    and the text itself is left out. New columns replace those of their names.
+    Cuts need not lie between characters, so `kept` is binary; with `digest` it is its SHA-256.
+    The text itself is left out. New columns replace those of their names.
     """
 
     def cut(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
@@ -231,5 +230,4 @@ def remove_repeats(
 
     new = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")]
     new.append(("kept", "string" if digest else "binary"))
-    drop = ("text",) if digest else ()
-    return apply_runs(documents, repeated_runs(documents, n, m), new, cut, drop)
+    return apply_runs(documents, repeated_runs(documents, n, m), new, cut, ("text",))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 20  # bytes of text handled at once; longer single texts are cut at white space
@@ -189,3 +189,11 @@ def word_list(text: Column) -> Column:
 def row_key(*columns: str) -> Column:
     """Identity of a document: rows equal in these columns share their result."""
     return F.xxhash64(*columns)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
