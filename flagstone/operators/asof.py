@@ -24,7 +24,8 @@ def attach_latest(
 
     `order` names version columns that decide between versions of equal time (largest
     wins). Facts and versions are put on one time line and a running maximum carries the
-    version forward, so no pair of fact and version is ever built.
+    version forward, so no pair of fact and version is ever built. A null key matches
+    nothing: such versions are dropped and such facts get nulls, without a shuffle.
     """
     keys = list(keys)
     payload = [c for c in versions.columns if c not in (*keys, version_time)]
@@ -35,12 +36,15 @@ def attach_latest(
         *[F.col(c) for c in rest],
     )
     carried = [c for c in facts.columns if c not in keys]
-    line = facts.select(
+    some_null = F.lit(False)
+    for key in keys:
+        some_null = some_null | F.col(key).isNull()
+    line = facts.where(~some_null).select(
         *keys,
         micros(fact_time).alias("_us"),
         F.struct(*carried).alias("_fact"),
     ).unionByName(
-        versions.select(
+        versions.where(~some_null).select(
             *keys, micros(version_time).alias("_us"), version.alias("_version")
         ),
         allowMissingColumns=True,
@@ -48,8 +52,11 @@ def attach_latest(
     seen = running(
         line, keys, "_us", latest={"_latest": F.col("_version")}, limit=limit
     )
-    return seen.where(F.col("_fact").isNotNull()).select(
+    found = seen.where(F.col("_fact").isNotNull()).select(
         *keys,
         "_fact.*",
         *[F.col("_latest").getField(c).alias(c) for c in (version_time, *payload)],
     )
+    return found.unionByName(
+        facts.where(some_null).select(*keys, *carried), allowMissingColumns=True
+    )

@@ -22,7 +22,6 @@ from flagstone.sources.scratch import staged
 HOT_ROWS = Settings.hot_rows
 TIE_SLICES = 256
 FIND = "find"  # look for hot keys in the input itself
-SHORT_LIST = 200_000  # keys that may be broadcast, after they were counted
 
 
 def hot_keys(
@@ -43,18 +42,9 @@ def split_hot(
     )
 
 
-def restrict(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], limit: int = SHORT_LIST
-) -> DataFrame:
-    """Rows of `big` whose key occurs in `small`, or all of `big` if the list is too long.
-
-    A filter for callers that join on the key afterwards. The keys are counted before they
-    are broadcast; `big` is not shuffled.
-    """
-    listed = small.select(*keys).distinct()
-    if listed.limit(limit + 1).count() > limit:
-        return big
-    return big.join(F.broadcast(listed), list(keys), "left_semi")
+def restrict(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `big` whose key occurs in `small`. The planner chooses how, by their sizes."""
+    return big.join(small.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def skew_join(

@@ -222,7 +222,7 @@ def rolling_counts(
     if hot is None:
         # Shuffle the narrow rows; the columns to sum are computed on the other side.
         line = line.repartition("image_id")
-    counted = running(line, ["image_id"], "us", sums=sums, peers=peers, hot=hot)
+    counted = running(line, ["image_id"], "us", sums=sums, peers=peers, limit=limit, hot=hot)
     wanted = ["probe"] if probes is not None else ["view", "comment"]
     out = counted.where((step == 0) & kind.isin(*wanted))
     columns = []

@@ -4,12 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (
-    OneHotEncoder,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml.feature import FeatureHasher, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +13,7 @@ from flagstone.config import LABEL, MODEL_CATEGORICAL, MODEL_NUMERIC, Settings
 from flagstone.functions.features import UNKNOWN
 from flagstone.functions.scoring import recommendation
 
-MAX_CATEGORIES = 10_000
+HASHED = 1 << 10  # columns that the categories are hashed to
 
 
 def prepare(df: DataFrame, numeric_only: bool = False) -> DataFrame:
@@ -35,16 +30,6 @@ def prepare(df: DataFrame, numeric_only: bool = False) -> DataFrame:
     return df.withColumns(columns)
 
 
-def check_categories(df: DataFrame) -> None:
-    """The encoder keeps its categories on the driver, so their number is checked first."""
-    sizes = df.agg(
-        *[F.approx_count_distinct(c).alias(c) for c in MODEL_CATEGORICAL]
-    ).first()
-    large = {c: n for c, n in sizes.asDict().items() if n > MAX_CATEGORIES}
-    if large:
-        raise ValueError(f"too many distinct categories: {large}")
-
-
 def train(
     df: DataFrame,
     numeric_only: bool = False,
@@ -70,19 +55,16 @@ def train(
             ),
         ]
         return Pipeline(stages=stages).fit(rows)
-    check_categories(rows)
-    indexed = [f"{c}_index" for c in MODEL_CATEGORICAL]
-    encoded = [f"{c}_code" for c in MODEL_CATEGORICAL]
     stages = [
         numeric,
         StandardScaler(
             inputCol="numeric", outputCol="scaled", withMean=True, withStd=True
         ),
-        StringIndexer(
-            inputCols=list(MODEL_CATEGORICAL), outputCols=indexed, handleInvalid="keep"
+        # Fixed width: no list of categories is gathered, however many there are.
+        FeatureHasher(
+            inputCols=list(MODEL_CATEGORICAL), outputCol="encoded", numFeatures=HASHED
         ),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False),
-        VectorAssembler(inputCols=["scaled", *encoded], outputCol="inputs"),
+        VectorAssembler(inputCols=["scaled", "encoded"], outputCol="inputs"),
         LogisticRegression(
             featuresCol="inputs",
             labelCol=label,

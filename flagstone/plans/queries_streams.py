@@ -115,15 +115,24 @@ def s4_message_sink(spark: SparkSession, root: str) -> DataFrame:
     "t1_stream_tumbling",
     f"""{MODEL_SQL} SELECT image_id, event_type, make_timestamp(us - us % {BUCKET}) AS window_start,
     make_timestamp(us - us % {BUCKET} + {BUCKET}) AS window_end, count(*) AS event_count FROM byuser
-    WHERE us - us % {BUCKET} + {BUCKET} <= (SELECT max(us) FROM byuser) - 3600 * CAST({US} AS BIGINT)
     GROUP BY image_id, event_type, us - us % {BUCKET}""",
 )
 def t1_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
-    """Buckets closed by the watermark, which trails the newest event by one hour."""
+    """All buckets, open ones too: update mode into a latest-state table."""
     events = eventlog.by_user(eventlog.load_log(spark, root))
-    return ntz(
-        run_rounds(events, "tumbling", lambda s: jobs.tumbling_stream(s, TRAIN, DELAY))
-    )
+    return _latest_windows(events, "tumbling", lambda s: jobs.tumbling_stream(s, TRAIN, DELAY))
+
+
+def _latest_windows(
+    events: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Window counts in update mode; the largest count of a window is its last one."""
+    spark = events.sparkSession
+    path = scratch_dir(spark, f"{name}-windows")
+    run_rounds(events, name, build, jobs.latest_windows(path), mode="update")
+    key = ("image_id", "event_type", "window_start", "window_end")
+    schema = build(events).schema
+    return ntz(writers.get_latest(spark, path, schema, key, order=("event_count",)))
 
 
 @register(
@@ -133,17 +142,12 @@ def t1_stream_tumbling(spark: SparkSession, root: str) -> DataFrame:
       FROM byuser, (VALUES (0), (1), (2), (3)) AS v(i))
     SELECT image_id, event_type, make_timestamp(ws) AS window_start,
       make_timestamp(ws + 86400 * CAST({US} AS BIGINT)) AS window_end, count(*) AS event_count FROM s
-    WHERE ws + 86400 * CAST({US} AS BIGINT) <= (SELECT max(us) FROM byuser) - 3600 * CAST({US} AS BIGINT)
     GROUP BY image_id, event_type, ws""",
 )
 def t3_stream_sliding(spark: SparkSession, root: str) -> DataFrame:
     events = eventlog.by_user(eventlog.load_log(spark, root))
-    return ntz(
-        run_rounds(
-            events,
-            "sliding",
-            lambda s: jobs.sliding_stream(s, "1 day", "6 hours", DELAY),
-        )
+    return _latest_windows(
+        events, "sliding", lambda s: jobs.sliding_stream(s, "1 day", "6 hours", DELAY)
     )
 
 
@@ -174,17 +178,22 @@ def t2_stream_rolling(spark: SparkSession, root: str) -> DataFrame:
     WHERE event_type <> 'flag'""",
 )
 def t2_stream_rolling_by_grain(spark: SparkSession, root: str) -> DataFrame:
-    """Two stages: counts per grain of one hour, then keyed state over the counts."""
+    """Two stages: counts per grain of one hour, then keyed state over the counts.
+
+    A grain that came in several batches has as many state rows; the last has the largest counts.
+    """
     counts = _grains(eventlog.load_log(spark, root), "1 hour")
     rows = run_rounds(counts, "rolling", lambda s: st.rolling_state(s, ALERT, DELAY))
-    return ntz(rows.select("image_id", "event_type", "ts", *ROLLING_COLUMNS.split(", ")))
+    last = [F.max(c).alias(c) for c in ROLLING_COLUMNS.split(", ")]
+    return ntz(rows.groupBy("image_id", "event_type", "ts").agg(*last))
 
 
 def _grains(log: DataFrame, grain: str) -> DataFrame:
-    """First stage of the state jobs: a table of counts per grain."""
-    return run_rounds(
-        eventlog.by_user(log), "grains", lambda s: st.grain_counts(s, DELAY, grain)
-    )
+    """First stage of the state jobs: a table of counts per grain and batch."""
+    events = eventlog.by_user(log)
+    path = scratch_dir(log.sparkSession, "grains-out")
+    run_rounds(events, "grains", lambda s: s, jobs.grain_sink(path, grain))
+    return _batches(log.sparkSession, path, st.grain_totals(events, grain).schema)
 
 
 def _state_output(spark: SparkSession, root: str) -> str:

@@ -218,13 +218,12 @@ ROLLING_SQL = f"{MODEL_SQL}, {rolling_sql('byuser', ALERT)}"
 ALERT_SQL = f"{ROLLING_SQL}, {ALERT_ROWS_SQL}, {MILESTONE_SQL}"
 
 
-def grain_sql(seconds: int, delay: int = HOUR) -> str:
-    """Rolling counts over events cut to a grain, for the grains a watermark has closed."""
-    grain, late = seconds * US, delay * US
+def grain_sql(seconds: int) -> str:
+    """Rolling counts over events cut to a grain."""
+    grain = seconds * US
     return f"""{MODEL_SQL}, grain AS (
   SELECT image_id, event_id, n, event_type, us - us % {grain} AS us,
-         make_timestamp(us - us % {grain}) AS ts FROM byuser
-  WHERE us - us % {grain} + {grain} <= (SELECT max(us) FROM byuser) - {late}),
+         make_timestamp(us - us % {grain}) AS ts FROM byuser),
 {rolling_sql("grain", ALERT)}"""
 
 

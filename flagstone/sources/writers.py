@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from flagstone.operators.skew import restrict
 from flagstone.sources.readers import read_database_table
+from flagstone.sources.scratch import staged
 
 
 def publish(
@@ -109,6 +110,8 @@ def new_rows(
     )
     if existing is None:
         return first
+    # Written once: it is read twice, and values such as random ids must not change between.
+    first = staged(first, "new-rows")
     known = restrict(existing.select(*key), first, key)
     return first.join(known, list(key), "left_anti").select(*df.columns)
 
@@ -140,9 +143,25 @@ def decision_rows(scored: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch to its own folder; a replay of the batch replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+BASE = "base"  # the run id of compacted rows
+
+
+def run_id(spark: SparkSession) -> str:
+    """The id of the running stream: kept in its checkpoint, new with a new checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, run: str | None = None
+) -> str:
+    """Write one micro-batch to a folder of its run and batch; a replay replaces it.
+
+    Batch numbers start anew with a new checkpoint; the run id keeps such batches apart.
+    Returns the folder.
+    """
+    folder = f"{path}/run_id={run or run_id(df.sparkSession)}/batch_id={batch_id}"
+    df.write.mode("overwrite").parquet(folder)
+    return folder
 
 
 def put_latest(df: DataFrame, path: str, batch_id: int) -> None:
@@ -154,23 +173,31 @@ def get_latest(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    key: str = "image_id",
+    key: str | Sequence[str] = "image_id",
     order: Sequence[str] = ("ts",),
     prefix: str | None = None,
 ) -> DataFrame:
-    """Current row of each key, optionally of keys that start with `prefix`.
+    """Current row of each key, optionally of keys whose first column starts with `prefix`.
 
     The choice is a maximum over a struct, combined before the shuffle.
     """
-    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    key = [key] if isinstance(key, str) else list(key)
+    place = ("run_id", "batch_id")
+    stored = T.StructType(
+        [
+            *schema.fields,
+            T.StructField("run_id", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
+    )
     rows = spark.read.schema(stored).option("basePath", path).parquet(path)
     if prefix is not None:
-        rows = rows.where(F.col(key).startswith(prefix))
-    rest = [c for c in rows.columns if c not in (key, *order, "batch_id")]
+        rows = rows.where(F.col(key[0]).startswith(prefix))
+    rest = [c for c in rows.columns if c not in (*key, *order, *place)]
     return (
-        rows.groupBy(key)
-        .agg(F.max(F.struct(*order, "batch_id", *rest)).alias("last"))
-        .select(key, "last.*")
+        rows.groupBy(*key)
+        .agg(F.max(F.struct(*order, *place, *rest)).alias("last"))
+        .select(*key, "last.*")
         .select(*schema.names)
     )
 
@@ -178,8 +205,8 @@ def get_latest(
 def compact_latest(
     spark: SparkSession, path: str, target: str, schema: T.StructType, **choose
 ) -> None:
-    """Rewrite a latest-state table to one row per key in a new place."""
-    put_latest(get_latest(spark, path, schema, **choose), target, 0)
+    """Rewrite a latest-state table to one row per key in a new place; streams may go on there."""
+    write_batch(get_latest(spark, path, schema, **choose), target, 0, run=BASE)
 
 
 def append_csv(df: DataFrame, path: str) -> None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flagstone.config import Settings
 from flagstone.operators.alerts import moderation_requests
@@ -23,7 +24,7 @@ from flagstone.sources.writers import (
     put_latest,
     write_batch,
 )
-from flagstone.streaming.state import alerts_of, milestones_of
+from flagstone.streaming.state import GRAIN, alerts_of, grain_totals, milestones_of
 
 
 def parsed_stream(raw: DataFrame) -> DataFrame:
@@ -71,6 +72,27 @@ def sliding_stream(
     )
 
 
+def latest_windows(path: str) -> Callable[[DataFrame, int], None]:
+    """Batch function for window counts in update mode: open windows are stored as well."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        put_latest(batch, path, batch_id)
+
+    return write
+
+
+def grain_sink(path: str, grain: str = GRAIN) -> Callable[[DataFrame, int], None]:
+    """Batch function that stores each micro-batch's counts per image, type and grain.
+
+    Nothing is held back: counts of one grain from several batches add up in the keyed state.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(grain_totals(batch, grain), path, batch_id)
+
+    return write
+
+
 def flag_stream(events: DataFrame) -> DataFrame:
     """Running flag count per image, for update or complete mode."""
     return (
@@ -97,10 +119,8 @@ def state_sinks(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{out}/features", batch_id)
-        rows = batch.sparkSession.read.schema(batch.schema).parquet(
-            f"{out}/features/batch_id={batch_id}"
-        )
+        folder = write_batch(batch, f"{out}/features", batch_id)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(folder)
         if rows.isEmpty():
             return  # a batch that only moved the watermark
         alerts = alerts_of(rows, settings)
@@ -181,10 +201,14 @@ def run_available(
     target: str | Callable[[DataFrame, int], None],
     checkpoint: str | None = None,
     mode: str = "append",
-    timeout: int = 600,
+    timeout: float | None = None,
 ) -> StreamingQuery:
-    """Process what is there and stop: to a Parquet folder or through a batch function."""
+    """Process what is there and stop: to a Parquet folder or through a batch function.
+
+    There is no time limit unless `timeout` (seconds) is given.
+    """
     spark = stream.sparkSession
+    _listen(spark)
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint or scratch_dir(spark, "checkpoint"))
@@ -194,20 +218,56 @@ def run_available(
         query = writer.foreachBatch(target).start()
     else:
         query = writer.format("parquet").option("path", target).start()
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
     return query
 
 
+class RunTotals(StreamingQueryListener):
+    """Adds up every progress report of each run: batches, rows read, rows dropped as late."""
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict[str, int]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        sums = self.totals.setdefault(
+            str(p.runId), {"batches": 0, "input_rows": 0, "late_rows": 0}
+        )
+        sums["batches"] += 1
+        sums["input_rows"] += p.numInputRows
+        sums["late_rows"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        if ended := self.ended.get(str(event.runId)):
+            ended.set()
+
+    def of(self, query: StreamingQuery, wait: float = 30.0) -> dict[str, int]:
+        """Totals of a run; for an ended run, once its last report has arrived."""
+        run = str(query.runId)
+        if not query.isActive and run in self.ended:
+            self.ended[run].wait(wait)
+        return dict(self.totals.get(run, {"batches": 0, "input_rows": 0, "late_rows": 0}))
+
+
+_totals: dict[str, RunTotals] = {}  # by application
+
+
+def _listen(spark: SparkSession) -> RunTotals:
+    application = spark.sparkContext.applicationId
+    if application not in _totals:
+        _totals[application] = RunTotals()
+        spark.streams.addListener(_totals[application])
+    return _totals[application]
+
+
 def run_statistics(query: StreamingQuery) -> dict[str, int]:
-    """Rows read and rows dropped as too late, over the recent batches of a query."""
-    progress = query.recentProgress
-    return {
-        "input_rows": sum(p["numInputRows"] for p in progress),
-        "late_rows": sum(
-            op.get("numRowsDroppedByWatermark", 0)
-            for p in progress
-            for op in p["stateOperators"]
-        ),
-    }
+    """Batches, rows read and rows dropped as too late, over all batches of a run."""
+    return _listen(SparkSession.active()).of(query)

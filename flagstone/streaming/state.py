@@ -37,17 +37,21 @@ OUTPUT = (
 
 
 def grain_counts(events: DataFrame, watermark: str, grain: str = GRAIN) -> DataFrame:
-    """Counts per image, type and grain, emitted once the watermark has passed them.
+    """The same as a stream; in append mode a grain comes out once the watermark has passed it.
 
     `ts` is the start of the grain. Write this as a table or topic and read it back as the
-    input of `rolling_state`.
+    input of `rolling_state`; `jobs.grain_sink` does so without holding anything back.
     """
+    return grain_totals(events.withWatermark("ts", watermark), grain)
+
+
+def grain_totals(events: DataFrame, grain: str = GRAIN) -> DataFrame:
+    """Counts per image, type and grain of the rows at hand, combined before the shuffle."""
     return (
         events.where(
             F.col("event_type").isin("view", "comment", "flag")
             & F.col("image_id").isNotNull()
         )
-        .withWatermark("ts", watermark)
         .groupBy("image_id", "event_type", F.window("ts", grain))
         .agg(F.count("*").alias("n"))
         .select("image_id", "event_type", F.col("window.start").alias("ts"), "n")

@@ -51,6 +51,15 @@ def test_unknown_category_is_scored(table, fitted):
     assert model.score_model(fitted, odd).count() == 1
 
 
+def test_many_categories_are_trained(table):
+    many = table.selectExpr("* except (category)", "concat('c', monotonically_increasing_id()) as category")
+    wide = many.crossJoin(many.sparkSession.range(30)).selectExpr(
+        "* except (category, id)", "concat(category, '-', id) as category"
+    )
+    assert wide.select("category").distinct().count() > 10_000
+    assert model.score_model(model.train(wide, max_iter=2), wide).count() == wide.count()
+
+
 def test_numeric_model(table):
     small = model.train(table, numeric_only=True)
     assert auc(model.score_model(small, table, numeric_only=True)) > 0.7
@@ -74,9 +83,3 @@ def test_modes(table, fitted):
         for use, m in ((False, fitted), (True, None), (True, fitted))
     ]
     assert modes == ["heuristic", "heuristic_fallback", "model"]
-
-
-def test_too_many_categories_are_refused(spark, table, monkeypatch):
-    monkeypatch.setattr(model, "MAX_CATEGORIES", 1)
-    with pytest.raises(ValueError):
-        model.train(table)

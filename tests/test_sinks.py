@@ -45,6 +45,30 @@ def test_latest_state_replays_and_compacts(spark, tmp_path):
     assert rows(writers.get_latest(spark, path, schema, prefix="i"), "image_id", "v") == [("i", 2)]
     writers.compact_latest(spark, path, compact, schema)
     assert spark.read.parquet(compact).count() == 2
+    # a stream with a new checkpoint starts at batch 0 again and loses nothing
+    writers.write_batch(make(("i", at(3), 3)), compact, 0, run="later")
+    assert rows(writers.get_latest(spark, compact, schema), "image_id", "v") == [("i", 3), ("j", 1)]
+
+
+def test_new_checkpoints_keep_old_batches(spark, tmp_path):
+    from flagstone.streaming import jobs
+
+    path, source = str(tmp_path / "state"), str(tmp_path / "in")
+    schema = "image_id string, ts timestamp, v int"
+    for n, key in enumerate("ij"):
+        spark.createDataFrame([(key, at(n), n)], schema).write.mode("overwrite").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        sink = lambda batch, i: writers.put_latest(batch, path, i)
+        jobs.run_available(stream, sink, str(tmp_path / f"checkpoint{n}"))
+    found = writers.get_latest(spark, path, spark.createDataFrame([], schema).schema)
+    assert rows(found, "image_id", "v") == [("i", 0), ("j", 1)]
+
+
+def test_latest_state_with_two_keys(spark, tmp_path):
+    path = str(tmp_path / "s")
+    df = spark.createDataFrame([("i", 1, 2), ("i", 1, 5), ("i", 2, 1)], "a string, b int, n int")
+    writers.put_latest(df, path, 0)
+    assert rows(writers.get_latest(spark, path, df.schema, ("a", "b"), ("n",))) == [("i", 1, 5), ("i", 2, 1)]
 
 
 def test_entities_and_image_folder(spark, tmp_path):
