@@ -71,39 +71,42 @@ def merge_repeats(shards: list[Shard], depth: int, end: int = 256) -> list[np.nd
 
     Prefixes with an end mark are no matches: rows that pass one are left out.
     """
-    sizes = np.array([len(s.symbol) for s in shards], np.int64)
+    sizes = np.array([len(s.order) for s in shards], np.int64)
     base = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     out = [np.zeros(n, bool) for n in sizes]
     if len(shards) < 2:
         return out
-    symbol = np.concatenate([s.symbol for s in shards])
-    lf = np.concatenate([s.lf + np.int64(b) for s, b in zip(shards, base)]).astype(np.int32)
+    # Two symbols a round: what a row reads on its way, and the row it comes to.
+    code, step = np.empty(base[-1], np.int32), np.empty(base[-1], np.int32)
+    for shard, low, high in zip(shards, base[:-1], base[1:]):
+        two = shard.symbol[shard.lf]
+        passed = two.astype(np.int32) << 8 | (shard.symbol & 255)
+        passed[(shard.symbol == end) | (two == end)] = -1
+        code[low:high] = passed
+        step[low:high] = shard.lf[shard.lf] + low
     owner = np.repeat(np.arange(len(shards), dtype=np.int32), sizes)
-    # Two symbols a round. A row ends in its longer suffix's row after reading both.
-    two = symbol[lf]
-    code = np.where((symbol == end) | (two == end), -1, two.astype(np.int32) << 8 | (symbol & 255))
-    code = code.astype(np.int32)
-    step = lf[lf]
-    rows = np.arange(base[-1], dtype=np.int32)
-    block = np.zeros(len(rows), np.int32)
-    for _ in range(depth // 2):
-        passed = code[rows]
-        keep = passed >= 0
-        rows, block, passed = rows[keep], block[keep], passed[keep]
-        if not len(rows):
-            return out
-        by = np.argsort(passed.astype(np.uint16), kind="stable")
-        rows, block, passed = step[rows[by]], block[by], passed[by]
-        new = np.ones(len(rows), bool)
-        new[1:] = (passed[1:] != passed[:-1]) | (block[1:] != block[:-1])
-        begins = np.flatnonzero(new)
-        of = owner[rows]
-        mixed = np.minimum.reduceat(of, begins) < np.maximum.reduceat(of, begins)
-        lengths = np.diff(np.append(begins, len(rows)))
-        held = np.repeat(mixed, lengths)
-        rows, block = rows[held], np.repeat(np.cumsum(mixed, dtype=np.int32), lengths)[held]
-    for row, shard in zip(rows, owner[rows]):
-        out[shard][row - base[shard]] = True
+    # Rows of different first symbols never meet: an eighth of them at a time saves memory.
+    for eighth in range(8):
+        rows = np.flatnonzero(code >> 13 == eighth).astype(np.int32)
+        block = np.zeros(len(rows), np.int32)
+        for _ in range(depth // 2):
+            passed = code[rows]
+            keep = passed >= 0
+            rows, block, passed = rows[keep], block[keep], passed[keep]
+            if not len(rows):
+                break
+            by = np.argsort(passed.astype(np.uint16), kind="stable")
+            rows, block, passed = step[rows[by]], block[by], passed[by]
+            new = np.ones(len(rows), bool)
+            new[1:] = (passed[1:] != passed[:-1]) | (block[1:] != block[:-1])
+            begins = np.flatnonzero(new)
+            of = owner[rows]
+            mixed = np.minimum.reduceat(of, begins) < np.maximum.reduceat(of, begins)
+            lengths = np.diff(np.append(begins, len(rows)))
+            held = np.repeat(mixed, lengths)
+            rows, block = rows[held], np.repeat(np.cumsum(mixed, dtype=np.int32), lengths)[held]
+        for row, shard in zip(rows, owner[rows]):
+            out[shard][row - base[shard]] = True
     return out
 
 

@@ -41,7 +41,7 @@ from flagstone.sources.scratch import staged
 
 WINDOW = 200
 MINIMISER = 24
-MAX_PATHS = 20_000
+MAX_PATHS = 12_000
 BUCKET_BYTES = 1 << 20
 _PLACE = 20  # low bits that hold a position while minima are searched
 
