@@ -218,9 +218,11 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
             "least(set, set2) as a", "greatest(set, set2) as b", f"{need} as need"
         ).distinct()
 
-    shape = sets.groupBy("set").agg(
+    # Tables, not aggregates, on the side with one row per key: so a hot set or n-gram can be split.
+    shape = sets.join(rows.select("set").distinct(), "set", "left_semi").groupBy("set").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")
     )
+    shape = staged(shape, "shape")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among the pairs."""
@@ -234,7 +236,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         keys = near.select(F.col("key_a").alias("key")).unionByName(near.select(F.col("key_b").alias("key")))
         keys = keys.distinct()
         texts = packed_texts(docs, key_bits(keys, "key"))
-        texts = texts.join(keys, "key", "left_semi").dropDuplicates(["key"])
+        texts = staged(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "texts")
         loaded = near.join(texts.toDF("key_a", "packed_a"), "key_a").join(texts.toDF("key_b", "packed_b"), "key_b")
         loaded = loaded.select("a", "b", "packed_a", "packed_b")
         return staged(_verify(loaded, size, percent), "links")
@@ -249,11 +251,13 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         pivots = pivots.where("x < y").selectExpr(
             "gram", "best.set as set2", "best.n as n2", "best.pos as pos2"
         )
+        pivots = staged(pivots, "pivots")
         found = verified(listed(many.join(pivots, "gram").where("set <> set2")))
         links = links.unionByName(found)
     labelled = _labelled(many, links)
     apart = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    left = staged(labelled.join(apart.where("x < y").select("gram"), "gram", "left_semi"), "open")
+    apart = staged(apart.where("x < y").select("gram"), "apart")
+    left = staged(labelled.join(apart, "gram", "left_semi"), "open")
     left = left.select("gram", "set", "n", "pos", "component")
     right = left.toDF("gram", "set2", "n2", "pos2", "component2")
     crossing = left.join(right, "gram").where("set < set2 and component <> component2")

@@ -148,15 +148,15 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
     """key and runs (array of first word and end) of each document with repeated windows."""
     docs = _keyed(documents)
     rows = staged(_path_rows(docs, n, m), "paths")
-    shared_seeds = (
-        rows.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    )
-    rows = staged(rows.join(shared_seeds.select("seed"), "seed", "left_semi"), "shared-paths")
+    seeds = rows.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    # Written first: a join with a table can be split where a seed is hot, one with an aggregate not.
+    seeds = staged(seeds.where("low < high").select("seed"), "seeds")
+    rows = staged(rows.join(seeds, "seed", "left_semi"), "shared-paths")
     found = staged(
         rows.groupBy("seed", "path").agg(F.min(F.struct("doc", "key", "at", "size")).alias("owner")),
         "compacted",
     )
-    branching = found.groupBy("seed").count().where("count > 1").select("seed")
+    branching = staged(found.groupBy("seed").count().where("count > 1").select("seed"), "branching")
     opened = (
         found.join(branching, "seed", "left_semi")
         .groupBy(F.col("owner.key").alias("key"))
@@ -170,21 +170,16 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
     opened = staged(opened, "opened")
     texts = packed_texts(docs, key_bits(opened, "key")).dropDuplicates(["key"])
     edges = staged(_edges(opened.join(texts, "key"), n), "edges")
-    owners = (
-        edges.groupBy("seed", "edge")
-        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        .where("low < high")
-        .select("seed", "edge", "low")
-    )
+    owners = edges.groupBy("seed", "edge").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    owners = staged(owners.where("low < high").select("seed", "edge", "low"), "owners")
     cut = (
         edges.join(owners, ["seed", "edge"])
         .where("low < doc")
         .groupBy("seed", "path")
         .agg(F.collect_set("at").alias("offsets"))  # at most n - m + 1
     )
-    decided = found.select("seed", "path", F.col("owner.doc").alias("low")).join(
-        cut, ["seed", "path"], "left"
-    )
+    decided = found.select("seed", "path", F.col("owner.doc").alias("low"))
+    decided = staged(decided.join(cut, ["seed", "path"], "left"), "decided")
     whole = F.array(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("size") + n - 1).alias("end")))
     single = F.transform(
         "offsets",

@@ -171,7 +171,8 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text")
     )
     rows = staged(_path_rows(docs, n, m), "paths")
-    twice = rows.groupBy("seed").count().where("count > 1").select("seed")
+    # Written first: a join with a table can be split where a seed is hot, one with an aggregate not.
+    twice = staged(rows.groupBy("seed").count().where("count > 1").select("seed"), "seeds")
     rows = staged(rows.join(twice, "seed", "left_semi"), "shared-paths")
     found = staged(
         rows.groupBy("seed", "path").agg(
@@ -179,7 +180,7 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         ),
         "counted",
     )
-    branching = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
+    branching = staged(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "branching")
     opened = (
         found.join(branching, "seed")
         .groupBy(F.col("first.key").alias("key"))
@@ -196,6 +197,7 @@ def repeated_runs(documents: DataFrame, n: int = WINDOW, m: int = MINIMISER) ->
         _counted_starts(strings.where("hot").drop("hot"), n)
     )
     decided = found.select("seed", "path", "copies").join(cut, ["seed", "path"], "left")
+    decided = staged(decided, "decided")
     whole = F.array(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("size") + n - 1).alias("end")))
     single = F.transform(
         "starts",
