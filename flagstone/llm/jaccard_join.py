@@ -13,8 +13,10 @@ are one class from the start. Then:
   near copies costs one comparison per member; after that only pairs whose members are not yet
   connected are listed. So no link between different components is lost, and no large group is
   expanded into all its pairs;
-* before texts are compared, bitmaps of each set (the parity of its n-grams' hashes in `BITS`
-  cells) bound the difference from below and so the intersection from above (suffix filter);
+* common n-grams that are not in both prefixes lie behind one of them, so a pair's common prefix
+  n-grams (counted, or bounded by the shared ones of each set) and the longer suffix bound the
+  intersection; bitmaps of each set (the parity of its n-grams' hashes in `BITS` cells) bound
+  the difference from below as well (suffix filter);
 * a remaining pair is compared once, n-gram by n-gram.
 
 The list of frequent n-grams has at most `SHARE` members per mean set size, and only orders the
@@ -47,7 +49,7 @@ PERCENT = 75
 BITS = 1024
 SMALL = 32
 SHARE = 2_000  # an n-gram in more than 1 / SHARE of the documents is frequent
-ROUNDS = 2  # of pivots, before the remaining pairs are listed
+ROUNDS = 1  # of pivots, before the remaining pairs are listed
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -208,30 +210,42 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     )
     other = rows.toDF("gram", "set2", "n2", "pos2", "many2")
     need = f"({percent} * (n + n2) + {99 + percent}) div {100 + percent}"  # 100 i >= percent (n + n2 - i)
-    admitted = F.expr(
-        f"100 * least(n, n2) >= {percent} * greatest(n, n2) and least(n - pos, n2 - pos2) >= {need}"
-    )
+    sized = f"100 * least(n, n2) >= {percent} * greatest(n, n2)"
 
     def listed(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that pass the length and positional filters."""
-        return pairs.where(admitted).selectExpr(
-            "least(set, set2) as a", "greatest(set, set2) as b", f"{need} as need"
-        ).distinct()
+        """Distinct pairs that pass the length and positional filters, with their common n-grams."""
+        kept = pairs.where(sized).selectExpr(
+            "least(set, set2) as a", "greatest(set, set2) as b", f"{need} as need",
+            f"least(n - pos, n2 - pos2) >= {need} as room",
+        )
+        # The first common n-gram needs room for the rest; all of them are counted.
+        found = kept.groupBy("a", "b", "need").agg(F.count("*").alias("common"), F.max("room").alias("room"))
+        return found.where("room").drop("room")
 
     # Tables, not aggregates, on the side with one row per key: so a hot set or n-gram can be split.
-    shape = sets.join(rows.select("set").distinct(), "set", "left_semi").groupBy("set").agg(
+    shared = rows.groupBy("set").agg(
+        F.count_if("many").alias("in_many"), F.count_if(~F.col("many")).alias("in_few")
+    )
+    shape = sets.groupBy("set").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")
     )
-    shape = staged(shape, "shape")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The links among the pairs."""
-        left = shape.selectExpr("set as a", "key as key_a", "n as n_a", "bitmap as p")
-        right = shape.selectExpr("set as b", "key as key_b", "n as n_b", "bitmap as q")
+    shape = staged(shape.join(shared, "set"), "shape")
+
+    def verified(pairs: DataFrame, most: str) -> DataFrame:
+        """The links among the pairs; `most` bounds their common prefix n-grams."""
+        left, right = (
+            shape.selectExpr(
+                f"set as {x}", f"key as key_{x}", f"n as n_{x}", f"bitmap as bitmap_{x}",
+                f"in_many as many_{x}", f"in_few as few_{x}",
+            )
+            for x in "ab"
+        )
+        behind = f"({percent} * greatest(n_a, n_b) + 99) div 100 - 1"
         apart = F.aggregate(
-            F.zip_with("p", "q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+            F.zip_with("bitmap_a", "bitmap_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
         )
-        near = pairs.join(left, "a").join(right, "b").where((F.col("n_a") + F.col("n_b") - apart) >= 2 * F.col("need"))
+        near = pairs.join(left, "a").join(right, "b").where(f"{most} + {behind} >= need")
+        near = near.where((F.col("n_a") + F.col("n_b") - apart) >= 2 * F.col("need"))
         near = staged(near.select("a", "b", "key_a", "key_b"), "pairs")
         keys = near.select(F.col("key_a").alias("key")).unionByName(near.select(F.col("key_b").alias("key")))
         keys = keys.distinct()
@@ -242,7 +256,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         return staged(_verify(loaded, size, percent), "links")
 
     few = rows.where("not many").join(other.where("not many2"), "gram").where("set < set2")
-    links = verified(listed(few))
+    links = verified(listed(few), "common + least(many_a, many_b)")
     many = rows.where("many").select("gram", "set", "n", "pos")
     for turn in range(ROUNDS):
         labelled = _labelled(many, links)
@@ -252,7 +266,10 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
             "gram", "best.set as set2", "best.n as n2", "best.pos as pos2"
         )
         pivots = staged(pivots, "pivots")
-        found = verified(listed(many.join(pivots, "gram").where("set <> set2")))
+        found = verified(
+            listed(many.join(pivots, "gram").where("set <> set2")),
+            "least(many_a, many_b) + least(few_a, few_b)",
+        )
         links = links.unionByName(found)
     labelled = _labelled(many, links)
     apart = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
@@ -261,7 +278,8 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     left = left.select("gram", "set", "n", "pos", "component")
     right = left.toDF("gram", "set2", "n2", "pos2", "component2")
     crossing = left.join(right, "gram").where("set < set2 and component <> component2")
-    links = links.unionByName(verified(listed(crossing)))
+    found = verified(listed(crossing), "common + least(few_a, few_b)")
+    links = links.unionByName(found)
     label = components(links).selectExpr("node as set", "component")
 
     member = sets.join(label, "set", "left").select(
