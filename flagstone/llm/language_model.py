@@ -12,8 +12,8 @@ There is one part per `PART_TOKENS` tokens, so parts stay the same size as the c
 are cut into blocks of about `BLOCK_TOKENS` tokens; a block sends each part its distinct words,
 their distinct contexts, and for each the documents where it occurs. A part adds up the training
 counts of all blocks, builds its trie (words, pointers, contexts, quantised values), maps it into
-memory and answers each distinct bigram by context-relative successor search. Sums per document
-are combined at the end. One very frequent bigram's document references meet in one part: two to
+memory and answers each distinct bigram by context-relative successor search. It returns the sums
+of each block's documents in one row; the block's rows are combined at the end. One very frequent bigram's document references meet in one part: two to
 four bytes a document, already without text.
 
 Words and bigrams are known by 64-bit hashes. Counts are over all training documents, without cuts.
@@ -96,7 +96,7 @@ def _counts(names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 
 def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
     """One row for each block and part; see the module's text."""
-    names = ["part", "keys", "train", "words", "n_contexts", "contexts", "n_texts", "texts"]
+    names = ["part", "block", "keys", "train", "words", "n_contexts", "contexts", "n_texts", "texts"]
 
     def pack(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         predicted = np.concatenate([h[0] for h in held])
@@ -124,6 +124,8 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
         cuts = np.append(np.flatnonzero(new_part), len(text))
         pair_cuts, word_cuts = np.searchsorted(pair_at, cuts), np.searchsorted(word_at, cuts)
         rows: list[list] = [[] for _ in names]
+        # Blocks of one number would only be combined together; sums are by document in any case.
+        block = int(mix(np.array([keys.view(np.uint64).sum() + np.uint64(len(keys))]))[0] >> np.uint64(1))
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
             used, local = np.unique(text[a:b], return_inverse=True)
             pairs = slice(pair_cuts[i], pair_cuts[i + 1])
@@ -133,6 +135,7 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
                 rows,
                 (
                     int(part[a]),
+                    block,
                     keys[used].tobytes(),
                     train[used].tobytes(),
                     predicted[word_at[found]].tobytes(),
@@ -143,7 +146,7 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
                 ),
             ):
                 column.append(value)
-        kinds = [pa.int64(), *[pa.binary()] * 7]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 7]
         yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +165,8 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
         if held:
             yield from pack(held)
 
-    fields = ", ".join(f"{n} binary" for n in names[1:])
-    return docs.select("key", "train", "text").mapInArrow(work, f"part long, {fields}")
+    fields = ", ".join(f"{n} binary" for n in names[2:])
+    return docs.select("key", "train", "text").mapInArrow(work, f"part long, block long, {fields}")
 
 
 def part_counts(
@@ -183,8 +186,8 @@ def part_counts(
 
 def score_part(
     rows: list[dict], total: int, distinct: int, hot: np.ndarray, hot_counts: np.ndarray
-) -> tuple[np.ndarray, ...]:
-    """key, tokens, known tokens, base and model sums of one part's share of each document."""
+) -> list[tuple[np.ndarray, ...]]:
+    """For each row: key, tokens, known tokens, base and model sums of the part's share of documents."""
     split = []
     for row in rows:
         texts_kind = np.uint16 if len(row["train"]) <= 1 << 16 else np.uint32
@@ -225,24 +228,22 @@ def score_part(
     model = top + as_context[owner]
     base = np.log10(of_word + ALPHA)[owner]
     known = known[owner]
-    out: list[list[np.ndarray]] = [[] for _ in range(5)]
+    out = []
     low = 0
     for keys, block_word, _, n_texts, text, _ in split:
         at = np.repeat(place[low : low + len(block_word)], n_texts)
         low += len(block_word)
         n = len(keys)
-        for column, value in zip(
-            out,
+        out.append(
             (
                 keys,
                 np.bincount(text, minlength=n),
                 np.bincount(text, known[at], minlength=n).astype(np.int64),
                 np.bincount(text, base[at], minlength=n),
                 np.bincount(text, model[at], minlength=n),
-            ),
-        ):
-            column.append(value)
-    return tuple(np.concatenate(c) for c in out)
+            )
+        )
+    return out
 
 
 def score(documents: DataFrame) -> DataFrame:
@@ -267,12 +268,30 @@ def score(documents: DataFrame) -> DataFrame:
     blocks = _blocks(docs, parts, hot)
     shared = docs.sparkSession.sparkContext.broadcast((hot, hot_counts))
 
+    names = ["key", "n_tokens", "n_known", "base", "model"]
+    kinds = [np.int64, np.int64, np.int64, np.float64, np.float64]
+
     def work(group: pa.Table) -> pa.Table:
+        """A part's sums, one packed row for each block."""
         got = score_part(group.to_pylist(), total, distinct, *shared.value)
-        return pa.table(dict(zip(("key", "n_tokens", "n_known", "base", "model"), map(pa.array, got))))
-
+        packed = [pa.array([g[i].tobytes() for g in got], pa.binary()) for i in range(5)]
+        return pa.table([group.column("block"), *packed], names=["block", *names])
+
+    def combine(group: pa.Table) -> pa.Table:
+        """A block's sums over all parts: at most BLOCK_TOKENS entries come together."""
+        columns = [
+            np.concatenate([np.frombuffer(b, kind) for b in group.column(name).to_pylist()])
+            for name, kind in zip(names, kinds)
+        ]
+        keys, at = np.unique(columns[0], return_inverse=True)
+        sums = [np.bincount(at, c, minlength=len(keys)).astype(k) for c, k in zip(columns[1:], kinds[1:])]
+        return pa.table([pa.array(keys), *map(pa.array, sums)], names=names)
+
+    parted = blocks.groupBy("part").applyInArrow(
+        work, "block long, " + ", ".join(f"{n} binary" for n in names)
+    )
     schema = "key long, n_tokens long, n_known long, base double, model double"
-    sums = blocks.groupBy("part").applyInArrow(work, schema).groupBy("key").agg(
+    sums = parted.groupBy("block").applyInArrow(combine, schema).groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "model")]
     )
     # Rows equal in id and text were added up together; each has its share.
