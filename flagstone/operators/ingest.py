@@ -145,11 +145,21 @@ def upload_metadata(uploads: DataFrame) -> DataFrame:
 
 
 def parse_requests(raw: DataFrame) -> DataFrame:
+    """Moderation requests of envelopes. A request's id is its position in its topic."""
     return (
-        raw.select(F.from_json(F.col("value").cast("string"), REQUEST).alias("r"))
-        .select("r.*")
+        raw.select(
+            F.concat_ws("-", "topic", "partition", "offset").alias("event_id"),
+            F.from_json(F.col("value").cast("string"), REQUEST).alias("r"),
+        )
+        .select("event_id", "r.*")
         .where(F.col("image_id").isNotNull())
-        .withColumn("ts", F.timestamp_seconds("timestamp"))
+        .withColumns(
+            {
+                "trigger": F.coalesce("trigger", F.lit("unknown")),
+                # to the microsecond nearest to the number, not the one below
+                "ts": F.timestamp_micros(F.round(F.col("timestamp") * 1e6).cast("long")),
+            }
+        )
     )
 
 

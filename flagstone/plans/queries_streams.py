@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flagstone.functions.times import micros
+from flagstone.operators.ingest import parse_requests
 from flagstone.operators.windows import latest_metadata
 from flagstone.plans.queries_events import upload_rows
 from flagstone.plans.queries_features import _DECISION_SQL, _requests
@@ -294,6 +295,62 @@ def t11_stream_decisions(spark: SparkSession, root: str) -> DataFrame:
     return _batches(spark, f"{out}/decisions", schema).drop("id", "created_at")
 
 
+def _request_chain(spark: SparkSession, root: str) -> str:
+    """Requests as messages in a topic, parsed and answered; each fourth names no known image."""
+    log = eventlog.load_log(spark, root)
+    events = staged(eventlog.engagement(log), "engagement")
+    asked = _requests(events).withColumn("offset", F.col("event_id").cast("long"))
+    strange = F.col("offset") % 4 == 0
+    body = F.struct(
+        F.when(strange, F.concat(F.lit("gone-"), "image_id")).otherwise(F.col("image_id")).alias("image_id"),
+        F.when(F.col("offset") % 2 == 1, F.col("trigger")).alias("trigger"),
+        (micros("ts") / 1e6).alias("timestamp"),
+    )
+    sent = asked.select(
+        F.lit("moderation_requests").alias("topic"),
+        F.lit(0).alias("partition"),
+        "offset",
+        F.col("ts").alias("timestamp"),
+        F.to_json(body).alias("value"),
+    )
+    out = scratch_dir(spark, "answers")
+    sink = jobs.DecisionSink(
+        out,
+        events=lambda: events,
+        images=lambda: eventlog.images(log),
+        users=lambda: eventlog.users(log),
+        settings=TRAIN,
+    )
+    run_rounds(sent, "request-topic", parse_requests, sink, time="timestamp")
+    return out
+
+
+@register(
+    "t11_request_chain",
+    f"""{_DECISION_SQL} SELECT image_id, 'heuristic' AS inference_mode, p AS moderation_probability,
+    rec AS recommendation,
+    CASE WHEN CAST(event_id AS BIGINT) % 2 = 1 THEN 'flagged' ELSE 'unknown' END AS trigger_type
+    FROM final WHERE CAST(event_id AS BIGINT) % 4 <> 0""",
+)
+def t11_request_chain(spark: SparkSession, root: str) -> DataFrame:
+    """Messages, parsing and decisions in one stream; a missing trigger is unknown."""
+    schema = (
+        "image_id string, inference_mode string, moderation_probability double, "
+        "recommendation string, trigger_type string"
+    )
+    return _batches(spark, f"{_request_chain(spark, root)}/decisions", schema)
+
+
+@register(
+    "t11_request_errors",
+    f"""{MODEL_SQL} SELECT 'moderation_requests-0-' || n AS event_id, 'gone-' || image_id AS image_id,
+    'Image not found' AS error FROM eng WHERE event_type = 'flag' AND n % 4 = 0""",
+)
+def t11_request_errors(spark: SparkSession, root: str) -> DataFrame:
+    schema = "event_id string, image_id string, error string"
+    return _batches(spark, f"{_request_chain(spark, root)}/errors", schema)
+
+
 @register(
     "t13_stream_redelivery",
     f"""{MODEL_SQL} SELECT event_id, event_type, ts FROM byuser""",

@@ -14,7 +14,7 @@ from flagstone.config import Settings
 from flagstone.operators.alerts import moderation_requests
 from flagstone.operators.ingest import good, parse_envelopes, to_messages, validate
 from flagstone.operators.windows import latest_metadata
-from flagstone.plans.serving import decide, serving_features
+from flagstone.plans.serving import decide, missing_requests, serving_features
 from flagstone.schemas import MILESTONES
 from flagstone.sources.scratch import scratch_dir
 from flagstone.sources.writers import (
@@ -152,6 +152,8 @@ def metadata_sink(path: str) -> Callable[[DataFrame, int], None]:
 class DecisionSink:
     """Batch function that answers requests and stores the decisions.
 
+    Requests on images that are not known get no decision but a row in the errors table.
+
     Tables are passed as functions so that each batch reads their current state. With
     `model_root`, the model pointer is looked at before a batch, at most every
     `check_seconds`.
@@ -194,6 +196,13 @@ class DecisionSink:
             version=self.pointer["version"] if self.pointer else None,
         )
         write_batch(decision_rows(scored), f"{self.out}/decisions", batch_id)
+        write_batch(
+            missing_requests(requests, self.images(), self.settings).select(
+                "event_id", "image_id", "trigger", "ts", "error"
+            ),
+            f"{self.out}/errors",
+            batch_id,
+        )
 
 
 def run_available(

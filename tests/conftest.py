@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
