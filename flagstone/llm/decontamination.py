@@ -56,24 +56,40 @@ _SLOT = f"[{NUMBER}-{UNIT}]"
 _BLANK = r"\x20\x09-\x0D"
 
 
-def with_slots(text: Column, rules: TemplateRules) -> Column:
-    """The text in lower case without punctuation; values of slots have their mark before them."""
+def _has_slot(text: Column) -> Column:
+    return text.contains(NUMBER) | text.contains(NAME) | text.contains(UNIT)
+
+
+def with_slots(df: DataFrame, rules: TemplateRules) -> DataFrame:
+    """Replace `text` by `slots`: in lower case, no punctuation, a mark before each slot's value.
+
+    Patterns that need a mark or a digit are only tried on texts that have one.
+    """
     units = "|".join(sorted(rules.units, key=len, reverse=True))
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), _SLOT, "")
-    out = F.regexp_replace(out, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)", f"{NAME}$1")
-    out = F.lower(out)
+    out = F.coalesce("text", F.lit(""))
+    out = F.when(_has_slot(out), F.regexp_replace(out, _SLOT, "")).otherwise(out)
     out = F.regexp_replace(
-        out, rf"(?<![^{_BLANK}])([0-9][0-9.,]*)({units})(?![\p{{L}}\p{{N}}])", "$1 $2"
+        out, r"(\p{Lu})(?<=[\p{L}\p{N},;] \p{Lu})(\p{Ll}+)", f"{NAME}$1$2"
     )
-    out = F.regexp_replace(out, rf"(?<![^{_BLANK}])([^{_BLANK}0-9]*+[0-9][^{_BLANK}]*)", f"{NUMBER}$1")
-    out = F.regexp_replace(
-        out, rf"({NUMBER}[^{_BLANK}]* )({units})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2"
+    df = df.withColumn("_low", F.lower(out))
+    low = F.col("_low")
+    split = F.regexp_replace(
+        low, rf"(?<![^{_BLANK}])([0-9][0-9.,]*)({units})(?![\p{{L}}\p{{N}}])", "$1 $2"
     )
-    return F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}{_BLANK}]+", "")
+    marked = F.regexp_replace(
+        split, rf"(?<![^{_BLANK}])([^{_BLANK}0-9]*+[0-9][^{_BLANK}]*)", f"{NUMBER}$1"
+    )
+    marked = F.regexp_replace(
+        marked, rf"({NUMBER}[^{_BLANK}]* )({units})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2"
+    )
+    out = F.when(low.rlike("[0-9]"), marked).otherwise(low)
+    bare = F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}{_BLANK}]+", "")
+    return df.withColumn("slots", bare).drop("text", "_low")
 
 
 def template(slots: Column) -> Column:
-    return F.regexp_replace(slots, rf"({_SLOT})[^{_BLANK}]*", "$1")
+    short = F.regexp_replace(slots, rf"({_SLOT})[^{_BLANK}]*", "$1")
+    return F.when(_has_slot(slots), short).otherwise(slots)
 
 
 def window_hashes(hashes: str, size: int) -> Column:
@@ -87,14 +103,14 @@ def window_hashes(hashes: str, size: int) -> Column:
 
 def item_windows(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
     """length, hash, item_id, item (hash of its slots), at, n, tokens: searched windows of the items."""
-    items = benchmark.select("item_id", with_slots(F.col("text"), rules).alias("_s"))
-    items = items.withColumn("tokens", word_list(F.col("_s"))).withColumn(
-        "_h", F.transform(word_list(template(F.col("_s"))), lambda w: F.xxhash64(w))
+    items = with_slots(benchmark.select("item_id", "text"), rules)
+    items = items.withColumn("tokens", word_list(F.col("slots"))).withColumn(
+        "_h", F.transform(word_list(template(F.col("slots"))), lambda w: F.xxhash64(w))
     )
     literal = F.transform("tokens", lambda w: (~w.rlike("^" + _SLOT)).cast("int"))
     items = items.select(
         "item_id", "tokens", "_h", literal.alias("_l"), F.size("_h").alias("n"),
-        F.xxhash64("item_id", "_s").alias("item"),
+        F.xxhash64("item_id", "slots").alias("item"),
     ).where(F.col("n") >= rules.min_literal)
     parts = []
     for size in range(rules.min_literal, rules.size + 1):
@@ -118,7 +134,8 @@ def _matches(docs: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataF
     sought = windows.select("length", "hash", "item", "at")
     if sum(counted.values()) <= rules.broadcast_rows:
         sought = F.broadcast(sought)
-    hashed = docs.select("_key", template(with_slots(F.col("text"), rules)).alias("_t"))
+    hashed = with_slots(docs.select("_key", "text"), rules)
+    hashed = hashed.select("_key", template(F.col("slots")).alias("_t"))
     hashed = hashed.withColumn("_h", F.transform(word_list(F.col("_t")), lambda w: F.xxhash64(w)))
     found = None
     for size in sorted({*counted, rules.size}):
@@ -148,11 +165,8 @@ def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules |
         F.first("item_id").alias("item_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
     )
     keys = alignments.select("_key").distinct()
-    words = (
-        docs.join(keys, "_key", "left_semi")
-        .dropDuplicates(["_key"])
-        .select("_key", "doc_id", word_list(with_slots(F.col("text"), rules)).alias("words"))
-    )
+    words = with_slots(docs.join(keys, "_key", "left_semi").dropDuplicates(["_key"]), rules)
+    words = words.select("_key", "doc_id", word_list(F.col("slots")).alias("words"))
     rows = alignments.join(words, "_key").join(items, "item")
     state = F.struct(F.lit(0).alias("covered"), F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(-1).alias("end"))
 
