@@ -230,6 +230,7 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         F.min("key").alias("key"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")
     )
     shape = staged(shape.join(shared, "set"), "shape")
+    shared = shape.select("set", "in_many", "in_few")
 
     def verified(pairs: DataFrame, most: str) -> DataFrame:
         """The links among the pairs; `most` bounds their common prefix n-grams."""
@@ -275,9 +276,16 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     apart = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     apart = staged(apart.where("x < y").select("gram"), "apart")
     left = staged(labelled.join(apart, "gram", "left_semi"), "open")
-    left = left.select("gram", "set", "n", "pos", "component")
-    right = left.toDF("gram", "set2", "n2", "pos2", "component2")
-    crossing = left.join(right, "gram").where("set < set2 and component <> component2")
+    left = left.select("gram", "set", "n", "pos", "component").join(shared, "set")
+    right = left.select(
+        "gram", *[F.col(c).alias(f"{c}2") for c in ("set", "n", "pos", "component", "in_many", "in_few")]
+    )
+    # Only sets that share enough prefix n-grams with any other can link with each other.
+    likely = (
+        f"least(in_many, in_many2) + least(in_few, in_few2) + "
+        f"({percent} * greatest(n, n2) + 99) div 100 - 1 >= {need}"
+    )
+    crossing = left.join(right, "gram").where(f"set < set2 and component <> component2 and {likely}")
     found = verified(listed(crossing), "common + least(few_a, few_b)")
     links = links.unionByName(found)
     label = components(links).selectExpr("node as set", "component")
