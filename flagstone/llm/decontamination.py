@@ -9,6 +9,8 @@ hashed; document windows meet benchmark windows by a hash join. The slots of an
 the document, over all matched windows. Re-parameterised questions pass, texts that share
 phrases around unrelated slots do not. A document is contaminated by an item if the windows of
 a consistent alignment cover `percent` of the item's words or more, or `long` words in a row.
+The windows whose slots hold the item's own values are measured alone too, so that a slot that
+contradicts them elsewhere does not hide a copied passage.
 
 Documents are mapped in place; windows that match no benchmark window end at the join. The
 benchmark's windows are counted before: up to `broadcast_rows` they are broadcast, beyond that
@@ -192,6 +194,8 @@ def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules |
         )
         return F.filter(pairs, lambda p: p["item"].rlike("^" + _SLOT))
 
+    copied = F.filter("at", lambda w: F.forall(values(w), lambda p: p["item"] == p["doc"]))
+    rows = rows.withColumn("at", F.explode(F.array_distinct(F.array("at", copied))))
     rows = rows.withColumn("_slots", F.array_distinct(F.flatten(F.transform("at", values))))
     one = F.size(F.array_distinct(F.transform("_slots", lambda p: p["item"]))) == F.size("_slots")
     rows = rows.where(one).withColumn("_c", F.aggregate("at", state, cover))

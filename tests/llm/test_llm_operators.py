@@ -229,6 +229,13 @@ def test_reparameterised_questions_are_found(spark):
     assert kept.columns == docs.columns and {3, 4, 5, 6} <= {r.doc_id for r in kept.collect()}
 
 
+def test_a_copied_passage_is_found_despite_a_contradicting_slot(spark):
+    rows = [(1, QUESTION.replace("after 12 days", "after 8 days")), (2, UNEVEN)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.findings(docs, benchmark(spark, [(10, QUESTION)])).collect()
+    assert [(r.doc_id, r.item_words, r.covered_words, r.longest_run) for r in found] == [(1, 32, 28, 28)]
+
+
 def test_short_items_are_searched_whole(spark):
     docs = spark.createDataFrame(
         [(1, "well then: the quick brown fox jumps high, they said"), (2, "the quick brown fox sleeps")],
