@@ -3,10 +3,12 @@
 A text becomes a template: words that hold a digit become numbers (5km counts as
 5 km), unit words after a number become units, words with a capital first letter inside a sentence
 become names; all else is lower-cased without
-punctuation. Windows of `size` template words with at least `min_literal` literal words are
-hashed; document windows meet benchmark windows by a hash join. The slots of an alignment
+punctuation. In a second template the capitalised words that begin a sentence are names too.
+Windows of `size` template words with at least `min_literal` literal words are hashed, and windows
+of the plain lower-cased words whatever they hold; document windows meet benchmark windows by a
+hash join. The slots of an alignment
 (document, item, shift) are consistent if one value of the item always stands for one value of
-the document, over all matched windows. Re-parameterised questions pass, texts that share
+the document, over all matched windows of one, two or all three kinds. Re-parameterised questions pass, texts that share
 phrases around unrelated slots do not. A document is contaminated by an item if the windows of
 a consistent alignment cover `percent` of the item's words or more, or `long` words in a row.
 The windows whose slots hold the item's own values are measured alone too, so that a slot that
@@ -17,7 +19,8 @@ benchmark's windows are counted before: up to `broadcast_rows` they are broadcas
 both sides are shuffled by the hash and adaptive execution splits hot windows.
 
 Cases: null and empty texts have no windows; items with fewer words than `size` are one window of
-all their words; windows and items with fewer than `min_literal` literal words are not searched;
+all their words; windows and items with fewer than `min_literal` literal words are only found as
+copies, so an item of one word is in every document that has the word;
 a null document or item id is kept as null; rows equal in id and text share their result, and
 repeated items are found once; an empty benchmark finds nothing; other columns are kept by
 `clean`, whatever their names.
@@ -54,6 +57,10 @@ class TemplateRules:
 
 # One private character before a slot's value; a template has the character alone.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+# Before a capitalised word that begins a sentence: a literal in one template, a name in the other.
+INITIAL = "\ue003"
+# Kinds of windows, as bits: of the two templates and of plain words.
+LITERAL, NAMED, PLAIN = 1, 2, 4
 _SLOT = f"[{NUMBER}-{UNIT}]"
 _BLANK = r"\x20\x09-\x0D"
 
@@ -62,6 +69,12 @@ def _has_slot(text: Column) -> Column:
     return text.contains(NUMBER) | text.contains(NAME) | text.contains(UNIT)
 
 
+def _unmarked(text: Column) -> Column:
+    for mark in (NUMBER, NAME, UNIT, INITIAL):
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
 def with_slots(df: DataFrame, rules: TemplateRules) -> DataFrame:
     """Replace `text` by `slots`: in lower case, no punctuation, a mark before each slot's value.
 
@@ -69,14 +82,16 @@ def with_slots(df: DataFrame, rules: TemplateRules) -> DataFrame:
     """
     units = "|".join(sorted(rules.units, key=len, reverse=True))
     out = F.coalesce("text", F.lit(""))
-    out = F.when(_has_slot(out), F.regexp_replace(out, _SLOT, "")).otherwise(out)
+    out = F.when(_has_slot(out) | out.contains(INITIAL), _unmarked(out)).otherwise(out)
     out = F.regexp_replace(
         out, r"(\p{Lu})(?<=[\p{L}\p{N},;] \p{Lu})(\p{Ll}+)", f"{NAME}$1$2"
     )
+    inside = rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}]\p{{Lu}})(?<![\p{{L}}\p{{M}}\p{{N}}][^{_BLANK}]\p{{Lu}})"
+    out = F.regexp_replace(out, rf"(\p{{Lu}}){inside}(\p{{Ll}}+)", f"{INITIAL}$1$2")
     df = df.withColumn("_low", F.lower(out))
     low = F.col("_low")
     split = F.regexp_replace(
-        low, rf"(?<![^{_BLANK}])([0-9][0-9.,]*)({units})(?![\p{{L}}\p{{N}}])", "$1 $2"
+        low, rf"(?<![\p{{L}}\p{{N}}])([0-9][0-9.,]*)({units})(?![\p{{L}}\p{{N}}])", "$1 $2"
     )
     marked = F.regexp_replace(
         split, rf"(?<![^{_BLANK}])([^{_BLANK}0-9]*+[0-9][^{_BLANK}]*)", f"{NUMBER}$1"
@@ -85,7 +100,7 @@ def with_slots(df: DataFrame, rules: TemplateRules) -> DataFrame:
         marked, rf"({NUMBER}[^{_BLANK}]* )({units})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2"
     )
     out = F.when(low.rlike("[0-9]"), marked).otherwise(low)
-    bare = F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{UNIT}{_BLANK}]+", "")
+    bare = F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{INITIAL}{_BLANK}]+", "")
     return df.withColumn("slots", bare).drop("text", "_low")
 
 
@@ -94,6 +109,23 @@ def template(slots: Column) -> Column:
     return F.when(_has_slot(slots), short).otherwise(slots)
 
 
+def with_words(df: DataFrame) -> DataFrame:
+    """Replace `slots` by `_plain`, `_literal` and `_named`: hashes of the words of each kind."""
+    slots = F.col("slots")
+    df = df.withColumns(
+        {
+            "_plain": _unmarked(slots),
+            "_literal": template(F.replace(slots, F.lit(INITIAL), F.lit(""))),
+            "_named": template(F.replace(slots, F.lit(INITIAL), F.lit(NAME))),
+        }
+    )
+    hashes = {c: F.transform(word_list(F.col(c)), lambda w: F.xxhash64(w)) for c in _KINDS}
+    return df.withColumns(hashes).drop("slots")
+
+
+_KINDS = {"_literal": LITERAL, "_named": NAMED, "_plain": PLAIN}
+
+
 def window_hashes(hashes: str, size: int) -> Column:
     """Hash of each run of `size` values of an array column."""
     room = F.greatest(F.size(hashes) - (size - 1), F.lit(0))
@@ -103,49 +135,85 @@ def window_hashes(hashes: str, size: int) -> Column:
     )
 
 
+def _windows(size: int) -> Column:
+    """pos and the hash of each kind, for every run of `size` words."""
+    return F.arrays_zip(*[window_hashes(c, size).alias(c) for c in _KINDS])
+
+
 def item_windows(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
-    """length, hash, item_id, item (hash of its slots), at, n, tokens: searched windows of the items."""
+    """length, hash, kind, whole, item_id, item (hash of its slots), at, n, tokens, named: windows of the items.
+
+    A window is listed once if its kinds agree; `whole` is a plain window of all words of a short item.
+    """
     items = with_slots(benchmark.select("item_id", "text"), rules)
-    items = items.withColumn("tokens", word_list(F.col("slots"))).withColumn(
-        "_h", F.transform(word_list(template(F.col("slots"))), lambda w: F.xxhash64(w))
+    slots = F.col("slots")
+    items = items.withColumns(
+        {
+            "item": F.xxhash64("item_id", "slots"),
+            "tokens": word_list(F.replace(slots, F.lit(INITIAL), F.lit(""))),
+            "named": word_list(F.replace(slots, F.lit(INITIAL), F.lit(NAME))),
+        }
     )
-    literal = F.transform("tokens", lambda w: (~w.rlike("^" + _SLOT)).cast("int"))
-    items = items.select(
-        "item_id", "tokens", "_h", literal.alias("_l"), F.size("_h").alias("n"),
-        F.xxhash64("item_id", "slots").alias("item"),
-    ).where(F.col("n") >= rules.min_literal)
+    items = with_words(items).withColumn("n", F.size("tokens"))
+
+    def literals(tokens: str, size: int) -> Column:
+        held = F.slice(tokens, F.col("at") + 1, F.lit(size))
+        return F.size(F.filter(held, lambda w: ~w.rlike("^" + _SLOT)))
+
     parts = []
-    for size in range(rules.min_literal, rules.size + 1):
+    for size in range(1, rules.size + 1):
         held = items.where(F.col("n") >= size) if size == rules.size else items.where(F.col("n") == size)
-        rows = held.select("*", F.posexplode(window_hashes("_h", size)).alias("at", "hash"))
-        count = F.aggregate(F.slice("_l", F.col("at") + 1, F.lit(size)), F.lit(0), lambda a, b: a + b)
-        parts.append(
-            rows.where(count >= rules.min_literal).select(
-                F.lit(size).alias("length"), "hash", "item_id", "item", "at", "n", "tokens"
+        rows = held.select("item_id", "item", "tokens", "named", "n", F.posexplode(_windows(size)).alias("at", "_w"))
+        whole = F.col("n") == size
+        same = F.col("_w._plain") == F.col("_w._literal")
+        enough = literals("tokens", size) >= rules.min_literal
+        searched = {
+            "_literal": enough & ~(whole & same),
+            "_named": (F.col("_w._named") != F.col("_w._literal")) & (literals("named", size) >= rules.min_literal),
+            "_plain": whole | ~same | ~enough,
+        }
+        kinds = [
+            F.when(
+                searched[c],
+                F.struct(
+                    F.col(f"_w.{c}").alias("hash"),
+                    F.lit(kind).alias("kind"),
+                    (whole & F.lit(kind == PLAIN)).alias("whole"),
+                ),
             )
+            for c, kind in _KINDS.items()
+        ]
+        rows = rows.withColumn("_k", F.explode(F.array_compact(F.array(*kinds))))
+        parts.append(
+            rows.select(F.lit(size).alias("length"), "_k.*", "item_id", "item", "at", "n", "tokens", "named")
         )
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.dropDuplicates(["item", "length", "at"])
+    return out.dropDuplicates(["item", "length", "at", "kind"])
 
 
 def _matches(docs: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataFrame:
-    """_key, item, shift, at, length: windows of documents that are windows of items."""
+    """_key, item, shift, at, length, kind, whole: windows of documents that are windows of items.
+
+    Hashes of all kinds are compared with each other: only windows without slots have two equal ones.
+    """
     counted = {r["length"]: r["count"] for r in windows.groupBy("length").count().collect()}
-    sought = windows.select("length", "hash", "item", "at")
+    sought = windows.select("length", "hash", "kind", "whole", "item", "at")
     if sum(counted.values()) <= rules.broadcast_rows:
         sought = F.broadcast(sought)
-    hashed = with_slots(docs.select("_key", "text"), rules)
-    hashed = hashed.select("_key", template(F.col("slots")).alias("_t"))
-    hashed = hashed.withColumn("_h", F.transform(word_list(F.col("_t")), lambda w: F.xxhash64(w)))
+    hashed = with_words(with_slots(docs.select("_key", "text"), rules))
     found = None
     for size in sorted({*counted, rules.size}):
         rows = hashed.select(
-            "_key", F.lit(size).alias("length"), F.posexplode(window_hashes("_h", size)).alias("pos", "hash")
+            "_key", F.lit(size).alias("length"), F.posexplode(_windows(size)).alias("pos", "_w")
         )
+        one, two, three = (F.col(f"_w.{c}") for c in _KINDS)
+        several = F.array_distinct(F.array(one, two, three))
+        hashes = F.when((one == two) & (one == three), F.array(one)).otherwise(several)
+        rows = rows.select("_key", "length", "pos", F.explode(hashes).alias("hash"))
         rows = rows.join(sought, ["length", "hash"]).select(
-            "_key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at", "length"
+            "_key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at", "length", "kind", "whole"
         )
         found = rows if found is None else found.unionByName(rows)
     return found
@@ -158,23 +226,27 @@ def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules |
     windows = staged(item_windows(benchmark, rules), "item-windows")
     matches = _matches(docs, windows, rules)
     alignments = staged(
-        matches.groupBy("_key", "item", "shift").agg(
-            F.sort_array(F.collect_set(F.struct("at", "length"))).alias("at")  # at most the item's words
-        ),
+        matches.groupBy("_key", "item", F.when(~F.col("whole"), F.col("shift")).alias("_s"))
+        .agg(
+            F.min("shift").alias("shift"),  # one copy of a short item is enough
+            F.sort_array(F.collect_set(F.struct("at", "length", "kind"))).alias("at"),  # at most 3 x its words
+        )
+        .drop("_s"),
         "alignments",
     )
     items = windows.groupBy("item").agg(
-        F.first("item_id").alias("item_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
+        F.first("item_id").alias("item_id"), F.first("n").alias("n"),
+        F.first("tokens").alias("tokens"), F.first("named").alias("named"),
     )
     keys = alignments.select("_key").distinct()
     words = with_slots(docs.join(keys, "_key", "left_semi").dropDuplicates(["_key"]), rules)
-    words = words.select("_key", "doc_id", word_list(F.col("slots")).alias("words"))
+    words = words.select("_key", "doc_id", word_list(_unmarked(F.col("slots"))).alias("words"))
     rows = alignments.join(words, "_key").join(items, "item")
     state = F.struct(F.lit(0).alias("covered"), F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(-1).alias("end"))
 
     def cover(s: Column, w: Column) -> Column:
         """Windows by position: words covered, the current and the longest run, where it ends."""
-        stop = w["at"] + w["length"]
+        stop = F.greatest(s["end"], w["at"] + w["length"])
         more = stop - F.greatest(s["end"], w["at"])
         run = F.when(w["at"] <= s["end"], s["run"] + more).otherwise(w["length"])
         return F.struct(
@@ -186,18 +258,26 @@ def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules |
 
     def values(w: Column) -> Column:
         """(item value, document value) of the slots of one window."""
+        token = lambda i: F.when(w["kind"] == NAMED, F.get("named", i)).otherwise(F.get("tokens", i))
         pairs = F.transform(
             F.sequence(w["at"], w["at"] + w["length"] - 1),
             lambda i: F.struct(
-                F.get("tokens", i).alias("item"), F.get("words", i + F.col("shift")).alias("doc")
+                F.substring(token(i), 1, 1).alias("mark"),
+                _unmarked(token(i)).alias("item"),
+                F.get("words", i + F.col("shift")).alias("doc"),
             ),
         )
-        return F.filter(pairs, lambda p: p["item"].rlike("^" + _SLOT))
+        return F.filter(pairs, lambda p: p["mark"].rlike(_SLOT))
 
     copied = F.filter("at", lambda w: F.forall(values(w), lambda p: p["item"] == p["doc"]))
-    rows = rows.withColumn("at", F.explode(F.array_distinct(F.array("at", copied))))
+
+    def of(kinds: int) -> Column:
+        return F.filter("at", lambda w: w["kind"].bitwiseAND(F.lit(kinds)) != 0)
+
+    mixed = [of(kinds) for kinds in range(1, (LITERAL | NAMED | PLAIN) + 1)]
+    rows = rows.withColumn("at", F.explode(F.array_distinct(F.array(*mixed, copied)))).where(F.size("at") > 0)
     rows = rows.withColumn("_slots", F.array_distinct(F.flatten(F.transform("at", values))))
-    one = F.size(F.array_distinct(F.transform("_slots", lambda p: p["item"]))) == F.size("_slots")
+    one = F.size(F.array_distinct(F.transform("_slots", lambda p: F.struct(p["mark"], p["item"])))) == F.size("_slots")
     rows = rows.where(one).withColumn("_c", F.aggregate("at", state, cover))
     good = (F.col("_c.covered") * 100 >= rules.percent * F.col("n")) | (F.col("_c.best") >= rules.long)
     return (

@@ -245,6 +245,40 @@ def test_short_items_are_searched_whole(spark):
     assert [(r.doc_id, r.item_words, r.covered_words) for r in found.collect()] == [(1, 6, 6)]
 
 
+COPIES = {
+    1: "Paris", 2: "Never again, never!", 3: "12 km in 3 hours, 5 km in 2 hours",
+    4: "What Is The Capital City Of Northern France Called Today", 5: "The quick brown fox jumps high",
+    6: QUESTION, 7: "5km is 5000 m, or 3.1 miles",
+}
+
+
+@pytest.mark.parametrize("form", ["Answer {}", "answer ({}) now", "...{}!"])
+@pytest.mark.parametrize("case", [str, str.lower, str.upper])
+def test_copies_of_any_words_are_found(spark, form, case):
+    docs = [(i, form.format(case(text))) for i, text in COPIES.items()] + [(0, "a clean text in 3 words")]
+    found = decontamination.findings(
+        spark.createDataFrame(docs, "doc_id long, text string"), benchmark(spark, COPIES.items())
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in COPIES}
+    assert all(r.covered_words == r.longest_run == r.item_words for r in found)
+
+
+def test_names_that_begin_a_sentence_may_change(spark):
+    items = benchmark(spark, [(1, "Alice has 12 apples in her basket"), (2, "They ran away from home. Bob saw it all")])
+    docs = [
+        (1, "Say Carol has 31 apples in her basket"), (2, "Carol has 31 apples in her basket"),
+        (3, "They ran away from home. Eve saw it all"),
+    ]
+    found = decontamination.findings(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_a_word_that_is_an_item_gives_one_row_a_document(spark):
+    docs = spark.createDataFrame([(1, "the cat and the dog and the end"), (2, "cats")], "doc_id long, text string")
+    found = decontamination.findings(docs, benchmark(spark, [(1, "The")])).collect()
+    assert [(r.doc_id, r.item_words, r.covered_words, r.n_slots) for r in found] == [(1, 1, 1, 0)]
+
+
 def test_decontamination_on_awkward_rows(spark):
     df = awkward(spark)
     items = benchmark(spark, [(1, PASSAGE)])
