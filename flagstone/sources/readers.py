@@ -21,6 +21,18 @@ def _envelope(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in ENVELOPE])
 
 
+def first_start(spark: SparkSession, checkpoint: str) -> int:
+    """Microseconds of the first start with this checkpoint, kept in a table next to it."""
+    path = f"{checkpoint.rstrip('/')}-start"
+    now = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
+    table = spark.createDataFrame([(now,)], "start long").coalesce(1)
+    table.write.mode("ignore").parquet(path)
+    row = spark.read.schema(table.schema).parquet(path).first()
+    if row is None:  # the first start broke off while it wrote
+        table.write.mode("overwrite").parquet(path)
+    return row["start"] if row else now
+
+
 def stream_topics(
     spark: SparkSession,
     topics: Sequence[str] = TOPICS,
@@ -28,12 +40,14 @@ def stream_topics(
     path: str | None = None,
     starting: str = "earliest",
     per_trigger: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Subscribe to several topics as one stream of envelopes.
 
     With `servers` from a broker; with `path` from a folder of envelope files, where
     `per_trigger` limits files instead of offsets and `latest` means messages stamped
-    from now on.
+    from now on. Give the query's `checkpoint` with it: a restart then goes on from the first
+    start, as a broker's offsets do; without it a restart drops what came in between.
     """
     if servers is not None:
         reader = (
@@ -50,7 +64,10 @@ def stream_topics(
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     messages = reader.parquet(path).where(F.col("topic").isin(*topics))
     if starting == "latest":
-        messages = messages.where(F.col("timestamp") >= datetime.now(timezone.utc))
+        start = datetime.now(timezone.utc)
+        if checkpoint:
+            start = F.timestamp_micros(F.lit(first_start(spark, checkpoint)))
+        messages = messages.where(F.col("timestamp") >= start)
     return messages
 
 
@@ -59,9 +76,12 @@ def stream_requests(
     servers: str | None = None,
     path: str | None = None,
     topic: str = "moderation_requests",
+    checkpoint: str | None = None,
 ) -> DataFrame:
-    """Requests that arrive from now on."""
-    return stream_topics(spark, [topic], servers=servers, path=path, starting="latest")
+    """Requests that arrive from now on; with `checkpoint`, from the first start with it."""
+    return stream_topics(
+        spark, [topic], servers=servers, path=path, starting="latest", checkpoint=checkpoint
+    )
 
 
 def read_topics_between(

@@ -128,6 +128,20 @@ def test_requests_start_at_the_latest(spark, tmp_path):
     assert rows(spark.read.parquet(out), "image_id", "trigger") == [("new", "viral")]
 
 
+def test_requests_between_two_starts_are_read(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    from flagstone.schemas import ENVELOPE
+    from flagstone.sources.readers import stream_requests
+
+    source, out, checkpoint = (str(tmp_path / d) for d in ("in", "out", "checkpoint"))
+    for name, late in [("old", -3600), ("between", 0)]:
+        raw = [("moderation_requests", 0, 0, datetime.now(timezone.utc) + timedelta(seconds=late), name)]
+        spark.createDataFrame(raw, ENVELOPE).write.mode("append").parquet(source)
+        jobs.run_available(stream_requests(spark, path=source, checkpoint=checkpoint), out, checkpoint)
+    assert rows(spark.read.parquet(out), "value") == [("between",)]
+
+
 def test_ingest_stream_uses_arrival_time(spark, tmp_path):
     from flagstone.schemas import ENVELOPE
 
