@@ -268,6 +268,34 @@ def p3_arrival_fallback(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@register(
+    "p3_arrival_fallback_all_types",
+    f"""{MODEL_SQL} SELECT event_id, CASE WHEN k % 4 = 0 THEN ts + INTERVAL 1 SECOND
+    WHEN k % 4 = 1 THEN NULL ELSE ts END AS event_ts FROM log
+    WHERE raw_type IN ('view', 'click', 'error', 'signup')""",
+)
+def p3_arrival_fallback_all_types(spark: SparkSession, root: str) -> DataFrame:
+    """As p3_arrival_fallback, for every type, each with its own time column."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    kinds = {"view": "view", "click": "comment", "error": "flag", "signup": "upload"}
+    named = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in kinds.items()])
+    log = eventlog.load_log(spark, root).withColumn("event_type", named).where("event_type IS NOT NULL")
+    text = F.when(F.col("k") % 4 == 1, "yesterday").when(F.col("k") % 4 > 1, stamp)
+    kind = F.col("event_type")
+    rows = log.select(
+        "event_id",
+        "event_type",
+        F.when(kind == "view", text).alias("viewed_at"),
+        F.when(kind.isin("comment", "flag"), text).alias("created_at"),
+        F.when(kind == "upload", text).alias("uploaded_at"),
+        F.lit(None).cast("double").alias("timestamp"),
+        after(F.col("ts"), 1).alias("arrived_at"),
+    )
+    return ntz(
+        rows.select("event_id", ing.event_time(F.col("arrived_at")).alias("event_ts"))
+    )
+
+
 @register(
     "p4_event_time_by_type",
     f"""{MESSAGE_SQL} SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts FROM message
@@ -813,6 +841,15 @@ def o3_milestone_timeline(spark: SparkSession, root: str) -> DataFrame:
     return ntz(q.milestone_timeline(milestones(eventlog.load_log(spark, root)), "8"))
 
 
+@register(
+    "o3_milestone_timeline_all_images",
+    f"""{ALERT_SQL} SELECT image_id, milestone_type, milestone_value, reached_at FROM milestone
+    ORDER BY reached_at, image_id, milestone_value""",
+)
+def o3_milestone_timeline_all_images(spark: SparkSession, root: str) -> DataFrame:
+    return ntz(q.milestone_timeline(milestones(eventlog.load_log(spark, root))))
+
+
 @register(
     "o4_recent_milestones",
     f"""{ALERT_SQL} SELECT substring(image_id, 1, 16) AS image_id, milestone_type, milestone_value, reached_at

@@ -442,6 +442,17 @@ def f15_feature_map(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@register(
+    "f15_feature_map_all_keys",
+    f"""{TRAINING_SQL}, {_sql_features("training")}
+    SELECT image_id, decision_point_minutes, {", ".join(FEATURES)} FROM vec""",
+)
+def f15_feature_map_all_keys(spark: SparkSession, root: str) -> DataFrame:
+    named = fx.feature_vector(training(spark, root)).withColumn("m", fx.feature_map())
+    keys = [F.col("m")[f].alias(f) for f in FEATURES]
+    return named.select("image_id", "decision_point_minutes", *keys)
+
+
 def _summary_sql(compact: bool) -> str:
     lines = []
     for i, f in enumerate(FEATURES):
