@@ -13,6 +13,7 @@ from flagstone.llm import (
     decontamination,
     jaccard_join,
     language_model,
+    merkle,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -226,3 +227,84 @@ def op7_lm_score(spark: SparkSession, root: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+# The trees are grown and the tampered rows folded level by level in recursive queries.
+MERKLE_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+doc AS (
+  SELECT *, row_number() OVER () AS k, (SELECT t FROM crc_table) AS t,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END ||
+    CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END ||
+    CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END ||
+    CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head
+  FROM documents),
+rows AS (
+  SELECT doc_id, source, k,
+    sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc,
+    CASE WHEN text IS NULL THEN '-' ELSE strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '') END AS changed, head
+  FROM doc),
+leaves AS (
+  SELECT *, CASE WHEN crc % 2 = 0 THEN sha256(head || changed) ELSE leaf END AS start,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n FROM rows),
+-- Nodes of the trees of the sources: level, place, digest; n is what the level has.
+node AS (
+  SELECT source, 0 AS level, i, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (n + 2) // 3
+  FROM node WHERE n > 1 GROUP BY source, level, i // 3, n),
+sub AS (
+  SELECT source, digest, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j, count(*) OVER () AS n
+  FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS level, j, digest, n FROM sub
+  UNION ALL
+  SELECT level + 1, j // 3, sha256(string_agg(digest, '' ORDER BY j)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, j // 3, n),
+lower_step AS (
+  SELECT a.source, a.level, a.i, string_agg(b.digest, '' ORDER BY b.i) FILTER (WHERE b.i < a.i) AS l,
+         string_agg(b.digest, '' ORDER BY b.i) FILTER (WHERE b.i > a.i) AS r
+  FROM node a JOIN node b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY a.source, a.level, a.i),
+upper_step AS (
+  SELECT a.level, a.j, string_agg(b.digest, '' ORDER BY b.j) FILTER (WHERE b.j < a.j) AS l,
+         string_agg(b.digest, '' ORDER BY b.j) FILTER (WHERE b.j > a.j) AS r
+  FROM top a JOIN top b ON a.level = b.level AND a.j // 3 = b.j // 3 WHERE a.n > 1 GROUP BY a.level, a.j),
+-- Each row's steps from the leaf to the root, numbered.
+step AS (
+  SELECT k, level AS s, coalesce(l, '') AS l, coalesce(r, '') AS r
+  FROM leaves JOIN lower_step p ON leaves.source IS NOT DISTINCT FROM p.source AND p.i = CAST(floor(leaves.i / pow(3, p.level)) AS BIGINT)
+  UNION ALL
+  SELECT k, height + u.level, coalesce(l, ''), coalesce(r, '')
+  FROM leaves JOIN sub ON leaves.source IS NOT DISTINCT FROM sub.source
+  JOIN upper_step u ON u.j = CAST(floor(sub.j / pow(3, u.level)) AS BIGINT)),
+folded AS (
+  SELECT k, 0 AS s, start AS h FROM leaves
+  UNION ALL
+  SELECT f.k, f.s + 1, sha256(l || h || r) FROM folded f JOIN step ON step.k = f.k AND step.s = f.s),
+ends AS (SELECT k, arg_max(h, s) AS h FROM folded GROUP BY k),
+proof AS (SELECT k, string_agg(l || r, '' ORDER BY s) AS p FROM step GROUP BY k),
+root AS (SELECT digest FROM top WHERE n = 1)
+SELECT doc_id, leaf, sub.digest AS subroot, (SELECT digest FROM root) AS root, sha256(coalesce(p, '')) AS proof_sha256,
+       h AS folded_root, h = (SELECT digest FROM root) AS verified
+FROM leaves JOIN sub ON leaves.source IS NOT DISTINCT FROM sub.source JOIN ends USING (k) LEFT JOIN proof USING (k)"""
+
+
+@register("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Every second row or so is checked after its line ends were taken away."""
+    tampered = merkle.leaf({"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))})
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    proved = merkle.prove(
+        table(spark, root, "documents"),
+        {"doc_id": F.col("doc_id"), "changed": F.when(chosen, tampered)},
+    )
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path")).alias("folded_root")
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), folded
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
