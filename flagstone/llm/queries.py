@@ -14,6 +14,7 @@ from flagstone.llm import (
     jaccard_join,
     language_model,
     merkle,
+    packing,
     quality_classifier,
     quality_rules,
     substring_dedup,
@@ -308,3 +309,8 @@ def op11_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
     return proved.select(
         "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), folded
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op12_best_fit_packing")
+def op12_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack(table(spark, root, "documents"), tokenizer_path())
