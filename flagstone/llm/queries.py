@@ -11,6 +11,7 @@ from flagstone.llm import (
     bpe,
     chat,
     decontamination,
+    filter_audit,
     jaccard_join,
     language_model,
     merkle,
@@ -314,3 +315,39 @@ def op11_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
 @register("op12_best_fit_packing")
 def op12_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(table(spark, root, "documents"), tokenizer_path())
+
+
+# Every order is applied filter by filter to every document's failures.
+AUDIT_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+failed AS (
+  SELECT doc_id, part, coalesce(quality, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+    concat(CASE WHEN len(ws) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' END,
+      CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) THEN 'C' END,
+      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+      CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' END) AS f
+  FROM doc LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)),
+orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x) AND length(o) < 5),
+steps AS (
+  SELECT o AS filter_order, CAST(step AS INTEGER) AS step, substr(o, step, 1) AS x, substr(o, 1, step - 1) AS before
+  FROM (SELECT o, unnest(range(1, 6)) AS step FROM orders WHERE length(o) = 5)),
+counted AS (
+  SELECT part, filter_order, step, x,
+    count(*) FILTER (WHERE NOT contains(f, x) AND translate(before, f, '') = before) AS kept,
+    count(*) FILTER (WHERE contains(f, x) AND translate(before, f, '') = before) AS removed,
+    count(*) FILTER (WHERE contains(f, x) AND translate(before, f, '') <> before) AS redundant,
+    count(*) FILTER (WHERE f = x) AS unique_fails,
+    count(*) FILTER (WHERE good AND contains(f, x) AND translate(before, f, '') = before) AS good_lost,
+    count(*) FILTER (WHERE toxic AND contains(f, x) AND translate(before, f, '') = before) AS toxic_lost
+  FROM failed, steps GROUP BY ALL)
+SELECT * EXCLUDE x, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM counted"""
+
+
+@register("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, root: str) -> DataFrame:
+    flagged = filter_audit.flags(table(spark, root, "documents"))
+    return filter_audit.audit(flagged, table(spark, root, "labels"))
