@@ -98,19 +98,20 @@ def _sha(text: str) -> str:
 
 
 def _grow(band: int) -> Callable[[pa.Table], pa.Table]:
-    return lambda table: _nodes_above(table, band)
+    bottom, top = BAND * band, BAND * (band + 1)
+    return lambda table: _nodes_above(table, bottom, top)
 
 
-def _nodes_above(table: pa.Table, band: int) -> pa.Table:
-    """All nodes above the base nodes of a bucket, up to the end of the band. Above a node that
-    covers its whole tree nothing is built."""
+def _nodes_above(table: pa.Table, bottom: int, top: int) -> pa.Table:
+    """All nodes above the base nodes of a bucket, up to level `top`. Above a node that covers its
+    whole tree nothing is built."""
     leaves = table.column("leaves")[0].as_py()
     order = np.argsort(table.column("low").to_numpy())
     low = table.column("low").to_numpy()[order]
     high = table.column("high").to_numpy()[order]
     hashes = [table.column("digest")[i].as_py() for i in order.tolist()]
     out: dict[str, list] = {"level": [], "low": [], "high": [], "digest": []}
-    for level in range(BAND * band + 1, BAND * (band + 1) + 1):
+    for level in range(bottom + 1, top + 1):
         if FANOUT ** (level - 1) >= leaves:
             break
         first = np.flatnonzero(np.diff(low // FANOUT**level, prepend=-1))
@@ -154,21 +155,22 @@ def build(rows: DataFrame) -> Manifest:
 
 
 def _descend(band: int, keep: list[str]) -> Callable[[pa.Table], pa.Table]:
-    return lambda table: _paths_below(table, band, keep)
+    bottom, top = BAND * band, BAND * (band + 1)
+    return lambda table: _paths_below(table, bottom, top, keep)
 
 
-def _paths_below(table: pa.Table, band: int, keep: list[str]) -> pa.Table:
+def _paths_below(table: pa.Table, bottom: int, top: int, keep: list[str]) -> pa.Table:
     """Paths of the base nodes of a bucket: siblings up to the bucket's top, then the path above."""
     kind = table.column("level").to_numpy()
     low, high = table.column("low").to_numpy(), table.column("high").to_numpy(zero_copy_only=False)
     hashes = table.column("digest").to_pylist()
     over = int(np.flatnonzero(kind == -1)[0])  # the row from above, one a bucket
     above = [(s["left"], s["right"]) for s in table.column("path")[over].as_py()]
-    base = np.flatnonzero(kind == BAND * band)
+    base = np.flatnonzero(kind == bottom)
     base = base[np.argsort(low[base])]
     steps: list[list[tuple[str, str]]] = [[] for _ in base]
     children, at = base, np.arange(len(base))  # at: each base node's ancestor among the children
-    for level in range(BAND * band + 1, BAND * (band + 1) + 1):
+    for level in range(bottom + 1, top + 1):
         parents = np.flatnonzero(kind == level)
         if not len(parents):
             break
