@@ -7,11 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from flagstone.config import LABEL, Settings
 from flagstone.functions import features as fx
 from flagstone.functions.text import short_id
+from flagstone.operators import selection
 from flagstone.schemas import TRAINING
 
 
@@ -69,82 +69,38 @@ def latency_summary(
 ) -> DataFrame:
     """Mean, min, max and exact interpolated p50/p95/p99, and whether p99 meets the target.
 
-    A one-row sketch brackets each percentile within a few ranks in `accuracy`; only the
-    distinct values inside a bracket are then ordered, so the sort is a small fraction of
-    the table.
+    One scan sketches the percentiles with the basics, a second one counts what the sketch
+    brackets; more are only needed where brackets may hold over `selection.BOUND` values.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    fractions = (0.5, 0.95, 0.99)
-    n = values.count()
-    slack = 2.0 / accuracy + 2.0 / max(n, 1)
-    ends = [f + side * slack for f in fractions for side in (-1, 1)]
-    sketch = values.agg(
-        F.percentile_approx(
-            "v", [min(max(e, 0.0), 1.0) for e in ends], accuracy
-        ).alias("ends"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-    ).first()
-    names = ("p50_ms", "p95_ms", "p99_ms")
-    if n == 0:
-        nothing = F.lit(None).cast("double")
-        return values.agg(
-            F.avg("v").alias("mean_ms"),
-            F.min("v").alias("min_ms"),
-            F.max("v").alias("max_ms"),
-        ).select("*", *[nothing.alias(c) for c in names], F.lit(False).alias("meets_target"))
-
-    spans = []
-    for i, fraction in enumerate(fractions):
-        low = sketch["low"] if ends[2 * i] <= 0 else sketch["ends"][2 * i]
-        high = sketch["high"] if ends[2 * i + 1] >= 1 else sketch["ends"][2 * i + 1]
-        spans.append((fraction * (n - 1), low, high))
-
-    v = F.col("v")
-    near = F.lit(False)
-    for _, low, high in spans:
-        near = near | v.between(low, high)
+    fractions = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    points = [p for f in fractions.values() for p in selection.sketch_points(f, accuracy)]
     basics = values.agg(
+        F.count("*").alias("n"),
         F.avg("v").alias("mean_ms"),
         F.min("v").alias("min_ms"),
         F.max("v").alias("max_ms"),
-        *[F.count_if(v < low).alias(f"below_{i}") for i, (_, low, _) in enumerate(spans)],
-    )
-    base = basics.first()
-    distinct = values.where(near).groupBy("v").agg(F.count("*").alias("c"))
-    ranked = distinct.withColumn(
-        "span",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    *[
-                        F.when(v.between(low, high), F.lit(i))
-                        for i, (_, low, high) in enumerate(spans)
-                    ]
-                )
-            )
-        ),
-    ).withColumn("upto", F.sum("c").over(Window.partitionBy("span").orderBy("v")))
-    picks = []
-    for i, (rank, _, _) in enumerate(spans):
-        here = F.col("span") == i
-        reached = F.col("upto") + F.lit(base[f"below_{i}"])
-        for side, k in (("lo", math.floor(rank)), ("hi", math.ceil(rank))):
-            picks.append(F.min(F.when(here & (reached > k), v)).alias(f"{side}_{i}"))
-    chosen = ranked.agg(*picks)
-    percentiles = [
-        (
-            F.col(f"lo_{i}")
-            + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * F.lit(rank - math.floor(rank))
-        ).alias(name)
-        for i, ((rank, _, _), name) in enumerate(zip(spans, names))
-    ]
-    return chosen.select(
-        F.lit(base["mean_ms"]).alias("mean_ms"),
-        F.lit(base["min_ms"]).alias("min_ms"),
-        F.lit(base["max_ms"]).alias("max_ms"),
-        *percentiles,
-    ).withColumn("meets_target", F.col("p99_ms") < target_ms)
+        F.percentile_approx("v", points, accuracy).alias("ends"),
+    ).first()
+    percentiles = dict.fromkeys(fractions)
+    if basics.n:
+        places = {name: f * (basics.n - 1) for name, f in fractions.items()}
+        ranks = {name: (math.floor(p), math.ceil(p)) for name, p in places.items()}
+        brackets = {}
+        if basics.n > 4 * accuracy:  # fewer rows are counted as they are
+            for i, pair in enumerate(ranks.values()):
+                brackets |= dict.fromkeys(pair, tuple(basics.ends[2 * i : 2 * i + 2]))
+        found = selection.order_statistics(
+            values, {r for pair in ranks.values() for r in pair}, basics.min_ms, basics.max_ms,
+            basics.n, brackets, accuracy,
+        )
+        for name, (a, b) in ranks.items():
+            percentiles[name] = found[a] + (found[b] - found[a]) * (places[name] - a)
+    passed = basics.n > 0 and percentiles["p99_ms"] < target_ms
+    row = (basics.mean_ms, basics.min_ms, basics.max_ms, *percentiles.values(), passed)
+    names = ("mean_ms", "min_ms", "max_ms", *fractions)
+    schema = ", ".join(f"{n} double" for n in names) + ", meets_target boolean"
+    return df.sparkSession.createDataFrame([row], schema)
 
 
 def reconcile(counts: DataFrame, events: DataFrame) -> DataFrame:
