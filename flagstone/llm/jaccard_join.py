@@ -10,8 +10,8 @@ are one class from the start. Then:
   room for enough others behind it (positional filter) and their sizes agree (length filter);
 * sets that share a rare prefix n-gram (at most `SMALL` sets have it) are listed in pairs. Sets
   that share a more frequent one are compared through one pivot per n-gram first, so a group of
-  near copies costs one comparison per member; after that only pairs whose members are not yet
-  connected are listed. So no link between different components is lost, and no large group is
+  near copies costs one comparison per member; further rounds take other pivots while they
+  connect many; after that only pairs whose members are not yet connected are listed. So no link between different components is lost, and no large group is
   expanded into all its pairs;
 * common n-grams that are not in both prefixes lie behind one of them, so a pair's common prefix
   n-grams (counted, or bounded by the shared ones of each set) and the longer suffix bound the
@@ -49,7 +49,11 @@ PERCENT = 75
 BITS = 1024
 SMALL = 32
 SHARE = 2_000  # an n-gram in more than 1 / SHARE of the documents is frequent
-ROUNDS = 1  # of pivots, before the remaining pairs are listed
+COUNTED = 1 << 20  # bytes of text whose n-grams are counted together
+# Rounds of pivots go on while more pairs than CROSSING a set could be listed, and while a round
+# leaves no more than GAIN of them; what is left then is listed.
+CROSSING = 1
+GAIN = 0.8
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,12 +108,12 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 def frequent_grams(docs: DataFrame, size: int, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of n-grams in more than 1 / SHARE of the documents, and their counts.
 
-    Counts add up pieces of text in which an n-gram occurs three times or more.
+    Counts add up runs of text in which an n-gram occurs three times or more.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in pieces(batch):
+            for _, data, offsets in pieces(batch, size=COUNTED):
                 found, count = np.unique(shingle_sets(data, offsets, size)[1], return_counts=True)
                 often = count >= 3
                 yield pa.RecordBatch.from_arrays(
@@ -259,23 +263,31 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     few = rows.where("not many").join(other.where("not many2"), "gram").where("set < set2")
     links = verified(listed(few), "common + least(many_a, many_b)")
     many = rows.where("many").select("gram", "set", "n", "pos")
-    for turn in range(ROUNDS):
-        labelled = _labelled(many, links)
-        best = F.min(F.struct(F.xxhash64("component", F.lit(turn)), "set", "n", "pos")).alias("best")
-        pivots = labelled.groupBy("gram").agg(best, F.min("component").alias("x"), F.max("component").alias("y"))
-        pivots = pivots.where("x < y").selectExpr(
-            "gram", "best.set as set2", "best.n as n2", "best.pos as pos2"
-        )
+    n_sets, before, turn = shape.count(), None, 0
+    while True:
+        labelled = staged(_labelled(many, links), "labelled")
+        best = F.min(F.struct(F.xxhash64("component", F.lit(turn)), "set", "n", "pos", "component")).alias("best")
+        each = labelled.groupBy("gram", "component").agg(F.count("*").alias("c"), best)
+        pivots = each.groupBy("gram").agg(
+            F.min("best").alias("best"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"),
+            F.count("*").alias("parts"),
+        )
+        pivots = pivots.where("parts > 1").selectExpr(
+            "gram", "best.set as set2", "best.n as n2", "best.pos as pos2", "best.component as component2",
+            "(c * c - cc) / 2 as crossing",
+        )
         pivots = staged(pivots, "pivots")
+        crossing = pivots.agg(F.coalesce(F.sum("crossing"), F.lit(0.0))).first()[0]
+        few_left = before is not None and (crossing <= CROSSING * n_sets or crossing > GAIN * before)
+        if few_left or not crossing:
+            break
         found = verified(
-            listed(many.join(pivots, "gram").where("set <> set2")),
+            listed(labelled.join(pivots, "gram").where("component <> component2")),
             "least(many_a, many_b) + least(few_a, few_b)",
         )
         links = links.unionByName(found)
-    labelled = _labelled(many, links)
-    apart = labelled.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    apart = staged(apart.where("x < y").select("gram"), "apart")
-    left = staged(labelled.join(apart, "gram", "left_semi"), "open")
+        before, turn = crossing, turn + 1
+    left = staged(labelled.join(pivots.select("gram"), "gram", "left_semi"), "open")
     left = left.select("gram", "set", "n", "pos", "component").join(shared, "set")
     right = left.select(
         "gram", *[F.col(c).alias(f"{c}2") for c in ("set", "n", "pos", "component", "in_many", "in_few")]
