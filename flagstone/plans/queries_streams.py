@@ -28,11 +28,11 @@ from flagstone.plans.registry import (
     ntz,
     register,
 )
-from flagstone.config import TOPICS
+from flagstone.config import TOPICS, Settings
 from flagstone.schemas import MILESTONES
 from flagstone.sources import eventlog, readers, writers
 from flagstone.sources.scratch import scratch_dir, staged
-from flagstone.streaming import jobs
+from flagstone.streaming import buckets, ingest, jobs
 from flagstone.streaming import state as st
 
 ROUNDS = 2
@@ -325,6 +325,137 @@ def _request_chain(spark: SparkSession, root: str) -> str:
     return out
 
 
+def _bucket_checkpoint(events: DataFrame, settings: Settings, grain_seconds: int) -> str:
+    """Checkpoint of a bucket count that has read all events, in rounds."""
+    spark = events.sparkSession
+    checkpoint = scratch_dir(spark, "buckets-checkpoint")
+    with buckets.state_store(spark):
+        for source in rounds(events, "bucket-events"):
+            jobs.run_available(
+                buckets.bucket_state(source, settings, DELAY, grain_seconds),
+                lambda batch, batch_id: batch.write.format("noop").mode("append").save(),
+                checkpoint,
+                "update",
+            )
+    return checkpoint
+
+
+_LIFE = max(seconds for _, seconds in ALERT.rolling) + HOUR
+
+
+@register(
+    "t4_state_expiry",
+    f"""{MODEL_SQL}, seen AS (
+      SELECT image_id, event_type, us - us % {HOUR * US} AS bucket,
+        (SELECT max(us) // 1000 - {HOUR} * 1000 FROM byuser) AS watermark_ms
+      FROM byuser WHERE event_type IN ('view', 'comment', 'flag'))
+    SELECT image_id, event_type, make_timestamp(bucket) AS ts, count(*) AS n FROM seen
+    WHERE (bucket + {_LIFE * US}) // 1000 > watermark_ms GROUP BY ALL""",
+)
+def t4_state_expiry(spark: SparkSession, root: str) -> DataFrame:
+    """The state after the stream's end: buckets that a window can still reach, and no others."""
+    events = eventlog.by_user(eventlog.load_log(spark, root))
+    return ntz(buckets.read_buckets(spark, _bucket_checkpoint(events, ALERT, HOUR)))
+
+
+@register(
+    "t10_state_totals",
+    f"""{MODEL_SQL} SELECT image_id, count(*) FILTER (WHERE event_type = 'view') AS total_views,
+      count(*) FILTER (WHERE event_type = 'comment') AS total_comments,
+      count(*) FILTER (WHERE event_type = 'flag') AS total_flags, make_timestamp(max(us - us % {HOUR * US})) AS last_ts
+    FROM byuser WHERE event_type IN ('view', 'comment', 'flag') GROUP BY image_id""",
+)
+def t10_state_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Totals outlive the buckets they were counted from."""
+    events = eventlog.by_user(eventlog.load_log(spark, root))
+    return ntz(buckets.read_totals(spark, _bucket_checkpoint(events, ALERT, HOUR)))
+
+
+@register(
+    "t11_decisions_from_state",
+    f"""{_DECISION_SQL} SELECT image_id, 'heuristic' AS inference_mode, p AS moderation_probability,
+    rec AS recommendation, 'flagged' AS trigger_type FROM final""",
+)
+def t11_decisions_from_state(spark: SparkSession, root: str) -> DataFrame:
+    """Decisions with totals read from the state of a running count, and events by a pruned scan."""
+    log = eventlog.load_log(spark, root)
+    events = staged(eventlog.engagement(log), "engagement")
+    checkpoint = _bucket_checkpoint(events, TRAIN, 1)
+    out = scratch_dir(spark, "state-decisions")
+    sink = jobs.DecisionSink(
+        out,
+        events=lambda: events,
+        images=lambda: eventlog.images(log),
+        users=lambda: eventlog.users(log),
+        settings=TRAIN,
+        totals=lambda: buckets.read_totals(spark, checkpoint),
+    )
+    run_rounds(_requests(events), "requests", lambda s: s, sink)
+    schema = (
+        "image_id string, inference_mode string, moderation_probability double, "
+        "recommendation string, trigger_type string"
+    )
+    return _batches(spark, f"{out}/decisions", schema)
+
+
+# Every seventh message comes late by a third of the whole time; two rounds, cut in the middle.
+_ARRIVAL_SQL = f"""{MESSAGE_SQL},
+arrival AS (
+  SELECT *, CASE WHEN k = 7 THEN 'bad_json' ELSE reject_reason END AS reason,
+    us + CASE WHEN n % 7 = 0 THEN (SELECT (max(us) - min(us)) // 3 FROM checked) ELSE 0 END AS arrived,
+    (SELECT (max(us) + min(us)) // 2 FROM checked) AS cut FROM checked),
+split AS (
+  SELECT *, arrived > cut AND us < (SELECT max(us) FROM arrival WHERE arrived <= cut AND reason IS NULL) - {HOUR * US} AS is_late,
+    CASE WHEN event_type IN ('comment', 'flag') THEN event_id ELSE event_type || 's-' || (k % 4) || '-' || n END AS id
+  FROM arrival)"""
+
+
+def _ingested(spark: SparkSession, root: str) -> str:
+    """Damaged messages in two rounds, some of them late, through the ingest sink."""
+    log = eventlog.load_log(spark, root)
+    raw = staged(messages(log, damage=True), "raw-messages")
+    us, number = micros("timestamp"), F.col("offset")
+    ends = raw.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
+    late = F.when(number % 7 == 0, (ends.high - ends.low) // 3).otherwise(0)
+    cut = (ends.high + ends.low) // 2
+    out, path = scratch_dir(spark, "ingest"), scratch_dir(spark, "ingest-in")
+    checkpoint = scratch_dir(spark, "ingest-checkpoint")
+    sink = ingest.IngestSink(out, HOUR)
+    for part in (raw.where(us + late <= cut), raw.where(us + late > cut)):
+        part.write.mode("append").parquet(path)
+        jobs.run_available(spark.readStream.schema(raw.schema).parquet(path), sink, checkpoint)
+    return out
+
+
+_EVENT = "event_type string, image_id string, event_id string, ts timestamp"
+
+
+@register(
+    "p8_stream_events",
+    f"""{_ARRIVAL_SQL} SELECT event_type, image_id, id AS event_id, ts FROM split WHERE reason IS NULL AND NOT is_late""",
+)
+def p8_stream_events(spark: SparkSession, root: str) -> DataFrame:
+    return ntz(ingest.read_output(spark, _ingested(spark, root), "events", _EVENT))
+
+
+@register(
+    "t12_late_events",
+    f"""{_ARRIVAL_SQL} SELECT event_type, image_id, id AS event_id, ts FROM split WHERE reason IS NULL AND is_late""",
+)
+def t12_late_events(spark: SparkSession, root: str) -> DataFrame:
+    """What the watermark would drop, kept in a table of its own."""
+    return ntz(ingest.read_output(spark, _ingested(spark, root), "late", _EVENT))
+
+
+@register(
+    "p8_stream_quarantine",
+    f"""{_ARRIVAL_SQL} SELECT n AS "offset", reason AS reject_reason FROM split WHERE reason IS NOT NULL""",
+)
+def p8_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    schema = '"offset" long, reject_reason string'.replace('"', "")
+    return ingest.read_output(spark, _ingested(spark, root), "quarantine", schema)
+
+
 @register(
     "t11_request_chain",
     f"""{_DECISION_SQL} SELECT image_id, 'heuristic' AS inference_mode, p AS moderation_probability,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -61,21 +61,60 @@ def merge_features(online: DataFrame, metadata: DataFrame) -> DataFrame:
     ).drop(*[f"_online_{c}" for c in both])
 
 
+def recent_events(
+    events: DataFrame, requests: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """The events that a window of any request can reach: the filter goes into the scan."""
+    oldest = requests.agg(F.min("ts")).first()[0]
+    longest = timedelta(seconds=max(seconds for _, seconds in settings.rolling))
+    return events.where(F.col("ts") >= F.lit(oldest - longest)) if oldest else events.limit(0)
+
+
+def totals_at_requests(
+    counted: DataFrame, recent: DataFrame, totals: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Replace the running totals over `recent` events by totals over the whole history.
+
+    `totals` holds what a stream has counted for each image up to its event at `last_ts`, in the order
+    of time. Before the recent events lie total less the recent events up to `last_ts`; that
+    is one number an image, to which the running totals of its recent events are added.
+    """
+    names = [f"total_{plural}" for plural in PLURAL.values()]
+    upto = restrict(recent, totals, ["image_id"]).join(totals.select("image_id", "last_ts"), "image_id")
+    upto = upto.where(F.col("ts") <= F.col("last_ts")).groupBy("image_id").agg(
+        *[F.count_if(F.col("event_type") == kind).alias(f"_{name}") for kind, name in zip(PLURAL, names)]
+    )
+    before = totals.join(upto, "image_id", "left").select(
+        "image_id", *[(F.col(n) - F.coalesce(f"_{n}", F.lit(0))).alias(f"_{n}") for n in names]
+    )
+    joined = skew_join(counted, before, ["image_id"], "left", settings.hot_rows)
+    return joined.withColumns(
+        {n: F.col(n) + F.coalesce(f"_{n}", F.lit(0)) for n in names}
+    ).drop(*[f"_{n}" for n in names])
+
+
 def serving_features(
     requests: DataFrame,
     events: DataFrame,
     images: DataFrame,
     users: DataFrame,
     settings: Settings = Settings(),
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Full feature row of each request (image_id, event_id, trigger, ts).
 
     Counts are those at the request's time, windows closed at both ends. Requests on
     unknown images drop out; see `missing_requests`. A short list of requested images
-    cuts the events down before anything is shuffled.
+    cuts the events down before anything is shuffled. With `totals` (see `buckets.read_totals`) only
+    events that a window of a request can reach are read.
     """
+    if totals is not None:
+        events = recent_events(events, requests, settings)
+        totals = restrict(totals, requests, ["image_id"])
     asked = restrict(events, requests, ["image_id"])
     online = rolling_counts(asked, settings, probes=requests, limit=settings.hot_rows)
+    if totals is not None:
+        online = totals_at_requests(online, asked, totals, settings)
     known = skew_join(
         online,
         image_metadata(images, users, settings),

@@ -154,7 +154,9 @@ class DecisionSink:
 
     Requests on images that are not known get no decision but a row in the errors table.
 
-    Tables are passed as functions so that each batch reads their current state. With
+    Tables are passed as functions so that each batch reads their current state. With `totals`
+    (the state of a running count, see `buckets.read_totals`), a batch reads no more of the events than
+    the longest window before its first request. With
     `model_root`, the model pointer is looked at before a batch, at most every
     `check_seconds`.
     """
@@ -168,9 +170,10 @@ class DecisionSink:
         settings: Settings = Settings(),
         model_root: str | None = None,
         check_seconds: float = 30.0,
+        totals: Callable[[], DataFrame] | None = None,
     ):
         self.out, self.settings = out, settings
-        self.events, self.images, self.users = events, images, users
+        self.events, self.images, self.users, self.totals = events, images, users, totals
         self.model_root, self.check_seconds = model_root, check_seconds
         self.model, self.pointer, self.checked = None, None, float("-inf")
 
@@ -186,7 +189,12 @@ class DecisionSink:
     def __call__(self, requests: DataFrame, batch_id: int) -> None:
         self.refresh_model(requests.sparkSession)
         features = serving_features(
-            requests, self.events(), self.images(), self.users(), self.settings
+            requests,
+            self.events(),
+            self.images(),
+            self.users(),
+            self.settings,
+            self.totals() if self.totals else None,
         )
         scored = decide(
             features,
