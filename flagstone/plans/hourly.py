@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flagstone.config import Settings
 from flagstone.operators.ingest import good, parse_envelopes, validate
 from flagstone.operators.windows import COUNTED, tumbling_counts, window_table
+from flagstone.sources.scratch import staged
 from flagstone.sources.writers import append_table
 
 
@@ -39,22 +40,53 @@ def write_window_tables(
         )
 
 
-def run_metrics(
+def aggregate_range(
     raw: DataFrame, start: datetime, end: datetime, settings: Settings = Settings()
-) -> DataFrame:
-    """Messages read, in range and skipped, and windows per type, as (metric, n)."""
+) -> tuple[DataFrame, DataFrame]:
+    """Written counts of [start, end) and the metrics of making them, in one scan of the messages.
+
+    The metrics are observed while the messages are parsed and counted. Tasks that Spark runs
+    again after the loss of an executor may be observed twice; then the observed events in range
+    are not the counted ones, and the metrics are counted from the messages instead.
+    """
     checked = validate(parse_envelopes(raw))
+    seen = Observation("hourly")
+    events = good(checked.observe(seen, *_event_metrics(start, end)))
+    counts = staged(tumbling_counts(events, settings, start, end), "hourly-counts")
+    windows = counts.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_count").alias("events"))
+    held = windows.collect()  # a row a type
+    found = dict(seen.get)
+    if found["events_in_range"] != sum(row.events for row in held):
+        found = checked.agg(*_event_metrics(start, end)).first().asDict()
+    rows = [*found.items(), *[(f"{row.event_type}_windows", row.n) for row in held]]
+    return counts, raw.sparkSession.createDataFrame(rows, "metric string, n long")
+
+
+def _event_metrics(start: datetime, end: datetime) -> list[Column]:
     counted = F.coalesce(F.col("event_type").isin(*COUNTED), F.lit(False))
     in_range = counted & (F.col("ts") >= start) & (F.col("ts") < end)
     skipped = F.col("reject_reason").isNotNull()
-    events = checked.agg(
-        F.count("*").alias("events_read"),
+    return [
+        F.count(F.lit(1)).alias("events_read"),
         F.count_if(~skipped & in_range).alias("events_in_range"),
         F.count_if(skipped).alias("events_skipped"),
-    ).unpivot([], ["events_read", "events_in_range", "events_skipped"], "metric", "n")
-    windows = (
-        hourly_windows(raw, start, end, settings)
-        .groupBy(F.concat("event_type", F.lit("_windows")).alias("metric"))
-        .agg(F.count("*").alias("n"))
-    )
-    return events.unionByName(windows)
+    ]
+
+
+def run_metrics(
+    raw: DataFrame, start: datetime, end: datetime, settings: Settings = Settings()
+) -> DataFrame:
+    """The metrics alone, for a range whose windows are not kept."""
+    return aggregate_range(raw, start, end, settings)[1]
+
+
+def run_hourly(
+    raw: DataFrame, start: datetime, end: datetime, namespace: str, settings: Settings = Settings()
+) -> DataFrame:
+    """The hourly job as one call: replay [start, end) into the three window tables.
+
+    Returns messages read, in range and skipped, and windows per type, as (metric, n).
+    """
+    counts, metrics = aggregate_range(raw, start, end, settings)
+    write_window_tables(counts, namespace, settings)
+    return metrics

@@ -670,8 +670,30 @@ def a14_alert_statistics(spark: SparkSession, root: str) -> DataFrame:
     FROM inside GROUP BY event_type""",
 )
 def a15_run_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Observed while the windows are made."""
     raw = messages(eventlog.load_log(spark, root))
-    return hourly.run_metrics(raw, START, END, TRAIN)
+    return hourly.aggregate_range(raw, START, END, TRAIN)[1]
+
+
+@register(
+    "a1_hourly_job",
+    f"""{MESSAGE_SQL} SELECT event_type, image_id, make_timestamp(us - us % {BUCKET}) AS window_start,
+    make_timestamp(us - us % {BUCKET} + {BUCKET}) AS window_end, count(*) AS event_count
+    FROM checked WHERE reject_reason IS NULL AND event_type <> 'upload' AND {RANGE_SQL}
+    GROUP BY event_type, image_id, us - us % {BUCKET}""",
+)
+def a1_hourly_job(spark: SparkSession, root: str) -> DataFrame:
+    """The hourly job over one range, twice: the three tables hold one copy."""
+    raw, lake = messages(eventlog.load_log(spark, root)), _lake(spark)
+    for _ in range(2):
+        hourly.run_hourly(raw, START, END, lake, TRAIN)
+    minutes = TRAIN.bucket_seconds // 60
+    tables = [
+        readers.scan_table(spark, f"{lake}.{kind}_windows_{minutes}min").withColumn("event_type", F.lit(kind))
+        for kind in win.COUNTED
+    ]
+    columns = ("event_type", "image_id", "window_start", "window_end", "event_count")
+    return ntz(ing.union_topics(*tables).select(*columns))
 
 
 @register(

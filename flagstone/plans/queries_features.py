@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +28,7 @@ from flagstone.operators import alerts as al
 from flagstone.operators import quality as q
 from flagstone.operators import windows as win
 from flagstone.operators.skew import skew_join
-from flagstone.plans import model, serving
+from flagstone.plans import daily, model, serving
 from flagstone.plans import training_table as tt
 from flagstone.plans.queries_events import upload_rows
 from flagstone.plans.registry import (
@@ -38,6 +40,7 @@ from flagstone.plans.registry import (
     TRAINING_SQL,
     US,
     US_SQL,
+    flagged,
     flags,
     milestones,
     ntz,
@@ -257,6 +260,36 @@ def training_features_mature(spark: SparkSession, root: str) -> DataFrame:
     return training_table(log, mature_at=F.lit(AS_OF))
 
 
+DAYS = [datetime(2024, 1, d, tzinfo=timezone.utc) for d in (8, 14, 19)]
+
+
+@register(
+    "training_daily_job",
+    f"""{TRAINING_SQL} SELECT {', '.join('t.' + c for c in TRAINING.names)} FROM training t
+    JOIN img ON img.id = t.image_id
+    WHERE img.uploaded_at >= TIMESTAMP '2024-01-08' AND img.uploaded_at < TIMESTAMP '2024-01-19'""",
+)
+def training_daily_job(spark: SparkSession, root: str) -> DataFrame:
+    """The daily job over overlapping ranges of days: every row once, history outside not read."""
+    log = eventlog.load_log(spark, root)
+    events = staged(eventlog.engagement(log), "engagement")
+    name = "daily_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, 'daily')}'")
+    first, middle, last = DAYS
+    for start, end in ((first, middle), (first, last), (middle, last)):
+        daily.run_daily(
+            eventlog.users(log),
+            eventlog.images(log),
+            flagged(events),
+            win.tumbling_counts(events, TRAIN),
+            start,
+            end,
+            f"{name}.training",
+            TRAIN,
+        )
+    return spark.table(f"{name}.training").select(*TRAINING.names)
+
+
 @register(
     "a18_leakage",
     f"""{TRAINING_SQL} SELECT image_id FROM training WHERE decision_point_minutes = 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,6 +220,17 @@ def milestone_features(
     )
 
 
+def _within(df: DataFrame, column: str, start: datetime, end: datetime, closed: bool = False) -> DataFrame:
+    upto = F.col(column) <= end if closed else F.col(column) < end
+    return df.where((F.col(column) >= start) & upto)
+
+
+def upload_range(images: DataFrame) -> tuple[datetime, datetime] | None:
+    """The half-open range of the upload times of a batch of images, gathered once; None for none."""
+    ends = images.agg(F.min("uploaded_at").alias("low"), F.max("uploaded_at").alias("high")).first()
+    return None if ends.low is None else (ends.low, ends.high + timedelta(microseconds=1))
+
+
 def build_training_data(
     users: DataFrame,
     images: DataFrame,
@@ -229,9 +243,16 @@ def build_training_data(
     milestones: DataFrame | None = None,
     mature_at: object | None = None,
     windows: DataFrame | None = None,
+    uploaded: tuple[datetime, datetime] | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """All 19 columns of the training table, as one lazy plan.
 
+    `uploaded` keeps the images of [start, end); windows and flags that none of them can use are
+    then left out by filters on their times, which reach their scans (see `upload_range` for the range
+    of a batch of images). The users' image counts still see all images. `extra` columns
+    of the images' rows, such as `uploaded_at`, follow the 19.
+
     Window counts come from the two window tables or, with an event_type column, from
     `windows`.
     `mode="milestone"` uses raw comments and milestones instead of window tables.
@@ -246,9 +267,17 @@ def build_training_data(
         horizon = F.expr(f"interval {settings.label_hours} hours")
         rows = rows.where(F.col("uploaded_at") + horizon <= mature_at)
 
+    if uploaded is not None:
+        first, last = uploaded
+        rows, slim = _within(rows, "uploaded_at", first, last), _within(slim, "uploaded_at", first, last)
+        flags = _within(flags, "created_at", first, last + timedelta(hours=settings.label_hours), True)
+
     if mode == "windows":
         if windows is None:
             windows = window_union(view_windows, comment_windows)
+        if uploaded is not None:
+            reach = last + timedelta(minutes=max(settings.decision_points))
+            windows = _within(windows, "window_start", first, reach)
         sums = window_sums(slim, windows, settings)
         points = F.array(*[F.lit(m) for m in settings.decision_points])
         at = F.array_position(points, F.col("decision_point_minutes"))
@@ -283,4 +312,4 @@ def build_training_data(
             LABEL: F.coalesce(LABEL, F.lit(0)),
         }
     )
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in TRAINING])
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in TRAINING], *extra)

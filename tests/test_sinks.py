@@ -88,3 +88,27 @@ def test_csv_has_a_header_per_file(spark, tmp_path):
     writers.append_csv(spark.range(2), path)
     back = spark.read.option("header", True).schema("id long").csv(path)
     assert rows(back) == [(0,), (0,), (1,), (1,)]
+
+
+def test_hourly_job_reads_its_messages_once_and_keeps_one_copy(spark, tmp_path):
+    from flagstone.plans.hourly import aggregate_range, run_hourly, run_metrics
+
+    body = '{{"event_type": "{}", "image_id": {}, "viewed_at": "{}", "created_at": "{}", "comment_id": "c"}}'
+    raw = [
+        ("t", 0, k, at(s), body.format(kind, image, at(s).isoformat(), at(s).isoformat()))
+        for k, (kind, image, s) in enumerate(
+            [("view", '"i"', 0), ("view", '"i"', 10), ("view", "null", 20), ("comment", '"i"', 400), ("view", '"j"', 7300), ("odd", '"i"', 1)]
+        )
+    ]
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(raw, "topic string, partition int, offset long, timestamp timestamp, value string").write.parquet(path)
+    messages = spark.read.parquet(path)
+    counts, metrics = aggregate_range(messages, at(0), at(3600))
+    assert rows(metrics) == rows(run_metrics(messages, at(0), at(3600))) == [
+        ("comment_windows", 1), ("events_in_range", 3), ("events_read", 6), ("events_skipped", 2), ("view_windows", 1)
+    ]
+    assert path not in counts._jdf.queryExecution().executedPlan().toString()  # written: parsed no more
+    for _ in range(2):
+        run_hourly(messages, at(0), at(7200), "lake_h")
+    assert rows(readers.scan_table(spark, "lake_h.view_windows_5min"), "image_id", "event_count") == [("i", 2)]
+    assert readers.scan_table(spark, "lake_h.comment_windows_5min").count() == 1

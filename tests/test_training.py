@@ -1,8 +1,11 @@
+import pytest
+
 from flagstone.config import Settings
 from flagstone.operators import quality as q
+from flagstone.operators.windows import tumbling_counts
 from flagstone.plans import training_table as tt
 from flagstone.schemas import TRAINING
-from helpers import at, rows
+from helpers import at, events, rows
 
 DAY = 86400
 USERS = "id string, username string, created_at timestamp"
@@ -114,3 +117,51 @@ def test_settings_scale_the_formulas(spark):
     views = [("i", at(0), at(300), 6), ("i", at(300), at(600), 6)]
     table = build(spark, [("i", "u", None, None, at(0))], views=views, settings=Settings(window_5min=600, decision_points=(10,)))
     assert rows(table, "views_5min", "view_velocity_per_min") == [(12, 12 / (settings.window_5min / 60))]
+
+
+def test_history_outside_the_uploads_is_pruned_in_the_scan(spark, tmp_path):
+    from datetime import timedelta
+
+    users = spark.createDataFrame([("u", at(-86_400))], "id string, created_at timestamp")
+    images = [("a", "u", None, None, at(0)), ("b", "u", "x", "Rice", at(7200)), ("c", "u", "y", "Rice", at(90_000))]
+    images = spark.createDataFrame(images, "id string, user_id string, caption string, category string, uploaded_at timestamp")
+    flags = [("a", at(5)), ("b", at(90_000)), ("b", at(200_000)), ("c", at(90_001))]
+    log = [(i, "view", 300.0 * k) for k in range(600) for i in "abc"]
+    windows = tumbling_counts(events(spark, log))
+    for name, frame in (("w", windows), ("f", spark.createDataFrame(flags, "image_id string, created_at timestamp"))):
+        frame.write.parquet(str(tmp_path / name))
+    windows, flags = (spark.read.parquet(str(tmp_path / n)) for n in "wf")
+    assert tt.upload_range(images.where("id <> 'c'")) == (at(0), at(7200) + timedelta(microseconds=1))
+    assert tt.upload_range(images.limit(0)) is None
+    whole = tt.build_training_data(users, images, flags, windows=windows)
+    some = tt.build_training_data(users, images, flags, windows=windows, uploaded=(at(0), at(7201)))
+    assert rows(some) == [r for r in rows(whole) if r[0] != "c"] and some.count() == 6
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = some._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(window_start," in plan and "LessThan(window_start," in plan
+    assert "GreaterThanOrEqual(created_at," in plan and "LessThanOrEqual(created_at," in plan
+
+
+def test_daily_job_keeps_one_copy_and_takes_whole_days(spark):
+    from flagstone.plans.daily import run_daily
+
+    day = at(0).replace(hour=0)
+    users = spark.createDataFrame([("u", at(-86_400))], "id string, created_at timestamp")
+    images = spark.createDataFrame(
+        [(f"i{k}", "u", None, None, at(3600 * 10 * k)) for k in range(8)],
+        "id string, user_id string, caption string, category string, uploaded_at timestamp",
+    )
+    flags = spark.createDataFrame([("i0", at(60)), ("i3", at(3600 * 31))], "image_id string, created_at timestamp")
+    windows = tumbling_counts(events(spark, [(f"i{k}", "view", 36_000.0 * k + 1) for k in range(8)]))
+    job = lambda a, b: run_daily(users, images, flags, windows, a, b, "daily_a.training")
+    counts = rows(job(day, day.replace(day=day.day + 2)))
+    assert counts == [(0, 6), (1, 6)]  # four images, two of them flagged within a day
+    for _ in range(2):
+        job(day, day.replace(day=day.day + 4))
+    table = spark.table("daily_a.training")
+    assert table.count() == 24 and table.select("image_id", "decision_point_minutes").distinct().count() == 24
+    with pytest.raises(ValueError, match="whole days"):
+        job(at(0), at(3600))
