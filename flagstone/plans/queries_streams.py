@@ -189,19 +189,19 @@ def t2_stream_rolling_by_grain(spark: SparkSession, root: str) -> DataFrame:
     return ntz(rows.groupBy("image_id", "event_type", "ts").agg(*last))
 
 
-def _grains(log: DataFrame, grain: str) -> DataFrame:
+def _grains(log: DataFrame, grain: str, path: str | None = None) -> DataFrame:
     """First stage of the state jobs: a table of counts per grain and batch."""
     events = eventlog.by_user(log)
-    path = scratch_dir(log.sparkSession, "grains-out")
+    path = path or scratch_dir(log.sparkSession, "grains-out")
     run_rounds(events, "grains", lambda s: s, jobs.grain_sink(path, grain))
     return _batches(log.sparkSession, path, st.grain_totals(events, grain).schema)
 
 
-def _state_output(spark: SparkSession, root: str) -> str:
+def _state_output(spark: SparkSession, root: str, out: str | None = None) -> str:
     """Both stages, at the default grain of one second."""
-    out = scratch_dir(spark, "state")
+    out = out or scratch_dir(spark, "state")
     run_rounds(
-        _grains(eventlog.load_log(spark, root), st.GRAIN),
+        _grains(eventlog.load_log(spark, root), st.GRAIN, f"{out}/grains"),
         "counts",
         lambda s: st.rolling_state(s, ALERT, DELAY),
         jobs.state_sinks(out, ALERT),
@@ -210,7 +210,7 @@ def _state_output(spark: SparkSession, root: str) -> str:
 
 
 def _batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return writers.read_run(spark, path, schema)
 
 
 @register(
@@ -219,10 +219,39 @@ def _batches(spark: SparkSession, path: str, schema) -> DataFrame:
 )
 def t5_stream_alerts(spark: SparkSession, root: str) -> DataFrame:
     out = _state_output(spark, root)
-    schema = (
-        "image_id string, alert_type string, alert_ts timestamp, observed long, threshold long"
+    return ntz(spark.read.schema(_ALERT).parquet(f"{out}/alerts"))
+
+
+_ALERT = "image_id string, alert_type string, alert_ts timestamp, observed long, threshold long"
+
+
+@register(
+    "t15_reset",
+    f"""{GRAIN_ALERT_SQL} SELECT 'grains' AS output, count(DISTINCT (image_id, event_type, us)) AS n_rows,
+      count(*) AS n FROM grain WHERE event_type IN ('view', 'comment', 'flag')
+    UNION ALL SELECT alert_type, count(*), CAST(sum(observed) AS BIGINT) FROM alert GROUP BY alert_type
+    UNION ALL SELECT 'milestones', count(*), CAST(sum(milestone_value) AS BIGINT) FROM milestone""",
+)
+def t15_reset(spark: SparkSession, root: str) -> DataFrame:
+    """Both stages twice into one folder, the second time with new checkpoints, as after a reset:
+    counts are those of one run, and each alert and milestone is there once."""
+    out = scratch_dir(spark, "reset")
+    for _ in range(2):
+        _state_output(spark, root, out)
+    total = lambda c: F.sum(c).cast("long").alias("n")
+    grains = _batches(spark, f"{out}/grains", "image_id string, event_type string, ts timestamp, n long")
+    per_grain = grains.groupBy("image_id", "event_type", "ts").agg(F.sum("n").alias("n"))
+    alerts = spark.read.schema(_ALERT).parquet(f"{out}/alerts")
+    reached = spark.read.schema(MILESTONES).parquet(f"{out}/milestones")
+    return (
+        per_grain.agg(F.count("*").alias("n_rows"), total("n")).select(F.lit("grains").alias("output"), "n_rows", "n")
+        .unionByName(alerts.groupBy(F.col("alert_type").alias("output")).agg(F.count("*").alias("n_rows"), total("observed")))
+        .unionByName(
+            reached.agg(F.count("*").alias("n_rows"), total("milestone_value")).select(
+                F.lit("milestones").alias("output"), "n_rows", "n"
+            )
+        )
     )
-    return ntz(_batches(spark, f"{out}/alerts", schema))
 
 
 @register(
@@ -231,7 +260,7 @@ def t5_stream_alerts(spark: SparkSession, root: str) -> DataFrame:
 )
 def t7_stream_milestones(spark: SparkSession, root: str) -> DataFrame:
     out = _state_output(spark, root)
-    return ntz(_batches(spark, f"{out}/milestones", MILESTONES).drop("id"))
+    return ntz(spark.read.schema(MILESTONES).parquet(f"{out}/milestones").drop("id"))
 
 
 @register(

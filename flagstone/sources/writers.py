@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -156,14 +157,49 @@ def write_batch(
 ) -> str:
     """Write one micro-batch to a folder of its run and batch; a replay replaces it.
 
-    Batch numbers start anew with a new checkpoint; the run id keeps such batches apart.
-    Returns the folder.
+    Batch numbers start anew with a new checkpoint; the run id keeps such batches apart, and
+    the start of a run is marked, so that readers know the newest one. Returns the folder.
     """
-    folder = f"{path}/run_id={run or run_id(df.sparkSession)}/batch_id={batch_id}"
+    run = run or run_id(df.sparkSession)
+    if run not in runs(df.sparkSession, path):
+        _files(df.sparkSession, f"{path}/_runs")[0].mkdirs(
+            _files(df.sparkSession, f"{path}/_runs/{time.time_ns() // 1000:018d}-{run}")[1]
+        )
+    folder = f"{path}/run_id={run}/batch_id={batch_id}"
     df.write.mode("overwrite").parquet(folder)
     return folder
 
 
+def _files(spark: SparkSession, path: str):
+    """File system and location of a path."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def runs(spark: SparkSession, path: str) -> list[str]:
+    """The runs that wrote batches to a folder, by their start; compacted rows come first."""
+    system, location = _files(spark, f"{path}/_runs")
+    if not system.exists(location):
+        return []
+    marks = sorted(status.getPath().getName() for status in system.listStatus(location))
+    names = [mark.split("-", 1)[1] for mark in marks]
+    return sorted(dict.fromkeys(names), key=lambda name: name != BASE)
+
+
+def read_run(
+    spark: SparkSession, path: str, schema: T.StructType | str, run: str | None = None
+) -> DataFrame:
+    """All batches of one run, the newest if none is named.
+
+    For outputs that add up (counts, requests, decisions): after a reset, a stream with a new
+    checkpoint reads its input again, and its rows take the place of the run before.
+    """
+    known = runs(spark, path)
+    folders = [f"{path}/run_id={run or known[-1]}"] if run or known else []
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def put_latest(df: DataFrame, path: str, batch_id: int) -> None:
     """Add changed rows to a latest-state table. Nothing old is rewritten."""
     write_batch(df, path, batch_id)
@@ -179,10 +215,11 @@ def get_latest(
 ) -> DataFrame:
     """Current row of each key, optionally of keys whose first column starts with `prefix`.
 
-    The choice is a maximum over a struct, combined before the shuffle.
+    The choice is a maximum over a struct, combined before the shuffle. Of equal order values
+    that of the run started last counts, and of its last batch.
     """
     key = [key] if isinstance(key, str) else list(key)
-    place = ("run_id", "batch_id")
+    place = ("_started", "batch_id")
     stored = T.StructType(
         [
             *schema.fields,
@@ -191,6 +228,8 @@ def get_latest(
         ]
     )
     rows = spark.read.schema(stored).option("basePath", path).parquet(path)
+    started = F.array(*[F.lit(name) for name in runs(spark, path)]).cast("array<string>")
+    rows = rows.withColumn("_started", F.array_position(started, F.col("run_id"))).drop("run_id")
     if prefix is not None:
         rows = rows.where(F.col(key[0]).startswith(prefix))
     rest = [c for c in rows.columns if c not in (*key, *order, *place)]

@@ -115,7 +115,8 @@ def state_sinks(
     """Batch function for `rolling_state`: features, alerts, requests and milestones.
 
     The state rows are written first and the other outputs are made from the written
-    rows, so the stateful operator runs once per batch.
+    rows, so the stateful operator runs once per batch. Alerts and milestones go to tables with one
+    row a key, whatever runs wrote them; requests and features belong to their run (`read_run`).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -124,7 +125,12 @@ def state_sinks(
         if rows.isEmpty():
             return  # a batch that only moved the watermark
         alerts = alerts_of(rows, settings)
-        write_batch(alerts, f"{out}/alerts", batch_id)
+        insert_if_absent(alerts, f"{out}/alerts", ("image_id", "alert_type"), ("alert_ts",))
+        # A batch asks for the alerts that are its own, also when it is replayed.
+        held = batch.sparkSession.read.schema(alerts.schema).parquet(f"{out}/alerts")
+        alerts = alerts.join(
+            held.select("image_id", "alert_type", "alert_ts"), ["image_id", "alert_type", "alert_ts"], "left_semi"
+        )
         write_batch(
             to_messages(moderation_requests(alerts), "moderation_requests"),
             f"{out}/requests",
