@@ -47,3 +47,19 @@ def ranked(
     return placed.join(counts, match).select(
         *[placed[c] for c in df.columns], position.alias(name), counts[n].alias(size)
     )
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows from 0, in no order that matters: positions in their partitions, written down,
+    and behind the counts of the partitions before. Nothing but one count a partition moves."""
+    slot, row, n, low, before = (fresh(df, c) for c in ("slot", "row_number", "n_rows", "first_row", "before"))
+    placed = staged(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn(slot, F.shiftright(row, _SLOT_BITS))
+    counts = placed.groupBy(slot).agg(F.min(row).alias(low), F.count("*").alias(n))
+    earlier = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    counts = counts.withColumnRenamed(slot, "_slot").withColumn(
+        before, F.coalesce(F.sum(n).over(earlier), F.lit(0))
+    )
+    return placed.join(counts, placed[slot] == counts["_slot"]).select(
+        *df.columns, (F.col(row) - F.col(low) + F.col(before)).cast("long").alias(name)
+    )

@@ -1,11 +1,11 @@
 """A sparse document-term matrix over a global dictionary, in CSR shards.
 
-1. Distinct words of every run of texts are counted, summed up by word, and numbered by falling
-   count: word ids are dense and the same for all shards (`dictionary`).
+1. Distinct words of every run of texts are counted, summed up by word, and numbered: word ids are
+   dense and the same for all shards (`dictionary`).
 2. Texts are read again; a run of about `SHARD` bytes becomes a shard, rows of local word numbers
-   with their counts. The `hot` first words of the dictionary (a fixed number, so they may be
-   broadcast) get their ids there. The others, each at most once a shard, are joined with the
-   dictionary by word and come back to their shard.
+   with their counts. At most `hot` words, the most frequent ones (so few that they may be
+   broadcast), get their ids there. The others, each at most once a shard, are joined with the
+   dictionary by word and come back to their shard, which travels in packed form.
 3. A shard's matrix is complete when its words' ids are in place: docs (one struct a row), indptr,
    indices (ascending in a row), data.
 
@@ -31,12 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flagstone.llm.ranks import ranked
+from flagstone.llm.ranks import numbered
 from flagstone.llm.text import buffers, hash_intervals, pieces
 from flagstone.sources.scratch import staged
 
 SHARD = 1 << 20  # bytes of text
-HOT_WORDS = 1 << 18  # words sent to all tasks
+RUN = 1 << 23  # bytes of text whose words are counted together
+HOT_WORDS = 1 << 20  # words sent to all tasks, at most
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 _UPPER = np.zeros(256, bool)
@@ -65,12 +66,12 @@ def encode_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.nd
 
 
 def dictionary(df: DataFrame, column: str = "text") -> DataFrame:
-    """All words with the number of their occurrences and their id, from 0, by falling count."""
+    """All words with the number of their occurrences and their id, from 0."""
     df = df.select(F.col(column).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in pieces(batch, size=4 * SHARD):
+            for _, data, offsets in pieces(batch, size=RUN):
                 words, numbers, _ = encode_words(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [words.cast(pa.string()), pa.array(np.bincount(numbers, minlength=len(words)))],
@@ -78,8 +79,20 @@ def dictionary(df: DataFrame, column: str = "text") -> DataFrame:
                 )
 
     counted = df.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    ordered = counted.withColumn("fewer", -F.col("n"))
-    return ranked(ordered, [], ["fewer", "word"], "word_id").select("word", "n", "word_id")
+    return numbered(counted, "word_id")
+
+
+def frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words with at least so many occurrences that there are at most `most` of them."""
+    shift = "greatest(length(bin(n)) - 6, 0)"
+    bins = words.select(F.expr(f"shiftleft(shiftright(n, {shift}), {shift})").alias("low"))
+    least, held = None, 0
+    for row in sorted(bins.groupBy("low").count().collect(), reverse=True):  # at most 64 x 64 bins
+        held += row["count"]
+        if held > most:
+            break
+        least = row.low
+    return words.where(F.col("n") >= least) if least is not None else words.limit(0)
 
 
 def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -116,11 +129,24 @@ def _one_list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Non-negative integers in as few bytes each as the largest needs, behind that number."""
+    top = int(values.max()) if len(values) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w - (w == 8)))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    raw = column[0].as_buffer()
+    return np.frombuffer(raw, f"<u{np.frombuffer(raw, np.uint8, 1)[0]}", offset=1).astype(np.int64)
+
+
 class _Hot:
     """The hot words, looked up by hash and then compared."""
 
-    def __init__(self, words: list[str]) -> None:
-        self.words = pa.array(words, pa.large_string())
+    def __init__(self, table: pa.Table) -> None:
+        self.words = table.column("word").cast(pa.large_string()).combine_chunks()
+        self.number = table.column("word_id").to_numpy()
         data, offsets = buffers(self.words)
         hashes = hash_intervals(data, offsets[:-1], offsets[1:])
         self.order = np.argsort(hashes)
@@ -134,16 +160,15 @@ class _Hot:
         at = np.searchsorted(self.hashes, hash_intervals(data, offsets[:-1], offsets[1:]))
         found = self.order[np.minimum(at, len(self.order) - 1)]
         same = pc.equal(self.words.take(pa.array(found)), words).to_numpy(zero_copy_only=False)
-        return np.where(same, found, -1)
+        return np.where(same, self.number[found], -1)
 
 
 def _fill(shard: pa.Table, rare: pa.Table) -> pa.Table:
     """Put the ids of the rare words into a shard and order its rows by word id."""
-    terms = shard.column("terms").combine_chunks().flatten().to_numpy().copy()
+    terms = _unpacked(shard.column("terms"))
     terms[rare.column("slot").to_numpy()] = rare.column("word_id").to_numpy()
-    indptr = shard.column("indptr").combine_chunks().flatten().to_numpy()
-    indices = terms[shard.column("indices").combine_chunks().flatten().to_numpy()]
-    data = shard.column("data").combine_chunks().flatten().to_numpy()
+    indptr, data = _unpacked(shard.column("indptr")), _unpacked(shard.column("data"))
+    indices = terms[_unpacked(shard.column("indices"))]
     order = np.lexsort((indices, np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))))
     return pa.table(
         [
@@ -165,22 +190,20 @@ def matrix(
     hot: int = HOT_WORDS,
 ) -> DataFrame:
     """CSR shards of the texts: shard, docs (carried columns and `TRAITS`), indptr, indices, data."""
-    spark = df.sparkSession
-    known = _Hot([r.word for r in words.where(F.col("word_id") < hot).orderBy("word_id").collect()])
-    shared = spark.sparkContext.broadcast(known)
+    known = frequent(words, hot)
+    shared = df.sparkSession.sparkContext.broadcast(_Hot(known.select("word", "word_id").toArrow()))
     df = df.select(
         F.struct(*[c.alias(n) for n, c in carry.items()]).alias("row"),
         F.col(column).cast("string").alias("text"),
     )
     row = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema["row"].dataType])
     doc = T.StructType([T.StructField("row", row), T.StructField("traits", TRAITS)])
-    cells = [("indptr", T.IntegerType()), ("indices", T.IntegerType()), ("data", T.IntegerType())]
     fields = [T.StructField("shard", T.LongType()), T.StructField("docs", T.ArrayType(doc))]
-    fields += [T.StructField(n, T.ArrayType(k)) for n, k in cells]
+    kinds = {"indptr": T.IntegerType(), "indices": T.LongType(), "data": T.IntegerType()}
     schema = T.StructType(
         [
             *fields,
-            T.StructField("terms", T.ArrayType(T.LongType())),
+            *[T.StructField(n, T.BinaryType()) for n in (*kinds, "terms")],
             T.StructField("slots", T.ArrayType(T.IntegerType())),
             T.StructField("rare", T.ArrayType(T.StringType())),
         ]
@@ -204,10 +227,10 @@ def matrix(
                     [
                         pa.array([number], pa.int64()),
                         pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
-                        _one_list(np.searchsorted(row, np.arange(part.num_rows + 1)), pa.int32()),
-                        _one_list(column_number, pa.int32()),
-                        _one_list(np.diff(np.append(new, len(cell))), pa.int32()),
-                        _one_list(ids, pa.int64()),
+                        pa.array([_packed(np.searchsorted(row, np.arange(part.num_rows + 1)))]),
+                        pa.array([_packed(column_number)]),
+                        pa.array([_packed(np.diff(np.append(new, len(cell))))]),
+                        pa.array([_packed(np.maximum(ids, 0))]),
                         _one_list(slots, pa.int32()),
                         _one_list(local.take(pa.array(slots)), pa.string()),
                     ],
@@ -217,9 +240,9 @@ def matrix(
 
     shards = staged(df.mapInArrow(cut, schema), "shards")
     rare = shards.select(F.col("shard").alias("of"), F.inline(F.arrays_zip("slots", "rare")))
-    rare = rare.join(words.where(F.col("word_id") >= hot), F.col("rare") == F.col("word"))
+    rare = rare.join(words.select("word", "word_id"), F.col("rare") == F.col("word"))
     rare = rare.select("of", F.col("slots").alias("slot"), "word_id")
-    out = [f if f.name != "indices" else T.StructField("indices", T.ArrayType(T.LongType())) for f in fields]
+    out = [*fields, *[T.StructField(n, T.ArrayType(k)) for n, k in kinds.items()]]
     return (
         shards.drop("slots", "rare")
         .groupBy("shard")
