@@ -180,9 +180,22 @@ def recent_milestones(milestones: DataFrame, n: int = 10) -> DataFrame:
 
 def random_image(images: DataFrame, seed: int = 42) -> DataFrame:
     """One image drawn by a seeded hash: repeatable whatever the partitioning."""
-    return images.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(1)
+    return images.orderBy(F.md5(F.concat("id", F.lit(f":{seed}"))), "id").limit(1)
 
 
 def table_report(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
-    """The first rows by key. Schema and count come from the frame itself."""
+    """The first rows by key; `table_schema` has columns, types and the count."""
     return df.orderBy(*key).limit(n)
+
+
+def table_schema(df: DataFrame) -> DataFrame:
+    """One row a column: position, column_name, data_type, and the table's n_rows."""
+    columns = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+        )
+        for i, f in enumerate(df.schema, start=1)
+    ]
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.inline(F.array(*columns)), "n_rows")

@@ -248,34 +248,11 @@ def p2_parse_instants(spark: SparkSession, root: str) -> DataFrame:
 @register(
     "p3_arrival_fallback",
     f"""{MODEL_SQL} SELECT event_id, CASE WHEN k % 4 = 0 THEN ts + INTERVAL 1 SECOND
-    WHEN k % 4 = 1 THEN NULL ELSE ts END AS event_ts FROM log WHERE raw_type = 'view'""",
-)
-def p3_arrival_fallback(spark: SparkSession, root: str) -> DataFrame:
-    """A missing time becomes the arrival time; unreadable text stays null."""
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    views_log = eventlog.load_log(spark, root).where(F.col("event_type") == "view")
-    text = F.when(F.col("k") % 4 == 1, "yesterday").when(F.col("k") % 4 > 1, stamp)
-    rows = views_log.select(
-        "event_id",
-        "event_type",
-        text.alias("viewed_at"),
-        *[F.lit(None).cast("string").alias(c) for c in ("created_at", "uploaded_at")],
-        F.lit(None).cast("double").alias("timestamp"),
-        after(F.col("ts"), 1).alias("arrived_at"),
-    )
-    return ntz(
-        rows.select("event_id", ing.event_time(F.col("arrived_at")).alias("event_ts"))
-    )
-
-
-@register(
-    "p3_arrival_fallback_all_types",
-    f"""{MODEL_SQL} SELECT event_id, CASE WHEN k % 4 = 0 THEN ts + INTERVAL 1 SECOND
     WHEN k % 4 = 1 THEN NULL ELSE ts END AS event_ts FROM log
     WHERE raw_type IN ('view', 'click', 'error', 'signup')""",
 )
-def p3_arrival_fallback_all_types(spark: SparkSession, root: str) -> DataFrame:
-    """As p3_arrival_fallback, for every type, each with its own time column."""
+def p3_arrival_fallback(spark: SparkSession, root: str) -> DataFrame:
+    """A missing time becomes the arrival time, unreadable text stays null: every type in its own column."""
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     kinds = {"view": "view", "click": "comment", "error": "flag", "signup": "upload"}
     named = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in kinds.items()])
@@ -610,6 +587,53 @@ def a10_duplicates(spark: SparkSession, root: str) -> DataFrame:
     return q.duplicates(events, ["user_id", "event_type"])
 
 
+_TWICE_SQL = """SELECT * FROM milestone UNION ALL
+      SELECT * FROM milestone WHERE CAST(image_id AS BIGINT) % 2 = 0"""
+
+
+@register(
+    "a10_duplicate_milestones",
+    f"""{ALERT_SQL}, twice AS ({_TWICE_SQL})
+    SELECT 'image, type, value' AS checked, image_id, milestone_type, milestone_value, count(*) AS n
+    FROM twice GROUP BY ALL HAVING count(*) > 1
+    UNION ALL SELECT 'image, value', image_id, NULL, milestone_value, count(*) FROM twice
+    GROUP BY ALL HAVING count(*) > 1""",
+)
+def a10_duplicate_milestones(spark: SparkSession, root: str) -> DataFrame:
+    """Milestones of every second image stored twice, by both keys that are looked at."""
+    reached = milestones(eventlog.load_log(spark, root))
+    twice = reached.unionByName(reached.where(F.col("image_id").cast("long") % 2 == 0))
+    full, short = ["image_id", "milestone_type", "milestone_value"], ["image_id", "milestone_value"]
+    found = [
+        q.duplicates(twice, key).withColumn("checked", F.lit(name))
+        for name, key in (("image, type, value", full), ("image, value", short))
+    ]
+    return ing.union_topics(*found).select("checked", *full, "n")
+
+
+@register(
+    "a17_schema_check",
+    """SELECT * FROM (VALUES ('category', 'missing'), ('views_5min', 'missing'), ('views_1min', 'forbidden'))
+    AS t(column_name, problem) WHERE (SELECT count(*) FROM events) > 0""",
+)
+def a17_schema_check(spark: SparkSession, root: str) -> DataFrame:
+    """A training table that lacks two columns and has one it must not have."""
+    table = training(spark, root).drop("category").withColumnRenamed("views_5min", "views_1min")
+    return spark.createDataFrame(q.schema_problems(table), "column_name string, problem string")
+
+
+@register(
+    "a20_table_exists",
+    """SELECT * FROM (VALUES ('images', true), ('no_such_table', false)) AS t(table_name, present)
+    WHERE (SELECT count(*) FROM events) > 0""",
+)
+def a20_table_exists(spark: SparkSession, root: str) -> DataFrame:
+    lake = _lake(spark)
+    writers.replace_table(eventlog.images(eventlog.load_log(spark, root)), f"{lake}.images")
+    found = [(name, q.table_exists(spark, f"{lake}.{name}")) for name in ("images", "no_such_table")]
+    return spark.createDataFrame(found, "table_name string, present boolean")
+
+
 @register(
     "a11_rows_per_image",
     f"{MODEL_SQL} SELECT image_id, count(*) AS n FROM eng GROUP BY image_id",
@@ -857,18 +881,9 @@ def o2_most_recent_active(spark: SparkSession, root: str) -> DataFrame:
 @register(
     "o3_milestone_timeline",
     f"""{ALERT_SQL} SELECT image_id, milestone_type, milestone_value, reached_at FROM milestone
-    WHERE image_id = '8' ORDER BY reached_at""",
-)
-def o3_milestone_timeline(spark: SparkSession, root: str) -> DataFrame:
-    return ntz(q.milestone_timeline(milestones(eventlog.load_log(spark, root)), "8"))
-
-
-@register(
-    "o3_milestone_timeline_all_images",
-    f"""{ALERT_SQL} SELECT image_id, milestone_type, milestone_value, reached_at FROM milestone
     ORDER BY reached_at, image_id, milestone_value""",
 )
-def o3_milestone_timeline_all_images(spark: SparkSession, root: str) -> DataFrame:
+def o3_milestone_timeline(spark: SparkSession, root: str) -> DataFrame:
     return ntz(q.milestone_timeline(milestones(eventlog.load_log(spark, root))))
 
 
@@ -881,7 +896,11 @@ def o4_recent_milestones(spark: SparkSession, root: str) -> DataFrame:
     return ntz(q.recent_milestones(milestones(eventlog.load_log(spark, root))))
 
 
-@register("o5_random_image")
+@register(
+    "o5_random_image",
+    f"""{MODEL_SQL} SELECT id, user_id, 'store/' || id AS s3_url, caption, category, uploaded_at FROM img
+    ORDER BY md5(id || ':42'), id LIMIT 1""",
+)
 def o5_random_image(spark: SparkSession, root: str) -> DataFrame:
     return ntz(q.random_image(eventlog.images(eventlog.load_log(spark, root))))
 
@@ -897,6 +916,17 @@ def o7_table_report(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@register(
+    "o7_table_schema",
+    """SELECT position, column_name, data_type, n_rows FROM (VALUES (1, 'event_id', 'bigint'),
+      (2, 'ts', 'timestamp_ntz'), (3, 'user_id', 'bigint'), (4, 'event_type', 'string')) AS t(position, column_name, data_type),
+      (SELECT count(*) AS n_rows FROM events)""",
+)
+def o7_table_schema(spark: SparkSession, root: str) -> DataFrame:
+    events = spark.read.parquet(f"{root}/events.parquet")
+    return q.table_schema(events.select("event_id", "ts", "user_id", "event_type"))
+
+
 @register(
     "u1_union_topics",
     f"""{MODEL_SQL} SELECT event_id, event_type, image_id, CASE WHEN event_type = 'view' THEN ts END AS viewed_at,

@@ -290,6 +290,16 @@ def training_daily_job(spark: SparkSession, root: str) -> DataFrame:
     return spark.table(f"{name}.training").select(*TRAINING.names)
 
 
+@register(
+    "a18_leakage_found",
+    f"""{TRAINING_SQL} SELECT image_id FROM training WHERE decision_point_minutes = 0 AND user_image_count % 2 = 0""",
+)
+def a18_leakage_found(spark: SparkSession, root: str) -> DataFrame:
+    """Views slipped into every second count of images, at all decision points."""
+    leaky = F.when(F.col("user_image_count") % 2 == 0, F.col("views_1hr") + 1).otherwise(F.col("views_1hr"))
+    return q.leakage(training(spark, root).withColumn("views_1hr", leaky)).select("image_id")
+
+
 @register(
     "a18_leakage",
     f"""{TRAINING_SQL} SELECT image_id FROM training WHERE decision_point_minutes = 0
@@ -461,26 +471,9 @@ def f14_finite_values(spark: SparkSession, root: str) -> DataFrame:
 @register(
     "f15_feature_map",
     f"""{TRAINING_SQL}, {_sql_features("training")}
-    SELECT image_id, decision_point_minutes, views_1hr AS views, category_Rice AS rice,
-    user_image_count AS uploads FROM vec""",
-)
-def f15_feature_map(spark: SparkSession, root: str) -> DataFrame:
-    named = fx.feature_vector(training(spark, root)).withColumn("m", fx.feature_map())
-    return named.select(
-        "image_id",
-        "decision_point_minutes",
-        F.col("m")["views_1hr"].alias("views"),
-        F.col("m")["category_Rice"].alias("rice"),
-        F.col("m")["user_image_count"].alias("uploads"),
-    )
-
-
-@register(
-    "f15_feature_map_all_keys",
-    f"""{TRAINING_SQL}, {_sql_features("training")}
     SELECT image_id, decision_point_minutes, {", ".join(FEATURES)} FROM vec""",
 )
-def f15_feature_map_all_keys(spark: SparkSession, root: str) -> DataFrame:
+def f15_feature_map(spark: SparkSession, root: str) -> DataFrame:
     named = fx.feature_vector(training(spark, root)).withColumn("m", fx.feature_map())
     keys = [F.col("m")[f].alias(f) for f in FEATURES]
     return named.select("image_id", "decision_point_minutes", *keys)

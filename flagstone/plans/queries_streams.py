@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flagstone.functions.times import micros
+from flagstone.functions.times import after, micros
 from flagstone.operators.ingest import parse_requests
 from flagstone.operators.windows import latest_metadata
 from flagstone.plans.queries_events import upload_rows
@@ -15,6 +15,7 @@ from flagstone.plans.queries_features import _DECISION_SQL, _requests
 from flagstone.plans.registry import (
     ALERT,
     BUCKET,
+    DAY,
     GRAIN_ALERT_SQL,
     HOUR,
     MESSAGE_SQL,
@@ -516,10 +517,12 @@ def t11_request_errors(spark: SparkSession, root: str) -> DataFrame:
     f"""{MODEL_SQL} SELECT event_id, event_type, ts FROM byuser""",
 )
 def t13_stream_redelivery(spark: SparkSession, root: str) -> DataFrame:
-    """Every third event arrives twice and is kept once."""
-    events = eventlog.by_user(eventlog.load_log(spark, root))
-    again = events.where(F.col("event_id").cast("long") % 3 == 0)
+    """Every third event arrives again, half of them in a later round, and is kept once."""
+    events = eventlog.by_user(eventlog.load_log(spark, root)).withColumn("arrived", F.col("ts"))
+    again = events.where(F.col("event_id").cast("long") % 3 == 0).withColumn(
+        "arrived", after(F.col("ts"), F.when(F.col("event_id").cast("long") % 2 == 0, 20 * DAY).otherwise(1))
+    )
     unique = run_rounds(
-        events.unionByName(again), "events", lambda s: jobs.deduplicated(s, DELAY)
+        events.unionByName(again), "events", lambda s: jobs.deduplicated(s, "40 days"), time="arrived"
     )
     return ntz(unique.select("event_id", "event_type", "ts"))
