@@ -63,6 +63,24 @@ def s2_replay_range(spark: SparkSession, root: str) -> DataFrame:
     return ntz(replay.select("topic", "partition", "offset", F.col("timestamp").alias("ts")))
 
 
+@register(
+    "s2_replay_by_index",
+    f"""{MESSAGE_SQL} SELECT event_type || 's' AS topic, CAST(k % 4 AS INTEGER) AS "partition",
+    n AS "offset", ts FROM message
+    WHERE event_type IN ('view', 'comment', 'upload', 'flag') AND {RANGE_SQL}""",
+)
+def s2_replay_by_index(spark: SparkSession, root: str) -> DataFrame:
+    """The replay opens the files that can hold the range and one that came after the index."""
+    path, index = scratch_dir(spark, "messages") + "/log", scratch_dir(spark, "message-index") + "/table"
+    sent = messages(eventlog.load_log(spark, root))
+    later = F.col("offset") % 50 == 0
+    sent.where(~later).repartitionByRange(16, "timestamp").write.partitionBy("topic").parquet(path)
+    readers.index_messages(spark, path, index)
+    sent.where(later).coalesce(1).write.mode("append").partitionBy("topic").parquet(path)
+    replay = readers.read_topics_between(spark, START, END, path=path, index=index)
+    return ntz(replay.select("topic", "partition", "offset", F.col("timestamp").alias("ts")))
+
+
 @register(
     "s6_snapshot_round_trip",
     f"""{MODEL_SQL} SELECT id, user_id, s3_url, caption, category, uploaded_at FROM img""",

@@ -84,6 +84,33 @@ def stream_requests(
     )
 
 
+MESSAGE_INDEX = "file string, topic string, partition int, first timestamp, last timestamp, n long"
+
+
+def _unindexed(messages: DataFrame, entries: DataFrame) -> set[str]:
+    """Files of a folder that its index does not have; both lists are the folder's file names."""
+    return set(messages.inputFiles()) - {r.file for r in entries.select("file").distinct().collect()}
+
+
+def index_messages(spark: SparkSession, path: str, index: str) -> int:
+    """Bring the index of a message folder up to date; returns the number of files added.
+
+    One entry a file, topic and partition, with its first and last arrival. Only files that
+    the index lacks are read. Files are taken as final, as message files are.
+    """
+    messages = spark.read.schema(ENVELOPE).parquet(path)
+    spark.createDataFrame([], MESSAGE_INDEX).write.mode("append").parquet(index)
+    new = sorted(_unindexed(messages, spark.read.schema(MESSAGE_INDEX).parquet(index)))
+    if new:
+        rows = spark.read.schema(ENVELOPE).option("basePath", path).parquet(*new)
+        rows = rows.select(F.input_file_name().alias("file"), "topic", "partition", "timestamp")
+        entries = rows.groupBy("file", "topic", "partition").agg(
+            F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.count("*").alias("n")
+        )
+        entries.write.mode("append").parquet(index)
+    return len(new)
+
+
 def read_topics_between(
     spark: SparkSession,
     start: datetime,
@@ -91,11 +118,14 @@ def read_topics_between(
     topics: Sequence[str] = TOPICS,
     servers: str | None = None,
     path: str | None = None,
+    index: str | None = None,
 ) -> DataFrame:
     """Bounded replay of messages that arrived in [start, end).
 
     A message is published after its event, so callers that select by event time add
-    slack to `end` and filter exactly afterwards.
+    slack to `end` and filter exactly afterwards. With the `index` of a folder (`index_messages`) only
+    files that can hold the range are opened, as a broker seeks offsets by time; files that are
+    not indexed yet are read as well.
     """
     if servers is not None:
         reader = (
@@ -107,10 +137,17 @@ def read_topics_between(
             .option("startingOffsetsByTimestampStrategy", "latest")
         )
         return _envelope(reader.load())
+    messages = spark.read.schema(ENVELOPE).parquet(path)
+    if index is not None:
+        entries = spark.read.schema(MESSAGE_INDEX).parquet(index)
+        held = (F.col("first") < end) & (F.col("last") >= start) & F.col("topic").isin(*topics)
+        within = {r.file for r in entries.where(held).select("file").distinct().collect()}
+        files = sorted(within | _unindexed(messages, entries))
+        messages = spark.createDataFrame([], ENVELOPE)
+        if files:
+            messages = spark.read.schema(ENVELOPE).option("basePath", path).parquet(*files)
     return (
-        spark.read.schema(ENVELOPE)
-        .parquet(path)
-        .where(F.col("topic").isin(*topics))
+        messages.where(F.col("topic").isin(*topics))
         .where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
     )
 

@@ -102,3 +102,29 @@ def test_paths_and_keys(spark):
     assert df.where(category_from_path(F.col("path")) != F.col("want")).count() == 0
     key = df.limit(1).select(object_key(F.lit("id"), F.lit("a.tar.gz"))).first()[0]
     assert key == "id.gz"
+
+
+def test_replay_opens_only_files_that_can_hold_the_range(spark, tmp_path):
+    from flagstone.sources import readers
+
+    path, index = str(tmp_path / "log"), str(tmp_path / "index")
+    schema = "partition int, offset long, timestamp timestamp, value string, topic string"
+
+    def send(hours):
+        rows = [(0, h, at(3600 * h + m), "x", t) for h in hours for m in (0, 3599) for t in ("views", "flags")]
+        for h in hours:
+            frame = spark.createDataFrame([r for r in rows if r[1] == h], schema)
+            frame.coalesce(1).write.mode("append").partitionBy("topic").parquet(path)
+
+    send(range(5))
+    assert readers.index_messages(spark, path, index) == 10
+    assert readers.index_messages(spark, path, index) == 0
+    replay = lambda a, b: readers.read_topics_between(spark, at(a), at(b), path=path, index=index)
+    hour = replay(7200, 10_800)
+    assert len(hour.inputFiles()) == 2 and hour.count() == 4
+    whole = readers.read_topics_between(spark, at(7200), at(10_800), path=path)
+    assert len(whole.inputFiles()) == 10 and rows(whole, "topic", "timestamp") == rows(hour, "topic", "timestamp")
+    assert replay(-7200, -3600).count() == 0
+    send([7])  # not indexed yet
+    assert replay(7 * 3600, 8 * 3600).count() == 4 and readers.index_messages(spark, path, index) == 2
+    assert len(readers.read_topics_between(spark, at(0), at(1), ["views"], path=path, index=index).inputFiles()) == 1
