@@ -216,15 +216,18 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     need = f"({percent} * (n + n2) + {99 + percent}) div {100 + percent}"  # 100 i >= percent (n + n2 - i)
     sized = f"100 * least(n, n2) >= {percent} * greatest(n, n2)"
 
-    def listed(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that pass the length and positional filters, with their common n-grams."""
+    def listed(pairs: DataFrame, others: str | None = None) -> DataFrame:
+        """Distinct pairs that pass the length and positional filters, with their common n-grams;
+        `others` bounds the common n-grams that are not listed here."""
         kept = pairs.where(sized).selectExpr(
             "least(set, set2) as a", "greatest(set, set2) as b", f"{need} as need",
-            f"least(n - pos, n2 - pos2) >= {need} as room",
+            f"least(n - pos, n2 - pos2) >= {need} as room", f"{others or need} as others",
         )
         # The first common n-gram needs room for the rest; all of them are counted.
-        found = kept.groupBy("a", "b", "need").agg(F.count("*").alias("common"), F.max("room").alias("room"))
-        return found.where("room").drop("room")
+        found = kept.groupBy("a", "b", "need").agg(
+            F.count("*").alias("common"), F.max("room").alias("room"), F.max("others").alias("others")
+        )
+        return found.where("room and common + others >= need").drop("room", "others")
 
     # Tables, not aggregates, on the side with one row per key: so a hot set or n-gram can be split.
     shared = rows.groupBy("set").agg(
@@ -298,7 +301,8 @@ def classes(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         f"({percent} * greatest(n, n2) + 99) div 100 - 1 >= {need}"
     )
     crossing = left.join(right, "gram").where(f"set < set2 and component <> component2 and {likely}")
-    found = verified(listed(crossing), "common + least(few_a, few_b)")
+    others = f"least(in_few, in_few2) + ({percent} * greatest(n, n2) + 99) div 100 - 1"
+    found = verified(listed(crossing, others), "common + least(few_a, few_b)")
     links = links.unionByName(found)
     label = components(links).selectExpr("node as set", "component")
 
