@@ -1,7 +1,9 @@
 """Conversations as one training string each, with the spans that carry loss.
 
 Rows of a conversation are collected as structs and sorted by turn (then role, then text);
-adjacent turns of one role become one block by an array aggregation, and the string is built by
+adjacent turns of one role become one block by array functions: a turn opens a block where its role
+differs from the one before, blocks are slices between openings, and places in the string are running
+sums, so that long conversations take little more than linear time. The string is built by
 array functions and `concat` only. A text keeps its own place in a block, so the output can be
 read back turn by turn.
 
@@ -19,11 +21,13 @@ A conversation is one string, so it must fit into one row; nothing else is gathe
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PIECE = 1024  # characters
 TURN, BODY, NEXT, END = "<|turn|>", "<|body|>", "<|next|>", "<|end|>"
 
 
@@ -54,17 +58,27 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"\\(\\?)", "$1")
 
 
-def _merge(blocks: Column, turn: Column) -> Column:
-    last = F.element_at(blocks, -1)
-    same = (F.size(blocks) > 0) & F.try_element_at(blocks, F.lit(-1))["role"].eqNullSafe(turn["role"])
-    joined = F.struct(
-        last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts")
-    )
-    fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-    head = F.slice(blocks, F.lit(1), F.greatest(F.size(blocks) - 1, F.lit(0)))
-    return F.when(same, F.concat(head, F.array(joined))).otherwise(
-        F.concat(blocks, F.array(fresh))
-    )
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+
+
+def running_sums(values: Column) -> Column:
+    """Sums of all prefixes of an int array, in about n^1.5 steps: chunks of sqrt(n) values."""
+
+    def chunked(x: Column, width: Column) -> Column:
+        n_chunks = F.ceil(F.size(x) / width).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda k: F.slice(x, k * width + 1, width))
+        return _let(chunks, lambda c: _let(F.transform(c, _sum), lambda sums: F.flatten(
+            F.transform(c, lambda chunk, k: _let(_sum(F.slice(sums, F.lit(1), k)), lambda base: F.transform(
+                chunk, lambda _, i: base + _sum(F.slice(chunk, F.lit(1), i + 1))))))))
+
+    width = lambda x: F.ceil(F.sqrt(F.size(x))).cast("int")
+    return _let(values, lambda x: _let(width(x), lambda w: chunked(x, w)))
 
 
 def format_conversations(df: DataFrame, template: ChatTemplate | None = None) -> DataFrame:
@@ -78,41 +92,42 @@ def format_conversations(df: DataFrame, template: ChatTemplate | None = None) ->
             template.escape(F.col("text")).alias("text"),
         ).alias("_t"),
     )
-    sorted_turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("_t")).alias("_turns"))
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
-    blocks = sorted_turns.select("conv_id", F.aggregate("_turns", empty, _merge).alias("blocks"))
-    head = F.lit(len(TURN) + len(BODY))
-
-    def place(state: Column, block: Column) -> Column:
-        start = state["at"] + head + F.length(block["role"])
-        size = F.length(F.array_join(block["texts"], NEXT))
-        span = F.struct(
-            block["role"].alias("role"),
-            start.alias("start"),
-            F.transform(block["texts"], F.length).alias("lengths"),
-        )
-        return F.struct(
-            (start + size + len(END)).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")
-        )
-
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<role:string,start:int,lengths:array<int>>>").alias("spans"),
+    rows = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("_t")).alias("_turns"))
+    # Each turn with whether it opens a block, and the characters between the text before and its own.
+    before = lambda i: F.get("_turns", i - 1)
+    fresh = lambda t, i: (i == 0) | ~before(i)["role"].eqNullSafe(t["role"])
+    opening = lambda t, i: F.when(i > 0, len(END)).otherwise(0) + len(TURN) + F.length(t["role"]) + len(BODY)
+    marked = F.transform(
+        "_turns",
+        lambda t, i: F.struct(
+            t["role"].alias("role"),
+            t["text"].alias("text"),
+            fresh(t, i).alias("opens"),
+            F.when(fresh(t, i), opening(t, i)).otherwise(len(NEXT)).alias("gap"),
+        ),
     )
-    spans = F.aggregate("blocks", start, place)["spans"]
-    with_loss = F.filter(spans, lambda s: s["role"] == template.loss_role)
-
-    def text_spans(span: Column) -> Column:
-        def one(length: Column, i: Column) -> Column:
-            before = F.aggregate(
-                F.slice(span["lengths"], F.lit(1), i), F.lit(0), lambda a, b: a + b
-            )
-            at = span["start"] + before + i * len(NEXT)
-            return F.struct(at.alias("start"), (at + length).alias("end"))
-
-        return F.transform(span["lengths"], one)
-
-    return blocks.select(
+    rows = rows.select("conv_id", marked.alias("_turns"))
+    places = F.transform("_turns", lambda t, i: F.when(t["opens"], i))
+    ends = running_sums(F.transform("_turns", lambda t: t["gap"] + F.length(t["text"])))
+    rows = rows.select("conv_id", "_turns", F.array_compact(places).alias("_starts"), ends.alias("_ends"))
+
+    def block(start: Column, k: Column) -> Column:
+        """The turns from one opening to the next, merged."""
+        upto = F.coalesce(F.get("_starts", k + 1), F.size("_turns"))
+        texts = F.transform(F.slice("_turns", start + 1, upto - start), lambda t: t["text"])
+        return F.struct(F.get("_turns", start)["role"].alias("role"), texts.alias("texts"))
+
+    rows = rows.select("conv_id", "_turns", "_ends", F.transform("_starts", block).alias("blocks"))
+    spans = F.transform(
+        "_turns",
+        lambda t, i: F.when(
+            t["role"] == template.loss_role,
+            F.struct(
+                (F.get("_ends", i) - F.length(t["text"])).alias("start"), F.get("_ends", i).alias("end")
+            ),
+        ),
+    )
+    return rows.select(
         "conv_id",
         "blocks",
         F.array_join(
@@ -124,7 +139,7 @@ def format_conversations(df: DataFrame, template: ChatTemplate | None = None) ->
             ),
             "",
         ).alias("formatted"),
-        F.flatten(F.transform(with_loss, text_spans)).alias("loss_spans"),
+        F.array_compact(spans).alias("loss_spans"),
     )
 
 
@@ -145,8 +160,15 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """The texts under the loss mask, unescaped, in order."""
-    return F.transform(
-        spans,
-        lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"])),
-    )
+    """The texts under the loss mask, unescaped, in order.
+
+    The string is cut into pieces first, since finding a character counts from the start of a string.
+    """
+
+    def text(pieces: Column, s: Column) -> Column:
+        first, last = F.floor(s["start"] / PIECE).cast("int"), F.floor(s["end"] / PIECE).cast("int")
+        near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return unescape(F.substring(near, s["start"] - first * PIECE + 1, s["end"] - s["start"]))
+
+    pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return _let(pieces, lambda p: F.transform(spans, lambda s: text(p, s)))
