@@ -285,3 +285,20 @@ def test_audit_equals_a_plain_one(spark, hot):
     known = {4: (True, False), 5: (False, True), 41: (True, True), 45: (True, True)}
     assert Counter(map(tuple, got)) == plain_audit(rows, known)
     assert filter_audit.audit(filter_audit.flags(empty(spark)), marks).count() == 0
+
+
+# ----------------------------------------------------------------------------- chat
+
+
+def test_a_conversation_of_very_many_turns_is_read_back(spark):
+    from flagstone.llm import chat
+
+    df = spark.range(100_000).selectExpr(
+        "1L AS conv_id", "id AS turn", "if(pmod(xxhash64(id), 3) = 0, 'user', 'assistant') AS role",
+        "concat('é', id, ' \U0001f600<s>') AS text",
+    )
+    out = chat.format_conversations(df)
+    loss = F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_spans")), "")
+    row = out.select(F.size(chat.read_turns(F.col("formatted"))).alias("n"), loss.alias("loss")).first()
+    said = df.where("role = 'assistant'").orderBy("turn").collect()
+    assert row.n == 100_000 and row.loss == "".join(r.text for r in said)
