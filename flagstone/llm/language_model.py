@@ -10,7 +10,7 @@ Words are dealt into parts by their hash; a word with more than 1 / `HOT_SHARE`
 (there are fewer than HOT_SHARE of them, so their list is broadcast) is dealt by word and context.
 There is one part per `PART_TOKENS` tokens, so parts stay the same size as the corpus grows. Texts
 are cut into blocks of about `BLOCK_TOKENS` tokens; a block sends each part its distinct words,
-their distinct contexts, and for each the documents where it occurs. A part adds up the training
+their distinct contexts, and for each the documents where it occurs, by their place in the block. A part adds up the training
 counts of all blocks, builds its trie (words, pointers, contexts, quantised values), maps it into
 memory and answers each distinct bigram by context-relative successor search. It returns the sums
 of each block's documents in one row; the block's rows are combined at the end. One very frequent bigram's document references meet in one part: two to
@@ -30,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flagstone.llm.elias_fano import Trie
-from flagstone.llm.text import mix, pieces, words
+from flagstone.llm.text import mix, pack_ints, pieces, unpack_ints, words
 from flagstone.sources.scratch import staged
 
 MASS = 300.0
@@ -96,9 +97,9 @@ def _counts(names: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 
 def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
     """One row for each block and part; see the module's text."""
-    names = ["part", "block", "keys", "train", "words", "n_contexts", "contexts", "n_texts", "texts"]
+    names = ["part", "block", "docs", "train", "words", "n_contexts", "contexts", "n_texts", "texts"]
 
-    def pack(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def pack(held: list[tuple], block: int) -> Iterator[pa.RecordBatch]:
         predicted = np.concatenate([h[0] for h in held])
         context = np.concatenate([h[1] for h in held])
         sizes = np.cumsum([0, *[len(h[3]) for h in held]])
@@ -123,26 +124,24 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
         n_contexts = np.diff(np.append(np.searchsorted(pair_at, word_at), len(pair_at))).astype(np.uint32)
         cuts = np.append(np.flatnonzero(new_part), len(text))
         pair_cuts, word_cuts = np.searchsorted(pair_at, cuts), np.searchsorted(word_at, cuts)
-        rows: list[list] = [[] for _ in names]
-        # Blocks of one number would only be combined together; sums are by document in any case.
-        block = int(mix(np.array([keys.view(np.uint64).sum() + np.uint64(len(keys))]))[0] >> np.uint64(1))
+        # The documents' keys go to where the block's sums are put together, past all parts.
+        rows: list[list] = [[-1 - block % parts], [block], [keys.tobytes()], *[[None] for _ in names[3:]]]
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
             used, local = np.unique(text[a:b], return_inverse=True)
             pairs = slice(pair_cuts[i], pair_cuts[i + 1])
             found = slice(word_cuts[i], word_cuts[i + 1])
-            kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
             for column, value in zip(
                 rows,
                 (
                     int(part[a]),
                     block,
-                    keys[used].tobytes(),
-                    train[used].tobytes(),
+                    pack_ints(used),
+                    np.packbits(train[used]).tobytes(),
                     predicted[word_at[found]].tobytes(),
-                    n_contexts[found].tobytes(),
+                    pack_ints(n_contexts[found]),
                     context[pair_at[pairs]].tobytes(),
-                    n_texts[pairs].tobytes(),
-                    local.astype(kind).tobytes(),
+                    pack_ints(n_texts[pairs]),
+                    pack_ints(local),
                 ),
             ):
                 column.append(value)
@@ -151,7 +150,7 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size, block = 0, TaskContext.get().partitionId() << 33
         for batch in batches:
             for sub, data, offsets in pieces(batch):
                 found = tokens(data, offsets)
@@ -160,10 +159,10 @@ def _blocks(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
                 held.append((*found, key, train))
                 size += len(found[0])
                 if size >= BLOCK_TOKENS:
-                    yield from pack(held)
-                    held, size = [], 0
+                    yield from pack(held, block)
+                    held, size, block = [], 0, block + 1
         if held:
-            yield from pack(held)
+            yield from pack(held, block)
 
     fields = ", ".join(f"{n} binary" for n in names[2:])
     return docs.select("key", "train", "text").mapInArrow(work, f"part long, block long, {fields}")
@@ -187,19 +186,16 @@ def part_counts(
 def score_part(
     rows: list[dict], total: int, distinct: int, hot: np.ndarray, hot_counts: np.ndarray
 ) -> list[tuple[np.ndarray, ...]]:
-    """For each row: key, tokens, known tokens, base and model sums of the part's share of documents."""
+    """For each row: documents, their tokens, known tokens, base and model sums in the part."""
     split = []
     for row in rows:
-        texts_kind = np.uint16 if len(row["train"]) <= 1 << 16 else np.uint32
-        keys = np.frombuffer(row["keys"], np.int64)
-        train = np.frombuffer(row["train"], np.uint8)
-        n_contexts = np.frombuffer(row["n_contexts"], np.uint32).astype(np.int64)
-        word = np.repeat(np.frombuffer(row["words"], np.uint64), n_contexts)
-        n_texts = np.frombuffer(row["n_texts"], np.uint32).astype(np.int64)
-        text = np.frombuffer(row["texts"], texts_kind).astype(np.int64)
+        docs = unpack_ints(row["docs"])
+        train = np.unpackbits(np.frombuffer(row["train"], np.uint8))
+        word = np.repeat(np.frombuffer(row["words"], np.uint64), unpack_ints(row["n_contexts"]))
+        n_texts, text = unpack_ints(row["n_texts"]), unpack_ints(row["texts"])
         starts = np.cumsum(n_texts) - n_texts
         trained = np.add.reduceat(train[text].astype(np.int64), starts)
-        split.append((keys, word, np.frombuffer(row["contexts"], np.uint64), n_texts, text, trained))
+        split.append((docs, word, np.frombuffer(row["contexts"], np.uint64), n_texts, text, trained))
     word, context, counts, place = part_counts(
         [s[1] for s in split], [s[2] for s in split], [s[5] for s in split]
     )
@@ -230,13 +226,13 @@ def score_part(
     known = known[owner]
     out = []
     low = 0
-    for keys, block_word, _, n_texts, text, _ in split:
+    for docs, block_word, _, n_texts, text, _ in split:
         at = np.repeat(place[low : low + len(block_word)], n_texts)
         low += len(block_word)
-        n = len(keys)
+        n = len(docs)
         out.append(
             (
-                keys,
+                docs,
                 np.bincount(text, minlength=n),
                 np.bincount(text, known[at], minlength=n).astype(np.int64),
                 np.bincount(text, base[at], minlength=n),
@@ -268,27 +264,36 @@ def score(documents: DataFrame) -> DataFrame:
     blocks = _blocks(docs, parts, hot)
     shared = docs.sparkSession.sparkContext.broadcast((hot, hot_counts))
 
-    names = ["key", "n_tokens", "n_known", "base", "model"]
-    kinds = [np.int64, np.int64, np.int64, np.float64, np.float64]
+    names = ["docs", "n_tokens", "n_known", "base", "model"]
 
     def work(group: pa.Table) -> pa.Table:
-        """A part's sums, one packed row for each block."""
+        """A part's sums, one packed row for each block; the keys of a block pass through."""
+        if group.column("part")[0].as_py() < 0:
+            nothing = pa.nulls(group.num_rows, pa.binary())
+            return pa.table([group.column("block"), group.column("docs"), *[nothing] * 5], names=["block", "keys", *names])
         got = score_part(group.to_pylist(), total, distinct, *shared.value)
-        packed = [pa.array([g[i].tobytes() for g in got], pa.binary()) for i in range(5)]
-        return pa.table([group.column("block"), *packed], names=["block", *names])
+        packed = [pa.array([pack_ints(g[i]) for g in got], pa.binary()) for i in range(3)]
+        packed += [pa.array([g[i].tobytes() for g in got], pa.binary()) for i in (3, 4)]
+        return pa.table([group.column("block"), pa.nulls(len(got), pa.binary()), *packed], names=["block", "keys", *names])
 
     def combine(group: pa.Table) -> pa.Table:
         """A block's sums over all parts: at most BLOCK_TOKENS entries come together."""
-        columns = [
-            np.concatenate([np.frombuffer(b, kind) for b in group.column(name).to_pylist()])
-            for name, kind in zip(names, kinds)
-        ]
-        keys, at = np.unique(columns[0], return_inverse=True)
-        sums = [np.bincount(at, c, minlength=len(keys)).astype(k) for c, k in zip(columns[1:], kinds[1:])]
-        return pa.table([pa.array(keys), *map(pa.array, sums)], names=names)
+        keys = next(k for k in group.column("keys").to_pylist() if k is not None)
+        keys = np.frombuffer(keys, np.int64)
+        sums = [np.zeros(len(keys), kind) for kind in (np.int64, np.int64, np.float64, np.float64)]
+        for i in range(group.num_rows):
+            docs, *values = (group.column(name)[i].as_py() for name in names)
+            if docs is None:
+                continue
+            docs = unpack_ints(docs)
+            for held, value in zip(sums[:2], values[:2]):
+                held[docs] += unpack_ints(value)
+            for held, value in zip(sums[2:], values[2:]):
+                held[docs] += np.frombuffer(value, np.float64)
+        return pa.table([pa.array(keys), *map(pa.array, sums)], names=["key", *names[1:]])
 
     parted = blocks.groupBy("part").applyInArrow(
-        work, "block long, " + ", ".join(f"{n} binary" for n in names)
+        work, "block long, keys binary, " + ", ".join(f"{n} binary" for n in names)
     )
     schema = "key long, n_tokens long, n_known long, base double, model double"
     sums = parted.groupBy("block").applyInArrow(combine, schema).groupBy("key").agg(

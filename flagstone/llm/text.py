@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PIECE = 1 << 20  # bytes of text handled at once; longer single texts are cut at white space
+PIECE = 1 << 18  # bytes of text handled at once; a longer text is a piece of its own
 SPACES = r"[\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)
@@ -157,6 +157,17 @@ def pieces(
         row = upto
 
 
+def pack_ints(values: np.ndarray) -> bytes:
+    """Non-negative integers in as few bytes each as the largest needs, behind that number."""
+    top = int(values.max()) if len(values) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w - (w == 8)))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpack_ints(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def grams(w: Words, n: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of n consecutive words and the index of their text.
 
