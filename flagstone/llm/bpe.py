@@ -27,11 +27,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flagstone.llm.text import mix, rolling
+from flagstone.llm.text import PIECE, mix, pieces, rolling
 
 MAX_WORDS = 300_000
 # Fixed: the published pre-token pattern of byte-level BPE, which `token_starts` follows.
@@ -306,18 +307,16 @@ def decode(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> list
     return [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
 
 
-def _runs(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in lists of about `size` characters."""
-    part: list[str] = []
-    held = 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
+def _slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `size` values in their lists."""
+    lists = batch.column(batch.schema.get_field_index(column))
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    row = 0
+    while row < len(lists):
+        before = ends[row - 1] if row else 0
+        upto = max(row + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(row, upto - row)
+        row = upto
 
 
 def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -339,15 +338,13 @@ def encode(df: DataFrame, path: str, column: str = "text", out: str = "ids") ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-            row = 0
-            for part in _runs([t or "" for t in texts]):
-                ids, offsets, _ = encoder.encode(part)
+            for part, _, _ in pieces(batch, column):
+                texts = part.column(part.schema.get_field_index(column)).to_pylist()
+                ids, offsets, _ = encoder.encode([t or "" for t in texts])
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))
                 )
-                yield _replaced(batch.slice(row, len(part)), out, lists)
-                row += len(part)
+                yield _replaced(part, out, lists)
 
     return df.mapInArrow(work, _with_column(df, out, T.ArrayType(T.IntegerType())))
 
@@ -358,11 +355,12 @@ def decode_ids(df: DataFrame, path: str, column: str = "ids", out: str = "decode
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(column)).to_pylist()
-            runs = [np.array(x or [], np.int64) for x in lists]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int64)
-            flat = np.concatenate([*runs, np.zeros(0, np.int64)])
-            yield _replaced(batch, out, pa.array(decode(flat, offsets, shared.value), pa.string()))
+            for part in _slices(batch, column, PIECE):
+                lists = part.column(part.schema.get_field_index(column))
+                runs = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                offsets = np.append(0, np.cumsum(runs)).astype(np.int64)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                yield _replaced(part, out, pa.array(decode(flat, offsets, shared.value), pa.string()))
 
     return df.mapInArrow(work, _with_column(df, out, T.StringType()))
 
@@ -378,20 +376,18 @@ def digests(df: DataFrame, path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            row = 0
-            for part in _runs([t or "" for t in batch.column(1).to_pylist()]):
-                ids, offsets, shown = encoder.encode(part)
+            for part, _, _ in pieces(batch):
+                ids, offsets, shown = encoder.encode([t or "" for t in part.column(1).to_pylist()])
                 texts = decode(ids, offsets, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(row, len(part)),
+                        part.column(0),
                         pa.array(np.diff(offsets)),
                         pa.array(map(sha, shown), pa.string()),
                         pa.array((sha(t.encode()) for t in texts), pa.string()),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
-                row += len(part)
 
     schema = T.StructType(
         [

@@ -7,8 +7,8 @@ paths of the same minimiser, so:
 1. paths whose minimiser occurs once are left out, and equal paths are counted: a path that
    occurs twice or more is repeated as a whole;
 2. where different paths share a minimiser, one copy of each is taken from its text and sent,
-   by its minimiser, to a bucket of about `BUCKET_BYTES`. A bucket cuts its strings into shards,
-   builds each shard's transform, and merges all transforms by interleave refinement (see `bwt`):
+   by its minimiser, to a bucket of about `BUCKET_BYTES`. A bucket cuts its strings into shards of
+   `SHARD_BYTES`, builds each shard's transform, and merges all transforms by interleave refinement (see `bwt`):
    the repeated intervals are the blocks that still hold two rows or more after n bytes;
 3. a minimiser with more than `MAX_PATHS` different paths would make a bucket too large; its
    windows are dealt by minimiser and window hash instead and counted there. The result is the same.
@@ -43,6 +43,7 @@ WINDOW = 200
 MINIMISER = 24
 MAX_PATHS = 12_000
 BUCKET_BYTES = 1 << 20
+SHARD_BYTES = 1 << 20
 _PLACE = 20  # low bits that hold a position while minima are searched
 
 
@@ -126,8 +127,10 @@ def _strings(opened: DataFrame, n: int) -> DataFrame:
 def _bucket_starts(strings: DataFrame, n: int) -> DataFrame:
     """seed, path, starts: repeated windows of each bucket's strings."""
 
+    shard_bytes = SHARD_BYTES
+
     def work(group: pa.Table) -> pa.Table:
-        found = repeated_starts(group.column("string").to_pylist(), n)
+        found = repeated_starts(group.column("string").to_pylist(), n, shard_bytes)
         keep = [i for i, f in enumerate(found) if len(f)]
         lists = pa.array([found[i].astype(np.int32) for i in keep], pa.list_(pa.int32()))
         rows = group.select(["seed", "path"]).take(pa.array(keep, pa.int64()))
