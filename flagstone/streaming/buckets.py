@@ -1,10 +1,10 @@
 """Counts per image and time bucket as keyed state that other jobs can read.
 
-One state entry a bucket (a map state, not one blob per image), so a micro-batch touches only the
-buckets it adds to. A bucket older than the longest window behind the watermark is removed by an
-event-time timer, whether or not its image is seen again; totals stay. A busy image has at most
-longest / grain + 1 entries of each type, and all rows of a batch are counted per bucket before
-they reach the state.
+One built-in aggregation over grouping sets: a state entry a bucket, and one with the totals of the
+image, so a micro-batch touches only the entries it adds to and no row leaves the engine. Rows are
+combined before the shuffle, so a busy image is a row per bucket and map task. A bucket
+older than the longest window behind the watermark is removed by the watermark, whether or not its
+image is seen again; totals stay. A busy image has at most longest / grain + 1 entries of each type.
 
 The state is read with Spark's own reader (`read_buckets`, `read_totals`): serving needs no second
 copy of it and no scan of the event history.
@@ -15,21 +15,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from flagstone.config import Settings
 from flagstone.functions.times import SECOND, micros
 
 KINDS = ("view", "comment", "flag")
-BUCKET_KEY = "event_type string, us bigint"
-TOTALS = "views bigint, comments bigint, flags bigint, last_us bigint, oldest_us bigint"
-OUTPUT = "image_id string, total_views bigint, total_comments bigint, total_flags bigint, buckets_held bigint"
+TOTALS = ("total_views", "total_comments", "total_flags")
+_VALUE = "struct<n:bigint, " + ", ".join(f"{name}:bigint" for name in TOTALS) + ", last_us:bigint>"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-NEVER = (1 << 63) - 1
 
 
 @contextmanager
@@ -43,100 +39,58 @@ def state_store(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_PROVIDER, before)
 
 
-class BucketCounts(StatefulProcessor):
-    """Adds counts to buckets and totals; a timer at the oldest bucket's end of life removes it."""
-
-    def __init__(self, life_us: int) -> None:
-        self.life_us = life_us  # from a bucket's start until no window can reach it
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buckets = handle.getMapState("buckets", BUCKET_KEY, "n bigint")
-        self.totals = handle.getValueState("totals", TOTALS)
-
-    def _expire(self, watermark_ms: int, oldest: int) -> int:
-        """Remove what no window reaches any more; the oldest bucket that stays, or NEVER."""
-        if self._ends_ms(oldest) > watermark_ms:
-            return oldest
-        kept = NEVER
-        for kind, us in [tuple(k) for k in self.buckets.keys()]:
-            if self._ends_ms(us) <= watermark_ms:
-                self.buckets.removeKey((kind, us))
-            else:
-                kept = min(kept, us)
-        return kept
-
-    def _ends_ms(self, us: int) -> int:
-        return NEVER if us == NEVER else -(-(us + self.life_us) // 1000)
-
-    def _settle(self, key: tuple, counts: list[int], last: int, oldest: int, timers) -> Iterator[pd.DataFrame]:
-        """Expire, store the totals, and set the one timer the image needs."""
-        oldest = self._expire(timers.getCurrentWatermarkInMs(), oldest)
-        self.totals.update((*counts, last, oldest))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if oldest != NEVER:
-            self.handle.registerTimer(self._ends_ms(oldest))
-        held = sum(1 for _ in self.buckets.keys())
-        yield pd.DataFrame([(key[0], *counts, held)], columns=[c.split()[0] for c in OUTPUT.split(", ")])
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        *counts, last, oldest = self.totals.get() or (0, 0, 0, 0, NEVER)
-        batch = pd.concat(rows).groupby(["event_type", "us"], as_index=False)["n"].sum()
-        for kind, us, n in batch.itertuples(index=False):
-            place = (kind, int(us))
-            old = self.buckets.getValue(place) if self.buckets.containsKey(place) else (0,)
-            self.buckets.updateValue(place, (old[0] + int(n),))
-            counts[KINDS.index(kind)] += int(n)
-        last, oldest = max(last, int(batch["us"].max())), min(oldest, int(batch["us"].min()))
-        yield from self._settle(key, counts, last, oldest, timerValues)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        *counts, last, oldest = self.totals.get()
-        yield from self._settle(key, counts, last, oldest, timerValues)
-
-    def close(self) -> None:
-        pass
-
-
 def bucket_state(
     events: DataFrame, settings: Settings = Settings(), watermark: str = "1 hour", grain_seconds: int = 1
 ) -> DataFrame:
     """Totals of each image a micro-batch touches, as a stream; the buckets are in its state.
 
-    Start it inside `state_store`. `events` has image_id, event_type and ts. Rows behind the watermark
-    do not reach the state; `ingest.IngestSink` keeps them.
+    Start it inside `state_store`, in update mode. `events` has image_id, event_type and ts. Feed it what
+    `ingest.IngestSink` writes as events, which holds no late rows: a row behind the watermark would
+    count in the totals, and in its bucket as long as that is held.
     """
     longest = max(seconds for _, seconds in settings.rolling)
-    grain = grain_seconds * SECOND
     us = micros("ts")
-    counted = (
-        events.withWatermark("ts", watermark)
-        .where(F.col("event_type").isin(*KINDS) & F.col("image_id").isNotNull())
-        .select("image_id", "event_type", "ts", (us - F.pmod(us, F.lit(grain))).alias("us"), F.lit(1).cast("long").alias("n"))
+    # `reach` is when the longest window leaves the event, so a bucket's end of life is the end of a
+    # window over it; the watermark is that of `ts`, as its delay grows by the same span.
+    bucket = F.window("reach", f"{grain_seconds} seconds", startTime=f"{longest % grain_seconds} seconds")
+    rows = (
+        events.where(F.col("event_type").isin(*KINDS) & F.col("image_id").isNotNull())
+        .withColumn("reach", F.timestamp_micros(us + longest * SECOND))
+        .withWatermark("reach", f"{watermark} {longest} seconds")
+        .select("image_id", "event_type", (us - F.pmod(us, F.lit(grain_seconds * SECOND))).alias("us"), bucket.alias("bucket"))
+        .withColumn("kind", F.col("event_type"))  # what is grouped by is null in the totals
     )
-    return counted.groupBy("image_id").transformWithStateInPandas(
-        BucketCounts(longest * SECOND + grain), OUTPUT, "update", "eventTime"
+    image, kind, held = F.col("image_id"), F.col("event_type"), F.col("bucket")
+    entries = rows.groupingSets([[image, kind, held], [image]], image, kind, held).agg(
+        F.count("bucket").alias("n"),
+        *[F.count_if(F.col("kind") == k).alias(name) for k, name in zip(KINDS, TOTALS)],
+        F.max("us").alias("last_us"),
     )
+    # By a count, as a filter on what is grouped by would move below the state.
+    return entries.where("n = 0").select("image_id", *TOTALS, F.timestamp_micros("last_us").alias("last_ts"))
+
+
+def _entries(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What the stream holds as of its last batch; entries with totals have no type and end."""
+    rows = spark.read.format("statestore").option("path", checkpoint).load()
+    # Spark names the fields by their functions, so several are called count; they are told by place.
+    value = F.col("value").cast(_VALUE).alias("value")
+    return rows.select("key.image_id", "key.event_type", "key.bucket.end", value).select("*", "value.*").drop("value")
 
 
 def read_buckets(spark: SparkSession, checkpoint: str) -> DataFrame:
     """image_id, event_type, ts (start of the bucket), n: what the stream holds as of its last batch."""
-    rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "buckets").load()
-    return rows.select(
-        "key.image_id",
-        "user_map_key.event_type",
-        F.timestamp_micros("user_map_key.us").alias("ts"),
-        F.col("user_map_value.n").alias("n"),
-    )
+    start = F.timestamp_micros("last_us").alias("ts")  # of a bucket's rows all have its start
+    return _entries(spark, checkpoint).where("end is not null").select("image_id", "event_type", start, "n")
 
 
 def read_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """image_id, total_views, total_comments, total_flags and last_ts, the newest event they contain,
+    """image_id, total_views, total_comments, total_flags and last_ts, the newest bucket they contain,
     as of the stream's last batch."""
-    rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "totals").load()
-    return rows.select(
-        "key.image_id",
-        *[F.col(f"value.{c}").alias(f"total_{c}") for c in ("views", "comments", "flags")],
-        F.timestamp_micros("value.last_us").alias("last_ts"),
-    )
+    totals = _entries(spark, checkpoint).where("end is null")
+    return totals.select("image_id", *TOTALS, F.timestamp_micros("last_us").alias("last_ts"))
+
+
+def buckets_held(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """image_id, buckets_held: the number of buckets the state has of each image that has any."""
+    return read_buckets(spark, checkpoint).groupBy("image_id").agg(F.count("*").alias("buckets_held"))

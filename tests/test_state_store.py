@@ -40,6 +40,14 @@ def test_state_of_a_busy_image_is_bounded_and_expires_when_idle(spark, tmp_path)
     assert rows(totals, "image_id", "total_views", "total_flags") == [("hot", 1500, 0), ("other", 1, 1)]
 
 
+def test_bucket_counts_leave_no_row_to_python(spark, tmp_path):
+    path = str(tmp_path / "in")
+    events(spark, [("i", "view", 0)]).write.parquet(path)
+    source = spark.readStream.schema(EVENT).parquet(path)
+    plan = buckets.bucket_state(source, SETTINGS)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "PySpark" not in plan and "Pandas" not in plan
+
+
 def test_totals_from_state_equal_totals_from_history(spark):
     history = [(f"i{k % 3}", ["view", "comment", "flag"][k % 7 % 3], 600.0 * k) for k in range(300)]
     log = events(spark, history)
