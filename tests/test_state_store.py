@@ -48,6 +48,34 @@ def test_bucket_counts_leave_no_row_to_python(spark, tmp_path):
     assert "Aggregate" in plan and "PySpark" not in plan and "Pandas" not in plan
 
 
+def count_buckets(spark, tmp_path, frames, settings, grain):
+    """Feed a bucket count a frame at a time; its checkpoint and the rows of each micro-batch."""
+    path, checkpoint, given = str(tmp_path / "in"), str(tmp_path / "checkpoint"), []
+    for frame in frames:
+        frame.write.mode("append").parquet(path)
+        stream = buckets.bucket_state(spark.readStream.schema(EVENT).parquet(path), settings, "1 minute", grain)
+        with buckets.state_store(spark):
+            jobs.run_available(stream, lambda b, i: given.extend(b.collect()), checkpoint, "update")
+    return checkpoint, given
+
+
+def test_bucket_stream_gives_the_totals_of_touched_images(spark, tmp_path):
+    first = events(spark, [("i", "view", 0.5), ("i", "comment", 1), ("j", "flag", 2), (None, "view", 3), ("j", "odd", 4)])
+    checkpoint, given = count_buckets(spark, tmp_path, [first, events(spark, [("i", "view", 9.5)])], SETTINGS, 1)
+    assert [tuple(r) for r in sorted(given)] == [("i", 1, 1, 0, at(1)), ("i", 2, 1, 0, at(9)), ("j", 0, 0, 1, at(2))]
+    assert rows(buckets.read_totals(spark, checkpoint)) == [("i", 2, 1, 0, at(9)), ("j", 0, 0, 1, at(2))]
+    assert rows(buckets.buckets_held(spark, checkpoint)) == [("i", 3), ("j", 1)]
+
+
+def test_buckets_of_a_grain_that_divides_no_window_end_at_their_own_time(spark, tmp_path):
+    settings = Settings(window_1min=10, window_5min=20, window_1hr=50)
+    frame = events(spark, [("i", "view", 7.0 * k) for k in range(60)])  # the last one at 413 s
+    checkpoint, _ = count_buckets(spark, tmp_path, [frame], settings, 7)
+    start = lambda s: s - (at(s).timestamp() % 7)  # noqa: E731  buckets begin at multiples of 7 s of the epoch
+    held = sorted({start(7.0 * k) for k in range(60) if start(7.0 * k) + 50 + 7 > 413 - 60})
+    assert rows(buckets.read_buckets(spark, checkpoint), "ts", "n") == [(at(s), 1) for s in held]
+
+
 def test_totals_from_state_equal_totals_from_history(spark):
     history = [(f"i{k % 3}", ["view", "comment", "flag"][k % 7 % 3], 600.0 * k) for k in range(300)]
     log = events(spark, history)
