@@ -3,6 +3,10 @@
 The stream is first reduced to counts per (image, type, time grain), a built-in aggregation
 that combines before its shuffle. The keyed state then holds one entry per grain of the
 longest window, so neither its size nor its input grows with an image's traffic.
+
+Images are dealt to a fixed number of slots by a hash, and a slot is the key of the state: its images
+are counted together in array operations, so the calls into Python are bounded by the slots of a
+micro-batch, not by its images. A touched slot's state is written anew as a whole.
 """
 
 from __future__ import annotations
@@ -20,12 +24,15 @@ from flagstone.functions.times import SECOND, micros
 from flagstone.operators.alerts import alert_rules
 
 GRAIN = "1 second"
+SLOTS = 4_096
 KINDS = np.array(["comment", "flag", "view"], dtype=object)
+COMMENT, FLAG, VIEW = range(3)
 
+# Per image of the slot: its totals and alerts. Per entry: its image's place, and what was counted when.
 STATE = (
-    "view_us array<bigint>, view_n array<bigint>, "
-    "comment_us array<bigint>, comment_n array<bigint>, "
-    "views bigint, comments bigint, flags bigint, fired array<string>, last_us bigint"
+    "images array<string>, views array<bigint>, comments array<bigint>, flags array<bigint>, "
+    "fired array<array<string>>, "
+    "place array<int>, kind array<int>, us array<bigint>, n array<bigint>"
 )
 OUTPUT = (
     "image_id string, event_type string, ts timestamp, n bigint, "
@@ -59,41 +66,113 @@ def grain_totals(events: DataFrame, grain: str = GRAIN) -> DataFrame:
 
 
 class Timeline:
-    """Sorted times with counts; answers how many fall in a window."""
+    """Sorted times of several images with counts; answers how many of an image fall in a window."""
 
-    def __init__(self, us: np.ndarray, n: np.ndarray):
-        order = np.argsort(us, kind="stable")
-        self.us, self.n = us[order], n[order]
-        self.cumulative = np.concatenate([[0], np.cumsum(self.n)])
+    def __init__(self, at: np.ndarray, n: np.ndarray):
+        order = np.argsort(at, kind="stable")
+        self.at = at[order]
+        self.cumulative = np.concatenate([[0], np.cumsum(n[order])])
 
     def window(self, at: np.ndarray, width: int, closed: np.ndarray) -> np.ndarray:
         start = np.where(
             closed,
-            np.searchsorted(self.us, at - width, side="left"),
-            np.searchsorted(self.us, at - width, side="right"),
+            np.searchsorted(self.at, at - width, side="left"),
+            np.searchsorted(self.at, at - width, side="right"),
         )
-        end = np.searchsorted(self.us, at, side="right")
+        end = np.searchsorted(self.at, at, side="right")
         return self.cumulative[end] - self.cumulative[start]
 
-    def since(self, oldest: int) -> tuple[list[int], list[int]]:
-        keep = self.us >= oldest
-        return self.us[keep].tolist(), self.n[keep].tolist()
-
 
-def _combined(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Times, types and counts of a group in order, one entry per time and type."""
-    us, kind, n = (
-        np.concatenate(part)
-        for part in zip(
-            *((b["us"].to_numpy(), b["kind"].to_numpy(), b["n"].to_numpy()) for b in batches)
-        )
-    )
-    order = np.lexsort((kind, us))
-    us, kind, n = us[order], kind[order], n[order]
-    first = np.flatnonzero(
-        np.concatenate([[True], (us[1:] != us[:-1]) | (kind[1:] != kind[:-1])])
-    )
-    return us[first], KINDS[kind[first]], np.add.reduceat(n, first)
+class Slot:
+    """The state of a slot: its images with their totals and alerts, and the entries windows can reach."""
+
+    def __init__(self, held: tuple | None) -> None:
+        images, views, comments, flags, fired, *entries = held or ([],) * 9
+        self.images, self.fired = list(images), [set(names) for names in fired]
+        self.totals = {
+            kind: np.asarray(old, np.int64) for kind, old in ((VIEW, views), (COMMENT, comments), (FLAG, flags))
+        }
+        self.place, self.kind, self.us, self.n = (np.asarray(e, np.int64) for e in entries)
+
+    def places(self, images: pd.Series) -> np.ndarray:
+        """Places of images in the slot; new ones are added."""
+        codes, found = pd.factorize(images, use_na_sentinel=False)
+        known = {image: i for i, image in enumerate(self.images)}
+        names = [None if pd.isna(image) else image for image in found]
+        new = [image for image in names if image not in known]
+        known.update((image, len(self.images) + i) for i, image in enumerate(new))
+        self.images += new
+        self.fired += [set() for _ in new]
+        self.totals = {k: np.concatenate([t, np.zeros(len(new), np.int64)]) for k, t in self.totals.items()}
+        return np.array([known[image] for image in names], np.int64)[codes]
+
+    def add(self, place: np.ndarray, kind: np.ndarray, us: np.ndarray, n: np.ndarray) -> None:
+        for metric, total in self.totals.items():
+            np.add.at(total, place[kind == metric], n[kind == metric])
+        mine = kind != FLAG  # flags have no windows
+        parts = ((self.place, place), (self.kind, kind), (self.us, us), (self.n, n))
+        self.place, self.kind, self.us, self.n = (np.concatenate([old, new[mine]]) for old, new in parts)
+
+    def since(self, oldest: int) -> None:
+        keep = self.us >= oldest
+        self.place, self.kind, self.us, self.n = (e[keep] for e in (self.place, self.kind, self.us, self.n))
+
+    def first_idle(self) -> int | None:
+        """The newest entry of the image whose newest entry is the oldest."""
+        if not len(self.us):
+            return None
+        newest = np.full(len(self.images), np.iinfo(np.int64).min)
+        np.maximum.at(newest, self.place, self.us)
+        return int(newest[np.unique(self.place)].min())
+
+    def row(self) -> tuple:
+        entries = (e.tolist() for e in (self.place, self.kind, self.us, self.n))
+        totals = (self.totals[kind].tolist() for kind in (VIEW, COMMENT, FLAG))
+        return (self.images, *totals, [sorted(names) for names in self.fired], *entries)
+
+
+def _combined(slot: Slot, batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, ...]:
+    """Places, times, types and counts of a slot's rows in order, one entry per image, time and type."""
+    rows = pd.concat(list(batches), ignore_index=True)
+    place = slot.places(rows["image_id"])
+    us, kind, n = (rows[c].to_numpy(np.int64) for c in ("us", "kind", "n"))
+    order = np.lexsort((kind, us, place))
+    place, us, kind, n = place[order], us[order], kind[order], n[order]
+    same = (place[1:] == place[:-1]) & (us[1:] == us[:-1]) & (kind[1:] == kind[:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    return place[first], us[first], kind[first], np.add.reduceat(n, first)
+
+
+def _windows(
+    slot: Slot, settings: Settings, place: np.ndarray, us: np.ndarray, kind: np.ndarray, n: np.ndarray
+) -> dict[str, np.ndarray]:
+    """Window counts at each row over the slot's entries and the rows."""
+    longest = max(seconds for _, seconds in settings.rolling) * SECOND
+    times = np.concatenate([slot.us, us])
+    base = int(times.min()) - longest - 1
+    span = int(times.max()) - base + 1  # an image's times lie in a span of its own
+    together = max(1, (1 << 62) // span)  # so many images have room on one line
+    out = {
+        f"{KINDS[metric]}s_{name}": np.zeros(len(us), np.int64)
+        for metric in (VIEW, COMMENT)
+        for name, _ in settings.rolling
+    }
+    for low in range(0, len(slot.images), together):
+        old = (slot.place >= low) & (slot.place < low + together)
+        mine = (place >= low) & (place < low + together)
+        if not mine.any():
+            continue
+        held = (slot.place[old] - low) * span + (slot.us[old] - base)
+        at = (place[mine] - low) * span + (us[mine] - base)
+        for metric in (VIEW, COMMENT):
+            is_old, is_new = slot.kind[old] == metric, kind[mine] == metric
+            line = Timeline(
+                np.concatenate([held[is_old], at[is_new]]),
+                np.concatenate([slot.n[old][is_old], n[mine][is_new]]),
+            )
+            for name, seconds in settings.rolling:
+                out[f"{KINDS[metric]}s_{name}"][mine] = line.window(at, seconds * SECOND, ~is_new)
+    return out
 
 
 def _advance(settings: Settings):
@@ -103,67 +182,65 @@ def _advance(settings: Settings):
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            old = dict(zip(("vu", "vn", "cu", "cn", "v", "c", "f", "fired", "last"), state.get))
-        else:
-            old = {"vu": [], "vn": [], "cu": [], "cn": [], "v": 0, "c": 0, "f": 0, "fired": [], "last": 0}
-
-        if state.hasTimedOut:
-            state.update(([], [], [], [], old["v"], old["c"], old["f"], old["fired"], old["last"]))
-            return
-
-        us, kind, n = _combined(batches)
-        lines = {}
-        for metric, u, c in (("view", "vu", "vn"), ("comment", "cu", "cn")):
-            mine = kind == metric
-            lines[metric] = Timeline(
-                np.concatenate([np.asarray(old[u], np.int64), us[mine]]),
-                np.concatenate([np.asarray(old[c], np.int64), n[mine]]),
-            )
+        slot = Slot(state.get if state.exists else None)
+        out = None if state.hasTimedOut else count(slot, batches)
+        watermark = state.getCurrentWatermarkMs()
+        if watermark > 0:
+            slot.since(watermark * 1000 - longest)
+        state.update(slot.row())
+        idle = slot.first_idle()
+        if idle is not None:
+            state.setTimeoutTimestamp(max((idle + longest) // 1000 + 1, watermark + 1))
+        if out is not None:
+            yield out
+
+    def count(slot: Slot, batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        place, us, kind, n = _combined(slot, batches)
+        out = _windows(slot, settings, place, us, kind, n)
+        image_start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        image = np.repeat(image_start, np.diff(np.append(image_start, len(place))))
+        # Rows of one image and time see each other, whatever their type.
+        time_start = np.concatenate([[True], (place[1:] != place[:-1]) | (us[1:] != us[:-1])])
+        last_of_time = np.append(np.flatnonzero(time_start)[1:], len(us))[np.cumsum(time_start) - 1] - 1
+        running = {}
+        for metric in (VIEW, COMMENT, FLAG):
+            moved = np.where(kind == metric, n, 0)
+            so_far = np.cumsum(moved)
+            running[metric] = slot.totals[metric][place] + so_far - (so_far - moved)[image]
+            out[f"total_{KINDS[metric]}s"] = running[metric][last_of_time]
 
-        out = {"image_id": key[0], "event_type": kind, "ts": us.astype("datetime64[us]"), "n": n}
-        for metric, line in lines.items():
-            for name, seconds in settings.rolling:
-                out[f"{metric}s_{name}"] = line.window(us, seconds * SECOND, kind != metric)
-        # Rows of one time see each other, whatever their type.
-        last_of_time = np.searchsorted(us, us, side="right") - 1
-        for metric, start in (("view", "v"), ("comment", "c"), ("flag", "f")):
-            moved = np.cumsum(np.where(kind == metric, n, 0))
-            out[f"total_{metric}s"] = old[start] + moved[last_of_time]
-
-        fired = set(old["fired"])
         news: list[list[str]] = [[] for _ in range(len(us))]
         for name, (column, threshold, kinds) in rules.items():
-            if name in fired:
-                continue
-            hit = (out[column] >= threshold) & np.isin(kind, kinds)
-            if hit.any():
-                news[int(np.argmax(hit))].append(name)
-                fired.add(name)
-        seen = np.where(kind == "view", n, 0)
-        after = old["v"] + np.cumsum(seen)
-        before = after - seen
-        out["fired"] = news
-        out["reached"] = [
-            [m for m in settings.milestones if b < m <= a] for b, a in zip(before, after)
-        ]
-
-        newest = max(old["last"], int(us.max()))
-        watermark = state.getCurrentWatermarkMs() * 1000
-        horizon = (watermark if watermark > 0 else int(us.min())) - longest
-        vu, vn = lines["view"].since(horizon)
-        cu, cn = lines["comment"].since(horizon)
-        totals = [old[k] + int(n[kind == m].sum()) for k, m in (("v", "view"), ("c", "comment"), ("f", "flag"))]
-        state.update((vu, vn, cu, cn, *totals, sorted(fired), newest))
-        expires = (newest + longest) // 1000 + 1
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out)[kind != "flag"]
+            hits = np.flatnonzero((out[column] >= threshold) & np.isin(KINDS[kind], kinds))
+            images, first = np.unique(place[hits], return_index=True)
+            for i, row in zip(images.tolist(), hits[first].tolist()):
+                if name not in slot.fired[i]:
+                    news[row].append(name)
+                    slot.fired[i].add(name)
+        after = running[VIEW]
+        before = after - np.where(kind == VIEW, n, 0)
+        reached: list[list[int]] = [[] for _ in range(len(us))]
+        for milestone in settings.milestones:
+            for row in np.flatnonzero((before < milestone) & (milestone <= after)).tolist():
+                reached[row].append(milestone)
+
+        slot.add(place, kind, us, n)
+        shown = np.flatnonzero(kind != FLAG)
+        names = np.array(slot.images, dtype=object)
+        columns = {"image_id": names[place], "event_type": KINDS[kind], "ts": us.astype("datetime64[us]"), "n": n, **out}
+        return pd.DataFrame(
+            {c: values[shown] for c, values in columns.items()}
+            | {"fired": [news[i] for i in shown], "reached": [reached[i] for i in shown]}
+        )
 
     return advance
 
 
 def rolling_state(
-    counts: DataFrame, settings: Settings = Settings(), watermark: str | None = None
+    counts: DataFrame,
+    settings: Settings = Settings(),
+    watermark: str | None = None,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """One row per incoming (image, type, time) with the state after that time.
 
@@ -171,13 +248,14 @@ def rolling_state(
     exact; with `grain_counts` they are exact to the grain. Each alert type and milestone
     appears once per image in `fired` and `reached`. Entries older than the watermark less
     the longest window are dropped; an image idle for the longest window keeps only its
-    totals and fired alerts.
+    totals and fired alerts. `slots` stays the same for the life of a checkpoint.
     """
     if watermark is not None:
         counts = counts.withWatermark("ts", watermark)
     return (
         counts.where(F.col("event_type").isin(*KINDS))
         .select(
+            F.pmod(F.xxhash64("image_id"), F.lit(slots)).cast("int").alias("slot"),
             "image_id",
             "ts",
             micros("ts").alias("us"),
@@ -186,7 +264,7 @@ def rolling_state(
             .alias("kind"),
             "n",
         )
-        .groupBy("image_id")
+        .groupBy("slot")
         .applyInPandasWithState(
             _advance(settings),
             OUTPUT,
