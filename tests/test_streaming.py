@@ -40,6 +40,21 @@ def test_state_equals_batch_over_restarts(spark, tmp_path):
     assert rows(spark.read.parquet(out), *names, "total_views") == rows(rolling_counts(frame), *names, "total_views")
 
 
+def test_images_of_one_slot_are_counted_apart_in_one_call(spark, tmp_path):
+    # Times 200 years apart: not all images have room on one line of times.
+    data = [(f"i{n % 901}", ("view", "view", "comment", "flag")[n % 4], n * 0.5) for n in range(4000)]
+    data += [(f"far{n}", "view", 6_300_000_000.0 + n) for n in range(5)]
+    frame = events(spark, data)
+    parts = [
+        frame.where(F.col("event_id").between(low, high)).select("image_id", "event_type", "ts", F.lit(1).cast("long").alias("n"))
+        for low, high in (("e00000", "e01999"), ("e02000", "e04004"))
+    ]
+    one, _ = feed(spark, tmp_path / "one", parts, lambda s: st.rolling_state(s, Settings(), "1 minute", slots=1))
+    names = ["image_id", "event_type", "ts"] + [f"{m}_{w}" for m in ("views", "comments") for w in ("1min", "5min", "1hr")]
+    names += ["total_views", "total_comments", "total_flags"]
+    assert rows(spark.read.parquet(one), *names) == rows(rolling_counts(frame), *names)
+
+
 def test_alerts_and_milestones_fire_once_over_batches(spark, tmp_path):
     parts = [counted(spark, [("i", "view", n + 60 * b, 1) for n in range(60)]) for b in range(3)]
     sink = str(tmp_path / "sinks")
