@@ -69,6 +69,7 @@ def run_rounds(
     target: Callable[[DataFrame, int], None] | None = None,
     mode: str = "append",
     time: str = "ts",
+    partitions: int | None = None,
 ) -> DataFrame | None:
     """Feed a frame to a streaming query in rounds; return its table, if it writes one."""
     spark = df.sparkSession
@@ -78,7 +79,7 @@ def run_rounds(
     for source in rounds(df, name, time):
         stream = build(source)
         schema = stream.schema
-        jobs.run_available(stream, target or path, checkpoint, mode)
+        jobs.run_available(stream, target or path, checkpoint, mode, partitions=partitions)
     return None if target else spark.read.schema(schema).parquet(path)
 
 
@@ -170,6 +171,7 @@ def t2_stream_rolling(spark: SparkSession, root: str) -> DataFrame:
         _counted(eventlog.load_log(spark, root)),
         "rolling",
         lambda s: st.rolling_state(s, ALERT, DELAY),
+        partitions=st.partitions(spark),
     )
     return ntz(rows.select("image_id", "event_type", "ts", *ROLLING_COLUMNS.split(", ")))
 
@@ -185,7 +187,9 @@ def t2_stream_rolling_by_grain(spark: SparkSession, root: str) -> DataFrame:
     A grain that came in several batches has as many state rows; the last has the largest counts.
     """
     counts = _grains(eventlog.load_log(spark, root), "1 hour")
-    rows = run_rounds(counts, "rolling", lambda s: st.rolling_state(s, ALERT, DELAY))
+    rows = run_rounds(
+        counts, "rolling", lambda s: st.rolling_state(s, ALERT, DELAY), partitions=st.partitions(spark)
+    )
     last = [F.max(c).alias(c) for c in ROLLING_COLUMNS.split(", ")]
     return ntz(rows.groupBy("image_id", "event_type", "ts").agg(*last))
 
@@ -206,6 +210,7 @@ def _state_output(spark: SparkSession, root: str, out: str | None = None) -> str
         "counts",
         lambda s: st.rolling_state(s, ALERT, DELAY),
         jobs.state_sinks(out, ALERT),
+        partitions=st.partitions(spark),
     )
     return out
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from flagstone.sources.writers import (
     put_latest,
     write_batch,
 )
-from flagstone.streaming.state import GRAIN, alerts_of, grain_totals, milestones_of
+from flagstone.streaming.state import GRAIN, SHUFFLES, alerts_of, grain_totals, milestones_of
 
 
 def parsed_stream(raw: DataFrame) -> DataFrame:
@@ -225,10 +226,12 @@ def run_available(
     checkpoint: str | None = None,
     mode: str = "append",
     timeout: float | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Process what is there and stop: to a Parquet folder or through a batch function.
 
-    There is no time limit unless `timeout` (seconds) is given.
+    There is no time limit unless `timeout` (seconds) is given. `partitions` is that of the stream's
+    shuffles and state, if its checkpoint is new; without it the session's setting counts.
     """
     spark = stream.sparkSession
     _listen(spark)
@@ -237,10 +240,9 @@ def run_available(
         .option("checkpointLocation", checkpoint or scratch_dir(spark, "checkpoint"))
         .trigger(availableNow=True)
     )
-    if callable(target):
-        query = writer.foreachBatch(target).start()
-    else:
-        query = writer.format("parquet").option("path", target).start()
+    writer = writer.foreachBatch(target) if callable(target) else writer.format("parquet").option("path", target)
+    with _shuffles(spark, partitions):  # a stream keeps the settings it starts with
+        query = writer.start()
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
@@ -249,6 +251,16 @@ def run_available(
     return query
 
 
+@contextmanager
+def _shuffles(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    before = spark.conf.get(SHUFFLES)
+    spark.conf.set(SHUFFLES, partitions or before)
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES, before)
+
+
 class RunTotals(StreamingQueryListener):
     """Adds up every progress report of each run: batches, rows read, rows dropped as late."""
 

@@ -6,7 +6,9 @@ longest window, so neither its size nor its input grows with an image's traffic.
 
 Images are dealt to a fixed number of slots by a hash, and a slot is the key of the state: its images
 are counted together in array operations, so the calls into Python are bounded by the slots of a
-micro-batch, not by its images. A touched slot's state is written anew as a whole.
+micro-batch, not by its images. A touched slot's state is written anew as a whole. Start the stream with
+`partitions(spark)` (`jobs.run_available`): a partition of the state costs a Python task and state files
+in every micro-batch, however few slots it has, and adaptive execution joins none of them.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -25,6 +27,7 @@ from flagstone.operators.alerts import alert_rules
 
 GRAIN = "1 second"
 SLOTS = 4_096
+SHUFFLES = "spark.sql.shuffle.partitions"
 KINDS = np.array(["comment", "flag", "view"], dtype=object)
 COMMENT, FLAG, VIEW = range(3)
 
@@ -275,6 +278,15 @@ def rolling_state(
     )
 
 
+def partitions(spark: SparkSession) -> int:
+    """Partitions of the state: one a core, and no more than the session's shuffles have.
+
+    A task takes its slots one by one, so a larger partition needs no more of a worker's memory. A checkpoint
+    keeps the number it began with.
+    """
+    return min(int(spark.conf.get(SHUFFLES)), spark.sparkContext.defaultParallelism)
+
+
 def alerts_of(state_rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Alert rows from the state output."""
     observed, threshold = F.lit(None).cast("long"), F.lit(None).cast("long")

@@ -163,3 +163,30 @@ def test_ingest_stream_uses_arrival_time(spark, tmp_path):
     raw = spark.createDataFrame([("views", 0, 1, at(5), '{"event_type":"view","image_id":"i"}')], ENVELOPE)
     out, _ = feed(spark, tmp_path, [raw], lambda s: jobs.parsed_stream(s).select("image_id", "ts"))
     assert rows(spark.read.parquet(out)) == [("i", at(5))]
+
+
+def test_state_has_no_more_partitions_than_cores(spark, tmp_path):
+    from pathlib import Path
+
+    from flagstone.plans import queries_streams
+
+    log = [(n, at(n * 40.0), n % 5, ("view", "click", "error", "signup")[n % 4], 1.0, '{"k": 1}') for n in range(60)]
+    types = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(log, types).write.parquet(str(tmp_path / "events.parquet"))
+    shared, cores = Path(spark.conf.get("spark.checkpoint.dir")), spark.sparkContext.defaultParallelism
+
+    def state_partitions(name, run):
+        before = set(shared.glob(f"{name}-checkpoint-*"))
+        run()
+        (checkpoint,) = set(shared.glob(f"{name}-checkpoint-*")) - before
+        return len([d for d in (checkpoint / "state" / "0").iterdir() if d.name.isdigit()])
+
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", cores + 4)
+    try:
+        by_grain = lambda: queries_streams.t2_stream_rolling_by_grain(spark, str(tmp_path)).collect()
+        assert state_partitions("rolling", by_grain) == cores
+        assert state_partitions("counts", lambda: queries_streams._state_output(spark, str(tmp_path))) == cores
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
