@@ -2,7 +2,7 @@
 
 Texts are cut into pre-tokens by the published pattern. The distinct pre-tokens of a batch that
 are not known yet are encoded together: their symbols stand in one flat array; in each round every
-adjacent pair is looked up by binary search over the sorted pair keys, each word takes its lowest
+adjacent pair that is new is looked up by binary search over the sorted pair keys, each word takes its lowest
 rank, and all its occurrences of that pair merge, leftmost first. A word leaves the array when
 none of its pairs is known, so a batch takes as many rounds as its longest word has merges.
 
@@ -23,7 +23,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +130,21 @@ class Vocabulary:
     special: dict[str, int]
     size: int
 
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Places of pairs of symbols in the merge table, -1 if they do not merge."""
+        if not len(self.pair_keys):
+            return np.full(len(left), -1)
+        keys = left * self.size + right
+        at = np.searchsorted(self.pair_keys, keys)
+        at[at == len(self.pair_keys)] = 0
+        return np.where(self.pair_keys[at] == keys, at, -1)
+
+    @cached_property
+    def byte_pairs(self) -> np.ndarray:
+        """`pairs` of every two single bytes."""
+        one = np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
+        return self.pairs(*one).reshape(256, 256)
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as file:
@@ -166,36 +181,44 @@ NO_RANK = np.iinfo(np.int64).max
 
 
 def merge_rounds(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words in one array, and where word i has [first[i], first[i+1])."""
+    """Ids of all words in one array, and where word i has [first[i], first[i+1]).
+
+    Each symbol keeps the pair it begins; only pairs at a merge are looked up again.
+    """
     v = vocabulary
     lengths = np.array([len(w) for w in words], np.int64)
-    symbols = v.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    symbols = v.byte_ids[data]
     owner = np.repeat(np.arange(len(words)), lengths)
+    pair = np.full(len(symbols), -1)
+    pair[:-1] = v.byte_pairs[data[:-1], data[1:]]
+    pair[:-1][owner[1:] != owner[:-1]] = -1
+    ranks = np.append(v.pair_ranks, NO_RANK)  # the last one for pair -1
     done_symbols, done_owner = [], []
     while len(symbols):
         same = owner[1:] == owner[:-1]
-        keys = symbols[:-1] * v.size + symbols[1:]
-        at = np.searchsorted(v.pair_keys, keys)
-        at[at == len(v.pair_keys)] = 0
-        known = same & (v.pair_keys[at] == keys) if len(v.pair_keys) else same & False
-        rank = np.full(len(symbols), NO_RANK)
-        rank[:-1][known] = v.pair_ranks[at[known]]
+        rank = ranks[pair]
         begins = np.flatnonzero(np.concatenate([[True], ~same]))
         lowest = np.minimum.reduceat(rank, begins)
         sizes = np.diff(np.append(begins, len(symbols)))
-        active = np.repeat(lowest != NO_RANK, sizes)
+        lowest = np.repeat(lowest, sizes)
+        active = lowest != NO_RANK
         done_symbols.append(symbols[~active])
         done_owner.append(owner[~active])
-        hit = active & (rank == np.repeat(lowest, sizes))
-        places = np.flatnonzero(hit)
+        places = np.flatnonzero(active & (rank == lowest))
         # Of hits in a row (one symbol repeated) every second one merges, from the left.
         fresh = np.concatenate([[True], np.diff(places) > 1]) if len(places) else places > 0
         run = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0)) if len(places) else places
         places = places[(np.arange(len(places)) - run) % 2 == 0]
-        symbols = symbols.copy()
-        symbols[places] = v.pair_ids[at[places]]
+        symbols[places] = v.pair_ids[pair[places]]
         active[places + 1] = False
-        symbols, owner = symbols[active], owner[active]
+        merged = np.zeros(len(symbols), bool)
+        merged[places] = True
+        symbols, owner, pair, merged = symbols[active], owner[active], pair[active], merged[active]
+        merged[:-1] |= merged[1:]  # the pair before a new symbol is new as well
+        pair[merged] = -1
+        at = np.flatnonzero(merged[:-1] & (owner[1:] == owner[:-1]))
+        pair[at] = v.pairs(symbols[at], symbols[at + 1])
     symbols = np.concatenate(done_symbols) if done_symbols else np.zeros(0, np.int64)
     owner = np.concatenate(done_owner) if done_owner else np.zeros(0, np.int64)
     order = np.argsort(owner, kind="stable")
@@ -212,10 +235,13 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts; keeps the words it has seen, by their hash and length."""
+    """Encodes texts; keeps the words it has seen, by their hash and length.
+
+    Ids in decimal are only made with `decimal`.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, max_words: int = MAX_WORDS) -> None:
-        self.vocabulary, self.max_words = vocabulary, max_words
+    def __init__(self, vocabulary: Vocabulary, max_words: int = MAX_WORDS, decimal: bool = True) -> None:
+        self.vocabulary, self.max_words, self.decimal = vocabulary, max_words, decimal
         self.kinds = character_classes()
         self.values = code_point_values()
         self.forget()
@@ -226,8 +252,9 @@ class Encoder:
         self.ids, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.shown, self.shown_first = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
-    def _learn(self, joined: str, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        hashes, at = np.unique(hashes, return_index=True)
+    def _learn(self, joined: str, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Encode words that are not known yet; the number of each."""
+        hashes, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
         special = self.vocabulary.special
         ids, first = merge_rounds(
@@ -236,18 +263,21 @@ class Encoder:
         for i in [i for i, w in enumerate(words) if w in special]:
             ids = np.insert(ids, first[i], special[words[i]])
             first[i + 1 :] += 1
-        text = [f"{i}," for i in ids.tolist()]
-        marks = first.tolist()
-        shown = ["".join(text[a:b]) for a, b in zip(marks, marks[1:])]
         number = np.arange(len(words)) + len(self.first) - 1
         place = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, place, hashes)
         self.number = np.insert(self.number, place, number)
         self.first = np.concatenate([self.first, first[1:] + len(self.ids)])
         self.ids = np.concatenate([self.ids, ids])
+        if not self.decimal:
+            return number[which]
+        text = [f"{i}," for i in ids.tolist()]
+        marks = first.tolist()
+        shown = ["".join(text[a:b]) for a, b in zip(marks, marks[1:])]
         widths = np.cumsum([len(x) for x in shown])
         self.shown_first = np.concatenate([self.shown_first, widths + len(self.shown)])
         self.shown = np.concatenate([self.shown, np.frombuffer("".join(shown).encode(), np.uint8)])
+        return number[which]
 
     def pretokens(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The joined texts, their code points, start and end of pre-tokens, and tokens per text."""
@@ -274,7 +304,7 @@ class Encoder:
         return joined, points, begins, ends, np.searchsorted(begins, np.append(0, edges + 1))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Flat ids, offsets per text, and each text's ids in decimal joined by commas."""
+        """Flat ids, offsets per text, and, if wanted, each text's ids in decimal joined by commas."""
         if len(self.first) > self.max_words:
             self.forget()
         joined, points, begins, ends, per_text = self.pretokens(texts)
@@ -282,10 +312,10 @@ class Encoder:
         at = np.searchsorted(self.hashes, hashes)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == hashes[known]
+        number = np.empty(len(hashes), np.int64)
+        number[known] = self.number[at[known]]
         if not known.all():
-            self._learn(joined, hashes[~known], begins[~known], ends[~known])
-            at = np.searchsorted(self.hashes, hashes)
-        number = self.number[at]
+            number[~known] = self._learn(joined, hashes[~known], begins[~known], ends[~known])
 
         def unpack(store: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             lengths = first[number + 1] - first[number]
@@ -293,6 +323,8 @@ class Encoder:
             return store[_gather(first[number], lengths)], ends[per_text]
 
         ids, offsets = unpack(self.ids, self.first)
+        if not self.decimal:
+            return ids, offsets, []
         data, marks = unpack(self.shown, self.shown_first)
         data, marks = data.tobytes(), marks.tolist()
         return ids, offsets, [data[a : max(a, b - 1)] for a, b in zip(marks, marks[1:])]
@@ -336,7 +368,7 @@ def encode(df: DataFrame, path: str, column: str = "text", out: str = "ids") ->
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, decimal=False)
         for batch in batches:
             for part, _, _ in pieces(batch, column):
                 texts = part.column(part.schema.get_field_index(column)).to_pylist()

@@ -133,7 +133,7 @@ def pieces(
     names = [key, "piece", "start", "length", "ids_crc32", "slot", "local", *(["ids"] if with_ids else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, decimal=False)
         slot, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             for part, _, _ in text_runs(batch, size=RUN):

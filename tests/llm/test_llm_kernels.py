@@ -160,3 +160,39 @@ def test_factor_scores_equal_the_pairwise_sum():
             for k in range(j + 1, b):
                 margin += model.factors[columns[j]] @ model.factors[columns[k]] * values[j] * values[k]
         assert abs(got[i] - 1 / (1 + np.exp(-margin))) < 1e-9
+
+
+def test_pairs_are_looked_up_again_only_at_merges(monkeypatch):
+    from flagstone.llm.queries import tokenizer_path
+
+    vocabulary = bpe.Vocabulary.load(tokenizer_path())
+    words = [b" straightforward", b"", b"aaaaaaaaa", b" internationalisation", b"\xff\xfe", b"x"] * 50
+    assert vocabulary.byte_pairs.shape == (256, 256)
+    looked, pairs = [], bpe.Vocabulary.pairs
+    monkeypatch.setattr(bpe.Vocabulary, "pairs", lambda v, a, b: looked.append(len(a)) or pairs(v, a, b))
+    ids, first = bpe.merge_rounds(words, vocabulary)
+    merges = sum(map(len, words)) - len(ids)
+    assert 0 < sum(looked) <= 2 * merges
+    # Each word alone, lowest rank first, leftmost first.
+    rank = {(k // vocabulary.size, k % vocabulary.size): (r, i) for k, r, i in zip(
+        vocabulary.pair_keys.tolist(), vocabulary.pair_ranks.tolist(), vocabulary.pair_ids.tolist())}
+    for n, word in enumerate(words[:6]):
+        held = vocabulary.byte_ids[list(word)].tolist() if word else []
+        while found := [(*rank[p], i) for i, p in enumerate(zip(held, held[1:])) if p in rank]:
+            _, new, i = min(found, key=lambda f: (f[0], f[2]))
+            held[i : i + 2] = [new]
+        assert ids[first[n] : first[n + 1]].tolist() == held
+
+
+def test_encoder_makes_decimal_ids_only_on_demand():
+    from flagstone.llm.queries import tokenizer_path
+
+    vocabulary = bpe.Vocabulary.load(tokenizer_path())
+    texts = ["one two one", "", "</s> three two"]
+    full, plain = bpe.Encoder(vocabulary), bpe.Encoder(vocabulary, decimal=False)
+    for _ in range(2):  # the second time all words are known
+        ids, offsets, shown = full.encode(texts)
+        same, marks, none = plain.encode(texts)
+        assert same.tolist() == ids.tolist() and marks.tolist() == offsets.tolist() and none == []
+        assert shown == [",".join(map(str, ids[a:b])).encode() for a, b in zip(offsets, offsets[1:])]
+    assert len(plain.shown) == 0
