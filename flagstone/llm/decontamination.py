@@ -126,18 +126,30 @@ def with_words(df: DataFrame) -> DataFrame:
 _KINDS = {"_literal": LITERAL, "_named": NAMED, "_plain": PLAIN}
 
 
-def window_hashes(hashes: str, size: int) -> Column:
-    """Hash of each run of `size` values of an array column."""
-    room = F.greatest(F.size(hashes) - (size - 1), F.lit(0))
-    return F.transform(
-        F.slice(hashes, F.lit(1), room),
-        lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, size)]),
+def with_windows(df: DataFrame, size: int) -> DataFrame:
+    """Replace the word hashes of each kind by hashes of each run of `size` words.
+
+    A run is hashed from two runs of half its length, which may overlap: a few steps a position whatever the size.
+    """
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        df = df.withColumns({c: _joined(F.col(c), step) for c in _KINDS})
+        width += step
+    return df
+
+
+def _joined(hashes: Column, step: int) -> Column:
+    """Hash of each value of an array and the one `step` places on."""
+    room = F.greatest(F.size(hashes) - step, F.lit(0))
+    return F.zip_with(
+        F.slice(hashes, F.lit(1), room), F.slice(hashes, F.lit(step + 1), room), lambda x, y: F.xxhash64(x, y)
     )
 
 
-def _windows(size: int) -> Column:
-    """pos and the hash of each kind, for every run of `size` words."""
-    return F.arrays_zip(*[window_hashes(c, size).alias(c) for c in _KINDS])
+def _windows() -> Column:
+    """The hashes of each kind, for every position."""
+    return F.arrays_zip(*[F.col(c).alias(c) for c in _KINDS])
 
 
 def item_windows(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
@@ -163,7 +175,8 @@ def item_windows(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
     parts = []
     for size in range(1, rules.size + 1):
         held = items.where(F.col("n") >= size) if size == rules.size else items.where(F.col("n") == size)
-        rows = held.select("item_id", "item", "tokens", "named", "n", F.posexplode(_windows(size)).alias("at", "_w"))
+        held = with_windows(held, size)
+        rows = held.select("item_id", "item", "tokens", "named", "n", F.posexplode(_windows()).alias("at", "_w"))
         whole = F.col("n") == size
         same = F.col("_w._plain") == F.col("_w._literal")
         enough = literals("tokens", size) >= rules.min_literal
@@ -205,12 +218,16 @@ def _matches(docs: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataF
     hashed = with_words(with_slots(docs.select("_key", "text"), rules))
     found = None
     for size in sorted({*counted, rules.size}):
-        rows = hashed.select(
-            "_key", F.lit(size).alias("length"), F.posexplode(_windows(size)).alias("pos", "_w")
+        rows = with_windows(hashed, size).select(
+            "_key", F.lit(size).alias("length"), F.posexplode(_windows()).alias("pos", "_w")
         )
         one, two, three = (F.col(f"_w.{c}") for c in _KINDS)
-        several = F.array_distinct(F.array(one, two, three))
-        hashes = F.when((one == two) & (one == three), F.array(one)).otherwise(several)
+        hashes = (  # the distinct ones
+            F.when((one == two) & (one == three), F.array(one))
+            .when((one == two) | (two == three), F.array(one, three))
+            .when(one == three, F.array(one, two))
+            .otherwise(F.array(one, two, three))
+        )
         rows = rows.select("_key", "length", "pos", F.explode(hashes).alias("hash"))
         rows = rows.join(sought, ["length", "hash"]).select(
             "_key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at", "length", "kind", "whole"

@@ -506,3 +506,21 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, root)
     assert docs.count() == 0
+
+
+def test_windows_are_hashed_in_few_steps_and_tell_runs_apart(spark):
+    from pyspark.sql import functions as F
+
+    words = [[1, 2, 3, 1, 2, 3, 1, 2, 3, 1, 2, 4], [5] * 9, [7, 8], []]
+    df = spark.createDataFrame([(w, w, w) for w in words], "_literal array<long>, _named array<long>, _plain array<long>")
+    for size in range(1, 9):
+        hashed = decontamination.with_windows(df.withColumn("w", F.col("_plain")), size)
+        named = {}
+        for row in hashed.collect():
+            runs = [tuple(row.w[i : i + size]) for i in range(len(row.w) - size + 1)]
+            assert len(row["_plain"]) == len(runs) and row["_plain"] == row["_named"] == row["_literal"]
+            for run, value in zip(runs, row["_plain"]):
+                assert named.setdefault(run, value) == value
+        assert len(set(named.values())) == len(named)
+    plan = decontamination.with_windows(df, 8)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xxhash64") == 3 * 3  # three kinds, three steps
