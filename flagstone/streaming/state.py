@@ -6,7 +6,9 @@ longest window, so neither its size nor its input grows with an image's traffic.
 
 Images are dealt to a fixed number of slots by a hash, and a slot is the key of the state: its images
 are counted together in array operations, so the calls into Python are bounded by the slots of a
-micro-batch, not by its images. A touched slot's state is written anew as a whole. Start the stream with
+micro-batch, not by its images. A call costs as much as hundreds of rows, so there are few slots, but more than
+cores; a call holds its slot's rows of the micro-batch and its state, so very large micro-batches want more
+(`slots`). A touched slot's state is written anew as a whole. Start the stream with
 `partitions(spark)` (`jobs.run_available`): a partition of the state costs a Python task and state files
 in every micro-batch, however few slots it has, and adaptive execution joins none of them.
 """
@@ -26,7 +28,7 @@ from flagstone.functions.times import SECOND, micros
 from flagstone.operators.alerts import alert_rules
 
 GRAIN = "1 second"
-SLOTS = 4_096
+SLOTS = 512
 SHUFFLES = "spark.sql.shuffle.partitions"
 KINDS = np.array(["comment", "flag", "view"], dtype=object)
 COMMENT, FLAG, VIEW = range(3)

@@ -55,6 +55,16 @@ def test_images_of_one_slot_are_counted_apart_in_one_call(spark, tmp_path):
     assert rows(spark.read.parquet(one), *names) == rows(rolling_counts(frame), *names)
 
 
+def test_many_images_take_few_calls(spark, tmp_path):
+    batch = spark.range(3000).select(
+        F.concat(F.lit("i"), "id").alias("image_id"), F.lit("view").alias("event_type"),
+        F.lit(at(1)).cast("timestamp").alias("ts"), F.lit(1).cast("long").alias("n"),
+    )
+    out, query = feed(spark, tmp_path, [batch], lambda s: st.rolling_state(s, Settings(), "1 minute"))
+    assert spark.read.parquet(out).where("total_views = 1").count() == 3000
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 512  # a state row is a call
+
+
 def test_alerts_and_milestones_fire_once_over_batches(spark, tmp_path):
     parts = [counted(spark, [("i", "view", n + 60 * b, 1) for n in range(60)]) for b in range(3)]
     sink = str(tmp_path / "sinks")
