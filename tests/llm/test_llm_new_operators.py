@@ -302,3 +302,23 @@ def test_a_conversation_of_very_many_turns_is_read_back(spark):
     row = out.select(F.size(chat.read_turns(F.col("formatted"))).alias("n"), loss.alias("loss")).first()
     said = df.where("role = 'assistant'").orderBy("turn").collect()
     assert row.n == 100_000 and row.loss == "".join(r.text for r in said)
+
+
+def test_bytes_are_told_by_comparison_and_cells_ordered_by_one_key():
+    import numpy as np
+    import pyarrow as pa
+
+    data = np.arange(256, dtype=np.uint8)
+    assert np.flatnonzero(term_matrix._gaps(data)).tolist() == [*range(0x09, 0x0E), 0x20]
+    assert bytes(data[term_matrix._marks(data)]) == b"#$%&*|"
+    assert np.flatnonzero(term_matrix._between(data, 0x80, 0xBF)).tolist() == [*range(0x80, 0xC0)]
+    assert term_matrix._sums(data % 2 == 0, np.array([0, 0, 3, 256, 256])).tolist() == [0, 2, 126, 0]
+
+    packed = {"indptr": [0, 3, 3, 5], "indices": [0, 1, 2, 0, 2], "data": [1, 2, 3, 4, 5], "terms": [90, 0, 7]}
+    cells = {n: pa.array([term_matrix._packed(np.array(v))]) for n, v in packed.items()}
+    shard = pa.table({"shard": pa.array([1]), "docs": pa.array([[1, 2, 3]]), **cells})
+    filled = term_matrix._fill(shard, pa.table({"slot": [1], "word_id": [40]})).to_pylist()[0]
+    assert filled["indices"] == [7, 40, 90, 7, 90] and filled["data"] == [3, 2, 1, 5, 4] and filled["indptr"] == [0, 3, 3, 5]
+    nothing = {n: pa.array([term_matrix._packed(np.array(v, np.int64))]) for n, v in {**dict.fromkeys(packed, []), "indptr": [0, 0]}.items()}
+    empty_row = pa.table({"shard": pa.array([1]), "docs": pa.array([[1]]), **nothing})
+    assert term_matrix._fill(empty_row, pa.table({"slot": pa.array([], pa.int64()), "word_id": pa.array([], pa.int64())})).num_rows == 1
