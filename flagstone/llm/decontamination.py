@@ -1,4 +1,4 @@
-"""Benchmark decontamination by template windows, in DataFrame functions only.
+"""Benchmark decontamination by template windows.
 
 A text becomes a template: words that hold a digit become numbers (5km counts as
 5 km), unit words after a number become units, words with a capital first letter inside a sentence
@@ -14,8 +14,9 @@ a consistent alignment cover `percent` of the item's words or more, or `long` wo
 The windows whose slots hold the item's own values are measured alone too, so that a slot that
 contradicts them elsewhere does not hide a copied passage.
 
-Documents are mapped in place; windows that match no benchmark window end at the join. The
-benchmark's windows are counted before: up to `broadcast_rows` they are broadcast, beyond that
+Patterns, joins and slots are DataFrame functions. Documents are mapped in place: their words and windows are
+hashed by numpy over whole batches, and windows whose bit the benchmark's windows do not set (`keyfilter`) stay
+there; the others end at the join, unless a benchmark window is equal. The benchmark's windows are counted before: up to `broadcast_rows` they are broadcast, beyond that
 both sides are shuffled by the hash and adaptive execution splits hot windows.
 
 Cases: null and empty texts have no windows; items with fewer words than `size` are one window of
@@ -28,12 +29,16 @@ repeated items are found once; an empty benchmark finds nothing; other columns a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flagstone.llm.text import fresh, word_list
+from flagstone.llm.keyfilter import key_bits, may_hold
+from flagstone.llm.text import buffers, fresh, pieces, word_list, words
 from flagstone.sources.scratch import staged
 
 
@@ -109,18 +114,28 @@ def template(slots: Column) -> Column:
     return F.when(_has_slot(slots), short).otherwise(slots)
 
 
-def with_words(df: DataFrame) -> DataFrame:
-    """Replace `slots` by `_plain`, `_literal` and `_named`: hashes of the words of each kind."""
+def with_kinds(df: DataFrame) -> DataFrame:
+    """Replace `slots` by `_plain`, `_literal` and `_named`: the text of each kind."""
     slots = F.col("slots")
-    df = df.withColumns(
+    return df.withColumns(
         {
             "_plain": _unmarked(slots),
             "_literal": template(F.replace(slots, F.lit(INITIAL), F.lit(""))),
             "_named": template(F.replace(slots, F.lit(INITIAL), F.lit(NAME))),
         }
-    )
-    hashes = {c: F.transform(word_list(F.col(c)), lambda w: F.xxhash64(w)) for c in _KINDS}
-    return df.withColumns(hashes).drop("slots")
+    ).drop("slots")
+
+
+def with_words(df: DataFrame) -> DataFrame:
+    """Replace `slots` by `_plain`, `_literal` and `_named`: hashes of the words of each kind."""
+
+    @F.arrow_udf("array<long>")
+    def hashes(texts: pa.Array) -> pa.Array:
+        found = words(*buffers(texts))
+        return pa.ListArray.from_arrays(pa.array(found.first, pa.int32()), pa.array(found.hash.view(np.int64)))
+
+    df = with_kinds(df)
+    return df.withColumns({c: hashes(c) for c in _KINDS})
 
 
 _KINDS = {"_literal": LITERAL, "_named": NAMED, "_plain": PLAIN}
@@ -147,6 +162,72 @@ def _joined(hashes: Column, step: int) -> Column:
     )
 
 
+_U = np.uint64
+_PRIMES = [
+    _U(p)
+    for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+]
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << _U(by)) | (x >> _U(64 - by))
+
+
+def _xxhash64(*columns: np.ndarray) -> np.ndarray:
+    """The same as `F.xxhash64` of columns of long, over unsigned arrays."""
+    one, two, three, four, five = _PRIMES
+    out = _U(42)
+    for values in columns:
+        out = (out + (five + _U(8))) ^ (_turned(values * two, 31) * one)
+        out = _turned(out, 27) * one + four
+        out = (out ^ (out >> _U(33))) * two
+        out = (out ^ (out >> _U(29))) * three
+        out ^= out >> _U(32)
+    return out
+
+
+def runs(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of each run of `size` words, the same as those of `with_windows`; runs may cross texts."""
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        hashes = _xxhash64(hashes[:-step], hashes[step:])
+        width += step
+    return hashes
+
+
+def candidates(texts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """_key, length, pos, hash: windows of the texts of all kinds that `windows` may hold, equal ones once."""
+    bits = texts.sparkSession.sparkContext.broadcast(key_bits(windows, "hash"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in pieces(batch, "_plain"):
+                texts = [(data, offsets)] + [buffers(part.column(c)) for c in ("_literal", "_named")]
+                kinds = [words(*text) for text in texts]
+                for size in sizes:
+                    found = []
+                    for kind in kinds:
+                        hashes = runs(kind.hash, size).view(np.int64)
+                        at = np.flatnonzero(may_hold(bits.value, hashes))
+                        row = np.searchsorted(kind.first, at, "right") - 1
+                        inside = at + size <= kind.first[row + 1]
+                        at, row = at[inside], row[inside]
+                        found.append(np.stack([row, at - kind.first[row], hashes[at]]))
+                    row, pos, hashes = np.unique(np.concatenate(found, axis=1), axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("_key").take(pa.array(row)),
+                            pa.array(np.full(len(row), size), pa.int32()),
+                            pa.array(pos, pa.int32()),
+                            pa.array(hashes),
+                        ],
+                        names=["_key", "length", "pos", "hash"],
+                    )
+
+    return texts.select("_key", *_KINDS).mapInArrow(search, "_key long, length int, pos int, hash long")
+
+
 def _windows() -> Column:
     """The hashes of each kind, for every position."""
     return F.arrays_zip(*[F.col(c).alias(c) for c in _KINDS])
@@ -215,25 +296,11 @@ def _matches(docs: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataF
     sought = windows.select("length", "hash", "kind", "whole", "item", "at")
     if sum(counted.values()) <= rules.broadcast_rows:
         sought = F.broadcast(sought)
-    hashed = with_words(with_slots(docs.select("_key", "text"), rules))
-    found = None
-    for size in sorted({*counted, rules.size}):
-        rows = with_windows(hashed, size).select(
-            "_key", F.lit(size).alias("length"), F.posexplode(_windows()).alias("pos", "_w")
-        )
-        one, two, three = (F.col(f"_w.{c}") for c in _KINDS)
-        hashes = (  # the distinct ones
-            F.when((one == two) & (one == three), F.array(one))
-            .when((one == two) | (two == three), F.array(one, three))
-            .when(one == three, F.array(one, two))
-            .otherwise(F.array(one, two, three))
-        )
-        rows = rows.select("_key", "length", "pos", F.explode(hashes).alias("hash"))
-        rows = rows.join(sought, ["length", "hash"]).select(
-            "_key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at", "length", "kind", "whole"
-        )
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    texts = with_kinds(with_slots(docs.select("_key", "text"), rules))
+    rows = candidates(texts, windows, sorted(counted))
+    return rows.join(sought, ["length", "hash"]).select(
+        "_key", "item", (F.col("pos") - F.col("at")).alias("shift"), "at", "length", "kind", "whole"
+    )
 
 
 def findings(documents: DataFrame, benchmark: DataFrame, rules: TemplateRules | None = None) -> DataFrame:

@@ -524,3 +524,26 @@ def test_windows_are_hashed_in_few_steps_and_tell_runs_apart(spark):
         assert len(set(named.values())) == len(named)
     plan = decontamination.with_windows(df, 8)._jdf.queryExecution().analyzed().toString()
     assert plan.count("xxhash64") == 3 * 3  # three kinds, three steps
+
+
+def test_windows_of_texts_are_searched_where_they_are(spark):
+    from pyspark.sql import functions as F
+
+    import numpy as np
+
+    values = np.arange(-20, 20, dtype=np.int64) * 987_654_321_987
+    arrays = spark.createDataFrame([(values.tolist(),) * 3], "_literal array<long>, _named array<long>, _plain array<long>")
+    for size in (1, 2, 5, 8):
+        runs = decontamination.runs(values.view(np.uint64), size).view(np.int64)
+        assert decontamination.with_windows(arrays, size).first()["_plain"] == runs.tolist()
+    assert len(decontamination.runs(values.view(np.uint64)[:3], 8)) == 0
+
+    texts = [(1, "a b c d", "a b c d", "a  c d"), (2, "", "", ""), (3, "x b", "x b", "x b"), (4, "c d", "c d", "c d")]
+    df = spark.createDataFrame(texts, "_key long, _plain string, _literal string, _named string").coalesce(1)
+    one = lambda text: spark.createDataFrame([(text,) * 3], "_plain string, _literal string, _named string")
+    items = [("b c", 2), (" c", 2), ("d x", 2), ("c", 1)]
+    words = {t: decontamination.with_words(one(t).withColumn("slots", F.col("_plain"))).first()["_plain"] for t, _ in items[::3]}
+    assert [len(w) for w in words.values()] == [2, 1]
+    sought = [(decontamination.runs(np.array(w, np.int64).view(np.uint64), len(w)).view(np.int64).tolist()[0],) for w in words.values()]
+    found = decontamination.candidates(df, spark.createDataFrame(sought, "hash long"), [1, 2]).collect()
+    assert sorted((r["_key"], r.length, r.pos) for r in found) == [(1, 1, 2), (1, 2, 1), (4, 1, 0)]
