@@ -14,8 +14,8 @@ a consistent alignment cover `percent` of the item's words or more, or `long` wo
 The windows whose slots hold the item's own values are measured alone too, so that a slot that
 contradicts them elsewhere does not hide a copied passage.
 
-Patterns, joins and slots are DataFrame functions. Documents are mapped in place: their words and windows are
-hashed by numpy over whole batches, and windows whose bit the benchmark's windows do not set (`keyfilter`) stay
+All steps are DataFrame functions. The texts of documents are taken apart in place, a row a position, so that their
+windows are hashed in generated code, and windows whose bit the benchmark's windows do not set (`keyfilter`) end
 there; the others end at the join, unless a benchmark window is equal. The benchmark's windows are counted before: up to `broadcast_rows` they are broadcast, beyond that
 both sides are shuffled by the hash and adaptive execution splits hot windows.
 
@@ -29,16 +29,14 @@ repeated items are found once; an empty benchmark finds nothing; other columns a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flagstone.llm.keyfilter import key_bits, may_hold
-from flagstone.llm.text import buffers, fresh, pieces, word_list, words
+from flagstone.llm.keyfilter import bit_table, that_may_hold
+from flagstone.llm.text import fresh, word_list
 from flagstone.sources.scratch import staged
 
 
@@ -115,9 +113,12 @@ def template(slots: Column) -> Column:
 
 
 def with_kinds(df: DataFrame) -> DataFrame:
-    """Replace `slots` by `_plain`, `_literal` and `_named`: the text of each kind."""
+    """Replace `slots` by `_plain`, `_literal` and `_named`: the text of each kind, with no blank but space."""
     slots = F.col("slots")
-    return df.withColumns(
+    spaced = slots
+    for blank in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    return df.withColumn("slots", spaced).withColumns(
         {
             "_plain": _unmarked(slots),
             "_literal": template(F.replace(slots, F.lit(INITIAL), F.lit(""))),
@@ -129,13 +130,8 @@ def with_kinds(df: DataFrame) -> DataFrame:
 def with_words(df: DataFrame) -> DataFrame:
     """Replace `slots` by `_plain`, `_literal` and `_named`: hashes of the words of each kind."""
 
-    @F.arrow_udf("array<long>")
-    def hashes(texts: pa.Array) -> pa.Array:
-        found = words(*buffers(texts))
-        return pa.ListArray.from_arrays(pa.array(found.first, pa.int32()), pa.array(found.hash.view(np.int64)))
-
     df = with_kinds(df)
-    return df.withColumns({c: hashes(c) for c in _KINDS})
+    return df.withColumns({c: F.transform(word_list(F.col(c)), lambda w: F.xxhash64(w)) for c in _KINDS})
 
 
 _KINDS = {"_literal": LITERAL, "_named": NAMED, "_plain": PLAIN}
@@ -187,7 +183,7 @@ def _xxhash64(*columns: np.ndarray) -> np.ndarray:
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of each run of `size` words, the same as those of `with_windows`; runs may cross texts."""
+    """Hashes of each run of `size` words, as `with_windows` has them: a plain version for the tests."""
     width = 1
     while width < size:
         step = min(width, size - width)
@@ -196,36 +192,41 @@ def runs(hashes: np.ndarray, size: int) -> np.ndarray:
     return hashes
 
 
+def _run(words: Column, at: Column, size: int) -> Column:
+    """The hash that `with_windows` has of `size` words from `at`; null beyond the last word."""
+
+    def run(low: int, width: int) -> Column:
+        if width == 1:
+            return F.xxhash64(F.get(words, at + low))
+        half = 1 << ((width - 1).bit_length() - 1)
+        return F.xxhash64(run(low, half), run(low + width - half, half))
+
+    return F.when(at + size <= F.size(words), run(0, size))
+
+
 def candidates(texts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
     """_key, length, pos, hash: windows of the texts of all kinds that `windows` may hold, equal ones once."""
-    bits = texts.sparkSession.sparkContext.broadcast(key_bits(windows, "hash"))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in pieces(batch, "_plain"):
-                texts = [(data, offsets)] + [buffers(part.column(c)) for c in ("_literal", "_named")]
-                kinds = [words(*text) for text in texts]
-                for size in sizes:
-                    found = []
-                    for kind in kinds:
-                        hashes = runs(kind.hash, size).view(np.int64)
-                        at = np.flatnonzero(may_hold(bits.value, hashes))
-                        row = np.searchsorted(kind.first, at, "right") - 1
-                        inside = at + size <= kind.first[row + 1]
-                        at, row = at[inside], row[inside]
-                        found.append(np.stack([row, at - kind.first[row], hashes[at]]))
-                    row, pos, hashes = np.unique(np.concatenate(found, axis=1), axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column("_key").take(pa.array(row)),
-                            pa.array(np.full(len(row), size), pa.int32()),
-                            pa.array(pos, pa.int32()),
-                            pa.array(hashes),
-                        ],
-                        names=["_key", "length", "pos", "hash"],
-                    )
-
-    return texts.select("_key", *_KINDS).mapInArrow(search, "_key long, length int, pos int, hash long")
+    # Cut at the one blank that `with_kinds` leaves, which needs no pattern; a text of two equal kinds is cut once.
+    new = {"_plain": F.lit(True), "_literal": F.col("_literal") != F.col("_plain"),
+           "_named": (F.col("_named") != F.col("_plain")) & (F.col("_named") != F.col("_literal"))}
+    cut = {c: F.when(new[c], F.array_remove(F.split(c, " "), "")).alias(c) for c in _KINDS}
+    listed = texts.select("_key", *cut.values())
+    n = F.greatest(*[F.size(c) for c in _KINDS])  # nulls are passed over
+    rows = listed.select("_key", *_KINDS, F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("pos"))
+    names = {(c, size): f"{c}{size}" for size in sizes for c in _KINDS}
+    rows = rows.select("_key", "pos", *[_run(F.col(c), F.col("pos"), size).alias(a) for (c, size), a in names.items()])
+    found = []
+    for size in sizes:
+        literal, named, plain = [F.col(names[c, size]) for c in _KINDS]
+        for hashed, others in ((plain, []), (literal, [plain]), (named, [plain, literal])):
+            new = hashed.isNotNull()
+            for other in others:
+                new = new & ~hashed.eqNullSafe(other)
+            found.append(F.when(new, F.struct(F.lit(size).alias("length"), hashed.alias("hash"))))
+    held = F.array(*found).cast("array<struct<length:int,hash:bigint>>")  # no sizes: an array of nothing
+    rows = rows.select("_key", "pos", F.explode(held).alias("_w")).where(F.col("_w").isNotNull())
+    rows = rows.select("_key", "_w.length", "pos", "_w.hash")
+    return that_may_hold(rows, bit_table(windows, "hash"), "hash")
 
 
 def _windows() -> Column:

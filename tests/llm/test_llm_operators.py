@@ -547,3 +547,32 @@ def test_windows_of_texts_are_searched_where_they_are(spark):
     sought = [(decontamination.runs(np.array(w, np.int64).view(np.uint64), len(w)).view(np.int64).tolist()[0],) for w in words.values()]
     found = decontamination.candidates(df, spark.createDataFrame(sought, "hash long"), [1, 2]).collect()
     assert sorted((r["_key"], r.length, r.pos) for r in found) == [(1, 1, 2), (1, 2, 1), (4, 1, 0)]
+
+
+def test_decontamination_runs_no_python(spark):
+    """Items of several lengths, blanks of all kinds and windows without a slot; no Python node in any plan."""
+    items = benchmark(spark, [(1, "red\tgreen\nblue"), (2, QUESTION), (3, "one two")])
+    docs = [(1, "a red\x0bgreen\rblue one\x0ctwo"), (2, CHANGED.replace(" ", "\n")), (3, "red blue"), (4, None), (5, " \n")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontamination.findings(docs, items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (1, 3), (2, 2)}
+    rules = decontamination.TemplateRules()
+    windows = decontamination.item_windows(items, rules)
+    keyed = docs.withColumn("_key", docs.doc_id)
+    for frame in (windows, decontamination._matches(keyed, windows, rules), found):
+        assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_bit_table_as_rows_equals_the_array(spark):
+    from pyspark.sql import functions as F
+
+    import numpy as np
+    from flagstone.llm import keyfilter
+
+    keys = spark.range(300).select(F.xxhash64("id").alias("hash"))
+    rows = spark.range(-400, 400).select(F.xxhash64("id").alias("hash"))
+    values = np.array([r["hash"] for r in rows.collect()], np.int64)
+    held = keyfilter.that_may_hold(rows, keyfilter.bit_table(keys, "hash"), "hash")
+    assert held.columns == ["hash"]
+    expected = values[keyfilter.may_hold(keyfilter.key_bits(keys, "hash"), values)].tolist()
+    assert sorted(r["hash"] for r in held.collect()) == sorted(expected) and len(expected) >= 300
