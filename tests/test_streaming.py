@@ -200,3 +200,20 @@ def test_state_has_no_more_partitions_than_cores(spark, tmp_path):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 4)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_state_jobs_are_fed_what_they_count(spark, tmp_path):
+    from pathlib import Path
+
+    from flagstone.plans import queries_streams
+    from flagstone.sources import eventlog
+
+    log = [(n, at(n * 40.0), n % 3, "view", 1.0, '{"k": 1}') for n in range(12)]
+    types = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(log, types).write.parquet(str(tmp_path / "events.parquet"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("grains-*"))
+    counts = queries_streams._grains(eventlog.load_log(spark, str(tmp_path)), "1 hour")
+    assert sum(r.n for r in counts.collect()) == 12
+    (fed,) = [d for d in set(shared.glob("grains-*")) - before if list(d.glob("*.parquet"))]
+    assert spark.read.parquet(str(fed)).columns == ["image_id", "event_type", "ts"]
